@@ -28,7 +28,7 @@ def word_overlap_ratio(catalogue: Column, seller: Column) -> Column:
 
 def sorted_words(text: Column) -> Column:
     """Lower-cased words in alphabetical order, one blank between them."""
-    return F.array_join(F.array_sort(_words(text)), " ")
+    return F.array_join(F.sort_array(_words(text)), " ")
 
 
 def title_similarity(a: Column, b: Column) -> Column:

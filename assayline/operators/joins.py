@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
+from assayline.sources.literals import literal_table
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1_000  # at most this many keys can be hot: the bound on the hot list
 HOT_ROWS = 1_000_000  # a key with fewer rows than this is never worth slicing
@@ -74,7 +76,7 @@ def _slice_count(df: DataFrame, keys: Sequence[str], hot: list) -> DataFrame:
     if not hot:
         return df.withColumn(_SLICES, F.lit(1).cast("long"))
     schema = StructType([df.schema[k] for k in keys] + [StructField(_SLICES, LongType())])
-    listed = df.sparkSession.createDataFrame(hot, schema)  # at most HOT_SHARE rows
+    listed = literal_table(df.sparkSession, hot, schema)  # at most HOT_SHARE rows
     return df.join(F.broadcast(listed), list(keys), "left").fillna(1, subset=[_SLICES])
 
 

@@ -13,11 +13,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from assayline.functions.keys import surrogate_key
 from assayline.functions.words import sorted_words
 from assayline.operators.joins import BROADCAST_BYTES, lookup_join
 from assayline.registry import FUZZY_PERCENT
+from assayline.sources.literals import literal_table
 from assayline.sources.scratch import stored
 
 EXACT, UNKNOWN, FUZZY = "EXACT_SKU", "SKU_NOT_IN_CATALOGUE", "FUZZY"
@@ -50,28 +52,25 @@ def listing_columns(
     )
 
 
-def pair_columns(catalogue: bool | Column, confidence: Column, match_pass: Column) -> list[Column]:
+def pair_columns(confidence: Column, match_pass: Column) -> list[Column]:
     """The 13 columns of a match row.
 
-    Where ``catalogue`` holds, name, keys and prices come from the catalogue;
-    elsewhere the row stands for itself and has no catalogue keys.
+    Where the row has a catalogue ``sku``, name, keys and prices are the
+    catalogue's; elsewhere it stands for itself and has no catalogue keys.
     """
-    held = F.lit(catalogue) if isinstance(catalogue, bool) else catalogue
-
-    def pick(ours: str, theirs: str | None, kind: str) -> Column:
-        other = F.col(theirs) if theirs else F.lit(None)
-        return F.when(held, F.col(ours)).otherwise(other).cast(kind)
-
-    sku = pick("sku", "seller_sku_ref", "string")
+    matched = F.col("sku").isNotNull()
+    sku = F.coalesce("sku", "seller_sku_ref")
     return [
         surrogate_key(sku).alias("canonical_product_key"),
         sku.alias("sku"),
-        pick("product_name", "seller_product_name", "string").alias("product_name"),
-        pick("brand_key", None, "string").alias("brand_key"),
-        pick("category_key", None, "string").alias("category_key"),
-        pick("condition_code_key", None, "string").alias("condition_code_key"),
-        pick("standard_cost", None, "double").alias("cogs"),
-        pick("rrp", "asking_price", "double").alias("list_price"),
+        F.when(matched, F.col("product_name"))
+        .otherwise(F.col("seller_product_name"))
+        .alias("product_name"),
+        "brand_key",
+        "category_key",
+        "condition_code_key",
+        F.col("standard_cost").cast("double").alias("cogs"),
+        F.when(matched, F.col("rrp")).otherwise(F.col("asking_price")).cast("double").alias("list_price"),
         F.col("listing_id").alias("match_source_listing_id"),
         F.col("seller_id").alias("match_source_seller_id"),
         F.col("seller_product_name").alias("seller_product_name_raw"),
@@ -90,6 +89,7 @@ def with_catalogue(
     catalogue: DataFrame,
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
+    catalogue_bytes: int | None = None,
 ) -> DataFrame:
     """Listings with the catalogue row of their SKU (``sku`` NULL if there is none)."""
     return lookup_join(
@@ -97,8 +97,9 @@ def with_catalogue(
         catalogue_by_sku(catalogue),
         "seller_sku_ref",
         how,
-        spread_by=["listing_id"],
-        broadcast_bytes=broadcast_bytes,
+        ["listing_id"],
+        catalogue_bytes,
+        broadcast_bytes,
     )
 
 
@@ -117,7 +118,7 @@ def exact_sku_pairs(
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     pairs = with_catalogue(listings, catalogue, "inner", broadcast_bytes).select(
-        pair_columns(True, F.lit(1.0), F.lit(EXACT))
+        pair_columns(F.lit(1.0), F.lit(EXACT))
     )
     if how == "inner":
         return pairs
@@ -129,12 +130,15 @@ def exact_sku_pairs(
         unlisted.withColumns(
             empty
             | {"seller_sku_ref": F.lit(None).cast("string"), "asking_price": F.lit(None).cast("double")}
-        ).select(pair_columns(True, F.lit(0.0), F.lit(None).cast("string")))
+        ).select(pair_columns(F.lit(0.0), F.lit(None).cast("string")))
     )
 
 
 def listings_without_sku(
-    listings: DataFrame, catalogue: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+    listings: DataFrame,
+    catalogue: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    catalogue_bytes: int | None = None,
 ) -> DataFrame:
     """Listings whose SKU is missing or not in the catalogue."""
     return lookup_join(
@@ -142,8 +146,9 @@ def listings_without_sku(
         catalogue.select(F.col("sku").alias("seller_sku_ref")),
         "seller_sku_ref",
         "left_anti",
-        spread_by=["listing_id"],
-        broadcast_bytes=broadcast_bytes,
+        ["listing_id"],
+        catalogue_bytes,
+        broadcast_bytes,
     )
 
 
@@ -157,7 +162,7 @@ def unknown_skus(
 
 def _as_unknown(alone: DataFrame) -> DataFrame:
     blank = {name: F.lit(None).cast("string") for name in CATALOGUE_COLUMNS}
-    return alone.withColumns(blank).select(pair_columns(False, F.lit(0.0), F.lit(UNKNOWN)))
+    return alone.withColumns(blank).select(pair_columns(F.lit(0.0), F.lit(UNKNOWN)))
 
 
 def match_rows(
@@ -172,7 +177,6 @@ def match_rows(
     found = F.col("sku").isNotNull()
     return joined.select(
         pair_columns(
-            found,
             F.when(found, 1.0).otherwise(0.0),
             F.when(found, EXACT).otherwise(UNKNOWN),
         )
@@ -263,8 +267,10 @@ def _gram_join(
         hot = _grid_sizes(titles, names, keys, pairs_per_task)
     if not hot:
         return titles.join(names, keys)
-    fields = [f"{k} {titles.schema[k].dataType.simpleString()}" for k in keys]
-    advice = titles.sparkSession.createDataFrame(hot, ", ".join([*fields, "side bigint"]))
+    fields = [titles.schema[k] for k in keys]
+    advice = literal_table(
+        titles.sparkSession, hot, StructType([*fields, StructField("side", LongType())])
+    )
 
     def laid_out(df: DataFrame, own: str, other: str, text: str) -> DataFrame:
         sized = df.join(F.broadcast(advice), keys, "left").fillna(1, subset=["side"])

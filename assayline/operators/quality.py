@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,23 +96,23 @@ def flag_all(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """
     if not rules:
         return df
-    fires = [rule.fires for rule in rules]
-    any_fires = fires[0]
-    for other in fires[1:]:
-        any_fires = any_fires | other
-
+    names = [f"__hit_{i}" for i in range(len(rules))]
+    # a projection of its own: each condition is evaluated once, not per column
+    hits = df.withColumns({name: rule.fires for name, rule in zip(names, rules)})
+    fires = [F.col(name) for name in names]
+    any_fires = reduce(lambda a, b: a | b, fires)
     codes = [F.when(hit, F.lit(rule.reason_code)) for hit, rule in zip(fires, rules)]
-    held = F.ifnull(F.split(F.col(REASON), ","), F.array().cast("array<string>"))
-    merged = F.array_join(F.array_union(held, F.array_compact(F.array(*codes))), ",")
+    all_codes = F.split(F.concat_ws(",", F.col(REASON), *codes), ",")  # NULLs are skipped
+    merged = F.concat_ws(",", F.array_distinct(all_codes))
     certainties = [(hit, rule.certainty) for hit, rule in zip(fires, rules) if rule.certainty]
-    return df.withColumns(
+    return hits.withColumns(
         {
             FLAG: F.col(FLAG) | any_fires,
             REASON: F.when(any_fires, merged).otherwise(F.col(REASON)),
             STATUS: _raised(STATUS, STATUSES, [(h, r.status) for h, r in zip(fires, rules)]),
             CERTAINTY: _raised(CERTAINTY, CERTAINTIES, certainties),
         }
-    )
+    ).drop(*names)
 
 
 def flag(

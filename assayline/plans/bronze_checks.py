@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assayline.registry import BRONZE_METADATA
 from assayline.sources.bronze import latest_counts
+from assayline.sources.literals import literal_table
 
 
 def bronze_totals(log: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def missing_metadata_columns(
     """Lineage columns the table lacks; empty = pass. Reads no rows."""
     held = {c.lower() for c in df.columns}
     missing = [(table, c) for c in required if c.lower() not in held]
-    return df.sparkSession.createDataFrame(missing, "source_table string, column_name string")
+    return literal_table(df.sparkSession, missing, "source_table string, column_name string")
 
 
 def present_metadata_columns(
@@ -58,7 +59,7 @@ def present_metadata_columns(
     """Lineage columns the table has, by name; a complete table gives all three."""
     held = {c.lower() for c in df.columns}
     found = sorted((table, c) for c in required if c.lower() in held)
-    return df.sparkSession.createDataFrame(found, "source_table string, column_name string")
+    return literal_table(df.sparkSession, found, "source_table string, column_name string")
 
 
 def ingestion_runs(df: DataFrame, at: str = "_ingestion_timestamp") -> DataFrame:

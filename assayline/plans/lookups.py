@@ -18,6 +18,7 @@ from pyspark.sql.types import (
 
 from assayline.functions.keys import surrogate_key
 from assayline.operators.quality import Rule, add_anomaly_columns, flag_all, negative_amount_rule
+from assayline.sources.tables import empty_table
 
 
 def build_lookup(
@@ -75,4 +76,4 @@ PRICE_HISTORY_SCHEMA = StructType(
 
 def price_history(spark: SparkSession) -> DataFrame:
     """The price-history table before its first row: typed, empty."""
-    return spark.createDataFrame([], PRICE_HISTORY_SCHEMA)
+    return empty_table(spark, PRICE_HISTORY_SCHEMA)

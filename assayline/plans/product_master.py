@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayline.functions.words import sorted_words, title_similarity, word_overlap_ratio
-from assayline.operators.joins import BROADCAST_BYTES, lookup_join
+from assayline.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
 from assayline.operators.matching import (
     CATALOGUE_COLUMNS,
     EXACT,
     FUZZY,
     PAIRS_PER_TASK,
     UNKNOWN,
+    catalogue_by_sku,
     fuzzy_candidates,
     listings_without_sku,
     match_rows,
@@ -99,20 +100,20 @@ def all_match_rows(
     it leaves the unknown rows. Both lookups are joined to the listings in
     turn; only the distinct unmatched titles are stored in between.
     """
-    alone = listings_without_sku(listings, catalogue, broadcast_bytes)
+    (size,) = measured_bytes(catalogue_by_sku(catalogue))
+    alone = listings_without_sku(listings, catalogue, broadcast_bytes, size)
     best = fuzzy_candidates(
         catalogue, alone, block, percent=percent, pairs_per_task=pairs_per_task
     )
     by_title = lookup_join(
-        best, catalogue.select(*CATALOGUE_COLUMNS), "sku", "inner", broadcast_bytes=broadcast_bytes
+        best, catalogue.select(*CATALOGUE_COLUMNS), "sku", "inner", None, size, broadcast_bytes
     ).select(
         F.col("block").alias(block),
         F.col("t").alias("__t"),
         ((F.col("longest") - F.col("edits")) / F.col("longest")).alias("__confidence"),
         *[F.col(c).alias(f"__{c}") for c in CATALOGUE_COLUMNS],
     )
-    exact = F.col("__exact")
-    joined = with_catalogue(listings, catalogue, "left", broadcast_bytes).withColumns(
+    joined = with_catalogue(listings, catalogue, "left", broadcast_bytes, size).withColumns(
         {
             "__exact": F.col("sku").isNotNull(),
             "__t": F.when(F.col("sku").isNull(), sorted_words(F.col("seller_product_name"))),
@@ -121,13 +122,11 @@ def all_match_rows(
     joined = lookup_join(
         joined, by_title, [block, "__t"], "left", ["listing_id"], broadcast_bytes=broadcast_bytes
     )
-    fuzzy = F.col("__confidence").isNotNull()
-    merged = joined.withColumns(
-        {c: F.when(exact, F.col(c)).otherwise(F.col(f"__{c}")) for c in CATALOGUE_COLUMNS}
-    )
+    exact, fuzzy = F.col("__exact"), F.col("__confidence").isNotNull()
+    # a row has catalogue columns from one of the two joins at most
+    merged = joined.withColumns({c: F.coalesce(c, f"__{c}") for c in CATALOGUE_COLUMNS})
     return merged.select(
         pair_columns(
-            exact | fuzzy,
             F.when(exact, 1.0).when(fuzzy, F.col("__confidence")).otherwise(0.0),
             F.when(exact, EXACT).when(fuzzy, FUZZY).otherwise(UNKNOWN),
         )
@@ -161,15 +160,13 @@ def one_per_product(flagged: DataFrame) -> DataFrame:
         F.max(severity(F.col("data_quality_status"), STATUSES)).alias("status"),
         F.max(severity(F.col("metric_certainty_level"), CERTAINTIES)).alias("certainty"),
     )
-    codes = F.array_sort(
-        F.array_distinct(F.flatten(F.transform("reasons", lambda reason: F.split(reason, ","))))
-    )
+    codes = F.sort_array(F.array_distinct(F.split(F.concat_ws(",", "reasons"), ",")))
     columns = [c for c in flagged.columns if c not in quality and c != key]
     return grouped.select(
         key,
         *[F.col(f"best.{c}").alias(c) for c in columns],
         "anomaly_flag",
-        F.when(F.size(codes) > 0, F.array_join(codes, ",")).alias("anomaly_reason_code"),
+        F.when(F.size("reasons") > 0, F.concat_ws(",", codes)).alias("anomaly_reason_code"),
         level_at(F.col("status"), STATUSES).alias("data_quality_status"),
         level_at(F.col("certainty"), CERTAINTIES).alias("metric_certainty_level"),
     )

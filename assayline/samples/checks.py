@@ -18,7 +18,7 @@ from assayline.registry import EXPECTED_BRONZE_ROWS, REASON_CODES, STATUS_MAPPIN
 from assayline.samples.registry import Source, query
 from assayline.sources.bronze import ingestion_log as log_of
 from assayline.sources.bronze import with_bronze_metadata
-from assayline.sources.literals import expected_counts
+from assayline.sources.literals import expected_counts, literal_table
 from assayline.sources.scratch import scratch_dir
 from assayline.sources.tables import Medallion
 
@@ -377,7 +377,8 @@ FROM expected LEFT JOIN log USING (source_table)
 WHERE row_count IS NULL OR row_count <> expected_rows"""
 )
 def reconcile_counts(t: Source) -> DataFrame:
-    own = t.spark.createDataFrame(
+    own = literal_table(
+        t.spark,
         [("region", 5), ("nation", 26), ("orders", 15000)],
         "source_table string, expected_rows bigint",
     )

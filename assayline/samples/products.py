@@ -12,6 +12,7 @@ from assayline.operators.joins import resolve_fk as resolve
 from assayline.plans import lookups, product_master as master, products
 from assayline.registry import FREE_TEXT_PERCENT
 from assayline.samples.registry import Source, query
+from assayline.sources.scratch import stored
 
 _CLEAN = """FALSE AS anomaly_flag, CAST(NULL AS VARCHAR) AS anomaly_reason_code,
        'CLEAN' AS data_quality_status, 'CONFIRMED' AS metric_certainty_level"""
@@ -33,6 +34,11 @@ def _products(t: Source) -> DataFrame:
     return products.build_products(t.v("catalogue"), _brands(t), _categories(t), _codes(t))
 
 
+def _stored_products(t: Source) -> DataFrame:
+    """The product table as later builds find it: written, not re-joined."""
+    return stored(_products(t), "products")
+
+
 def _listings(t: Source) -> DataFrame:
     return matching.listing_columns(t.v("listings"))
 
@@ -185,7 +191,7 @@ v_flagged AS (
 
 @query(f"WITH {_PRODUCTS} {_EXACT}", "catalogue", "listings")
 def exact_sku_pairs(t: Source) -> DataFrame:
-    return matching.exact_sku_pairs(_products(t), _listings(t))
+    return matching.exact_sku_pairs(_stored_products(t), _listings(t))
 
 
 @query(
@@ -198,12 +204,12 @@ UNION ALL
     "listings",
 )
 def exact_sku_pairs_left(t: Source) -> DataFrame:
-    return matching.exact_sku_pairs(_products(t), _listings(t), how="left")
+    return matching.exact_sku_pairs(_stored_products(t), _listings(t), how="left")
 
 
 @query(f"WITH {_PRODUCTS} {_UNKNOWN}", "catalogue", "listings")
 def unknown_skus(t: Source) -> DataFrame:
-    return matching.unknown_skus(_products(t), _listings(t))
+    return matching.unknown_skus(_stored_products(t), _listings(t))
 
 
 @query(
@@ -213,7 +219,7 @@ SELECT *, {_CLEAN} FROM v_pairs""",
     "listings",
 )
 def match_pairs(t: Source) -> DataFrame:
-    return master.product_match_pairs(_products(t), _listings(t))
+    return master.product_match_pairs(_stored_products(t), _listings(t))
 
 
 @query(
@@ -224,14 +230,14 @@ FROM v_listings JOIN v_catalogue ON sku = sku_ref""",
     "listings",
 )
 def word_overlap(t: Source) -> DataFrame:
-    pairs = matching.exact_sku_pairs(_products(t), _listings(t))
+    pairs = matching.exact_sku_pairs(_stored_products(t), _listings(t))
     ratio = word_overlap_ratio(F.col("product_name"), F.col("seller_product_name_raw"))
     return pairs.select(F.col("match_source_listing_id").alias("listing_id"), ratio.alias("overlap"))
 
 
 @query(f"WITH {_FLAGGED} SELECT * FROM v_flagged", "catalogue", "listings")
 def sku_mismatch(t: Source) -> DataFrame:
-    return master.flag_matches(master.product_match_pairs(_products(t), _listings(t)))
+    return master.flag_matches(master.product_match_pairs(_stored_products(t), _listings(t)))
 
 
 @query(
@@ -244,7 +250,7 @@ FROM (SELECT listing_id, {_sorted('product_name')} AS a, {_sorted('seller_produc
     "listings",
 )
 def sku_mismatch_by_similarity(t: Source) -> DataFrame:
-    pairs = master.product_match_pairs(_products(t), _listings(t)).where("match_pass = 'EXACT_SKU'")
+    pairs = master.product_match_pairs(_stored_products(t), _listings(t)).where("match_pass = 'EXACT_SKU'")
     flagged = master.flag_matches(pairs, similarity_below=50)
     return flagged.select(F.col("match_source_listing_id").alias("listing_id"), "anomaly_flag")
 
@@ -282,7 +288,7 @@ FROM v_pairs""",
     "listings",
 )
 def sku_coverage(t: Source) -> DataFrame:
-    catalogue = _products(t)
+    catalogue = _stored_products(t)
     return master.sku_coverage(master.product_match_pairs(catalogue, _listings(t)), catalogue)
 
 
@@ -360,7 +366,7 @@ v_rows AS (
 
 @query(f"WITH {_MASTER} SELECT * FROM v_rows", "catalogue", "listings")
 def all_match_rows(t: Source) -> DataFrame:
-    return master.all_match_rows(_products(t), _listings_by_category(t), "category_id")
+    return master.all_match_rows(_stored_products(t), _listings_by_category(t), "category_id")
 
 
 @query(
@@ -385,7 +391,7 @@ JOIN v_quality ON k = canonical_product_key""",
     "listings",
 )
 def product_master(t: Source) -> DataFrame:
-    return master.product_master(_products(t), _listings_by_category(t), "category_id")
+    return master.product_master(_stored_products(t), _listings_by_category(t), "category_id")
 
 
 @query(

@@ -19,10 +19,12 @@ class Source:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def __getattr__(self, table: str) -> DataFrame:
-        return base(self.spark, self.sf_dir, table)
+        frame = base(self.spark, self.sf_dir, table)
+        setattr(self, table, frame)  # the file's schema is read once
+        return frame
 
     def v(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, name)
+        return view(self.spark, name, lambda table: getattr(self, table))
 
 
 def query(sql: str | None, *views: str) -> Callable:

@@ -9,6 +9,7 @@ rule has rows on both of its sides.
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -152,18 +153,20 @@ def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view as a DataFrame."""
+def _tables(text: str) -> set[str]:
+    return {field for _, field, _, _ in string.Formatter().parse(text) if field}
+
+
+def view(spark: SparkSession, name: str, table: Callable[[str], DataFrame]) -> DataFrame:
+    """A view as a DataFrame over the frames that ``table`` gives."""
     text = VIEWS[name]
-    tables = {field for _, field, _, _ in string.Formatter().parse(text) if field}
-    return spark.sql(text, **{t: base(spark, sf_dir, t) for t in tables})
+    return spark.sql(text, **{t: table(t) for t in _tables(text)})
 
 
 def view_sql(name: str) -> str:
     """A view as text over the plain table names."""
     text = VIEWS[name]
-    tables = {field for _, field, _, _ in string.Formatter().parse(text) if field}
-    return text.format(**{t: t for t in tables})
+    return text.format(**{t: t for t in _tables(text)})
 
 
 def with_views(query: str, *names: str) -> str:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from assayline.sources.literals import literal_table
+
 
 def lower_names(df: DataFrame) -> DataFrame:
     """Column names in lower case; a no-op if they already are."""
@@ -56,7 +58,7 @@ def write_path(
 
 def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:
     """A table with its declared types and no rows."""
-    return spark.createDataFrame([], schema)
+    return literal_table(spark, [], schema)
 
 
 @dataclass(frozen=True)
