@@ -2,15 +2,13 @@
 
 ``lookup_join`` measures the lookup side first. Up to ``BROADCAST_BYTES`` it is
 broadcast, so the fact side is not shuffled and its key distribution does not
-matter. Beyond that both sides are shuffled on (key, slice): a key holding more
-than ``1 / HOT_SHARE`` of the fact rows is spread over several slices and its
-lookup rows are repeated once per slice. NULL keys never match, so they are
-spread without any repeats.
+matter. Beyond that both sides are shuffled on (key, slice): the heaviest keys
+are spread over several slices and their lookup rows are repeated once per
+slice. NULL keys never match, so they are spread without any repeats.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -21,8 +19,9 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from assayline.sources.literals import literal_table
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 1_000  # at most this many keys can be hot: the bound on the hot list
-HOT_ROWS = 1_000_000  # a key with fewer rows than this is never worth slicing
+HOT_KEYS = 1_000  # any key after the 1,000 heaviest has under 1/1,000 of the rows
+HOT_ROWS = 1_000_000  # rows per slice; a lighter key is not worth slicing
+MAX_SLICES = 4_096
 NULL_SLICES = 1_024
 
 _SLICE, _SLICES, _ROWS = "__slice", "__slices", "__rows"
@@ -51,22 +50,24 @@ def measured_bytes(*frames: DataFrame) -> list[int]:
 
 
 def hot_keys(
-    facts: DataFrame,
-    keys: Sequence[str],
-    share: int = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
+    facts: DataFrame, keys: Sequence[str], top: int = HOT_KEYS, slice_rows: int = HOT_ROWS
 ) -> list:
-    """Keys holding more than ``max(min_rows, total / share)`` rows, with a slice count.
+    """The heaviest keys with more than ``slice_rows`` rows, each with a slice count.
 
-    Counts are combined map-side before the shuffle, and by the definition of a
-    share no more than ``share`` rows can come back to the driver.
+    Counts are combined map-side before the shuffle. At most ``top`` keys come
+    back; they only steer the join, which is complete for every other key too.
     """
-    counted = facts.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
-    limit = max(min_rows, math.ceil(facts.count() / share))
+    rows = F.col(_ROWS)
     return (
-        counted.where(F.col(_ROWS) > limit)
-        .withColumn(_SLICES, F.ceil(F.col(_ROWS) / limit).cast("long"))
-        .drop(_ROWS)
+        facts.na.drop(subset=list(keys))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias(_ROWS))
+        .where(rows > slice_rows)
+        .orderBy(rows.desc())
+        .limit(top)
+        .select(
+            *keys, F.least(F.ceil(rows / slice_rows), F.lit(MAX_SLICES)).cast("long").alias(_SLICES)
+        )
         .collect()
     )
 
@@ -76,7 +77,7 @@ def _slice_count(df: DataFrame, keys: Sequence[str], hot: list) -> DataFrame:
     if not hot:
         return df.withColumn(_SLICES, F.lit(1).cast("long"))
     schema = StructType([df.schema[k] for k in keys] + [StructField(_SLICES, LongType())])
-    listed = literal_table(df.sparkSession, hot, schema)  # at most HOT_SHARE rows
+    listed = literal_table(df.sparkSession, hot, schema)  # at most HOT_KEYS rows
     return df.join(F.broadcast(listed), list(keys), "left").fillna(1, subset=[_SLICES])
 
 

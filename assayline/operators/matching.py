@@ -108,6 +108,7 @@ def exact_sku_pairs(
     listings: DataFrame,
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
+    catalogue_bytes: int | None = None,
 ) -> DataFrame:
     """One row per (catalogue SKU, listing of that SKU), confidence 1.0.
 
@@ -117,9 +118,9 @@ def exact_sku_pairs(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    pairs = with_catalogue(listings, catalogue, "inner", broadcast_bytes).select(
-        pair_columns(F.lit(1.0), F.lit(EXACT))
-    )
+    pairs = with_catalogue(
+        listings, catalogue, "inner", broadcast_bytes, catalogue_bytes
+    ).select(pair_columns(F.lit(1.0), F.lit(EXACT)))
     if how == "inner":
         return pairs
     listed = listings.select(F.col("seller_sku_ref").alias("sku")).na.drop().distinct()
@@ -157,12 +158,14 @@ def unknown_skus(
 ) -> DataFrame:
     """Match rows, confidence 0.0, for listings whose SKU the catalogue lacks."""
     alone = listings_without_sku(listings, catalogue, broadcast_bytes)
-    return _as_unknown(alone)
+    return without_catalogue(alone, catalogue).select(pair_columns(F.lit(0.0), F.lit(UNKNOWN)))
 
 
-def _as_unknown(alone: DataFrame) -> DataFrame:
-    blank = {name: F.lit(None).cast("string") for name in CATALOGUE_COLUMNS}
-    return alone.withColumns(blank).select(pair_columns(F.lit(0.0), F.lit(UNKNOWN)))
+def without_catalogue(listings: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Listings with all catalogue columns NULL."""
+    return listings.withColumns(
+        {c: F.lit(None).cast(catalogue.schema[c].dataType) for c in CATALOGUE_COLUMNS}
+    )
 
 
 def match_rows(

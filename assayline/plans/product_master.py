@@ -14,11 +14,13 @@ from assayline.operators.matching import (
     PAIRS_PER_TASK,
     UNKNOWN,
     catalogue_by_sku,
+    exact_sku_pairs,
     fuzzy_candidates,
     listings_without_sku,
     match_rows,
     pair_columns,
     with_catalogue,
+    without_catalogue,
 )
 from assayline.operators.quality import Rule, add_anomaly_columns, flag_all, level_at, severity
 from assayline.registry import CERTAINTIES, FUZZY_PERCENT, OVERLAP_BELOW, STATUSES
@@ -97,8 +99,9 @@ def all_match_rows(
 
     ``block`` names the listing and catalogue column inside which titles are
     compared. A listing matched by title takes the key of the catalogue SKU, so
-    it leaves the unknown rows. Both lookups are joined to the listings in
-    turn; only the distinct unmatched titles are stored in between.
+    it leaves the unknown rows. If the matched titles fit a broadcast, both
+    lookups are joined to the listings in one pass. Otherwise only the listings
+    without a catalogue SKU are shuffled for their title.
     """
     (size,) = measured_bytes(catalogue_by_sku(catalogue))
     alone = listings_without_sku(listings, catalogue, broadcast_bytes, size)
@@ -113,23 +116,32 @@ def all_match_rows(
         ((F.col("longest") - F.col("edits")) / F.col("longest")).alias("__confidence"),
         *[F.col(c).alias(f"__{c}") for c in CATALOGUE_COLUMNS],
     )
-    joined = with_catalogue(listings, catalogue, "left", broadcast_bytes, size).withColumns(
-        {
-            "__exact": F.col("sku").isNotNull(),
-            "__t": F.when(F.col("sku").isNull(), sorted_words(F.col("seller_product_name"))),
-        }
-    )
-    joined = lookup_join(
-        joined, by_title, [block, "__t"], "left", ["listing_id"], broadcast_bytes=broadcast_bytes
-    )
-    exact, fuzzy = F.col("__exact"), F.col("__confidence").isNotNull()
-    # a row has catalogue columns from one of the two joins at most
-    merged = joined.withColumns({c: F.coalesce(c, f"__{c}") for c in CATALOGUE_COLUMNS})
-    return merged.select(
-        pair_columns(
-            F.when(exact, 1.0).when(fuzzy, F.col("__confidence")).otherwise(0.0),
-            F.when(exact, EXACT).when(fuzzy, FUZZY).otherwise(UNKNOWN),
+    (title_bytes,) = measured_bytes(by_title)
+
+    def matched(rows: DataFrame) -> DataFrame:
+        title = F.when(F.col("sku").isNull(), sorted_words(F.col("seller_product_name")))
+        exact, fuzzy = F.col("__exact"), F.col("__confidence").isNotNull()
+        joined = lookup_join(
+            rows.withColumns({"__exact": F.col("sku").isNotNull(), "__t": title}),
+            by_title,
+            [block, "__t"],
+            "left",
+            ["listing_id"],
+            title_bytes,
+            broadcast_bytes,
         )
+        # a row has catalogue columns from one of the two joins at most
+        return joined.withColumns({c: F.coalesce(c, f"__{c}") for c in CATALOGUE_COLUMNS}).select(
+            pair_columns(
+                F.when(exact, 1.0).when(fuzzy, F.col("__confidence")).otherwise(0.0),
+                F.when(exact, EXACT).when(fuzzy, FUZZY).otherwise(UNKNOWN),
+            )
+        )
+
+    if title_bytes <= broadcast_bytes:
+        return matched(with_catalogue(listings, catalogue, "left", broadcast_bytes, size))
+    return exact_sku_pairs(catalogue, listings, "inner", broadcast_bytes, size).unionByName(
+        matched(without_catalogue(alone, catalogue))
     )
 
 

@@ -24,16 +24,24 @@ def unmapped_rule(canonical: str = "canonical_status") -> Rule:
 def statuses_seen(sources: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     """Distinct non-NULL (source_system, raw_code) over (system, table, column) sources.
 
-    Each source is made distinct on its own, map-side first, so the union
-    handles a few codes per table rather than the tables.
+    A table named for several columns is scanned once. Each table is reduced to
+    its distinct code combinations, map-side first, before anything else, so
+    the union handles a few codes per table rather than the tables.
     """
-    parts = [
-        table.select(F.lit(system).alias(PAIR[0]), F.col(column).cast("string").alias(PAIR[1]))
-        .where(F.col(PAIR[1]).isNotNull())
-        .distinct()
-        for system, table, column in sources
-    ]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    tables: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
+    for system, table, column in sources:
+        tables.setdefault(id(table), (table, []))[1].append((system, column))
+    parts = []
+    for table, wanted in tables.values():
+        codes = table.select(
+            *[F.col(column).cast("string").alias(f"c{i}") for i, (_, column) in enumerate(wanted)]
+        ).distinct()
+        pairs = [
+            F.struct(F.lit(system).alias(PAIR[0]), F.col(f"c{i}").alias(PAIR[1]))
+            for i, (system, _) in enumerate(wanted)
+        ]
+        parts.append(codes.select(F.inline(F.array(*pairs))))
+    return reduce(DataFrame.unionByName, parts).na.drop(subset=[PAIR[1]]).distinct()
 
 
 def unmapped_statuses(mapping: DataFrame, seen: DataFrame) -> DataFrame:
