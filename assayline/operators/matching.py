@@ -203,36 +203,45 @@ def _piece(length: str, percent: int) -> str:
 
 
 def _pieces(percent: int) -> Column:
-    """Disjoint pieces of the text: one more than the edits it may undergo."""
+    """Disjoint pieces of the text, one more than the edits it may undergo."""
+    size = _piece("n", percent)
     return F.expr(
-        f"transform(sequence(0L, {_edits('n', percent)}), "
-        f"i -> substring(t, int(1 + i * {_piece('n', percent)}), int({_piece('n', percent)})))"
+        f"transform(sequence(0L, {_edits('n', percent)}), i -> named_struct("
+        f"'i', i, 'p', i * {size}, 'gram', substring(t, int(1 + i * {size}), int({size}))))"
     )
 
 
 def _grams(percent: int) -> Column:
-    """All substrings of the text that could be a piece of a longer (or equal) text."""
+    """Substrings of the text that could be piece ``i`` of a longer (or equal) text.
+
+    Piece ``i`` starts at ``i * q`` there and may have moved by at most ``i``
+    places, and by no more than the edits left for what follows it.
+    """
+    most = f"((100 * n) div {percent})"
+    edits = _edits(most, percent)
     sizes = (
-        f"array_distinct(transform(sequence(n, (100 * n) div {percent}), "
-        f"m -> {_piece('m', percent)}))"
+        f"filter(array_distinct(transform(sequence(n, {most}), m -> {_piece('m', percent)})), q -> q <= n)"
     )
     return F.expr(
-        f"flatten(transform(filter({sizes}, q -> q <= n), "
-        "q -> transform(sequence(1L, n - q + 1), p -> substring(t, int(p), int(q)))))"
+        f"flatten(transform({sizes}, q -> flatten(transform(sequence(0L, {edits}), i -> "
+        "transform(filter(sequence(greatest(0L, i * (q - 1)), greatest(n, i * (q - 1))), "
+        f"p -> p <= n - q AND p <= i * q + least(i, {edits} - i)), "
+        "p -> named_struct('i', i, 'p', p, 'gram', substring(t, int(p + 1), int(q))))))))"
     )
 
 
 def _signatures(
     texts: DataFrame, percent: int, longer: str, shorter: str, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per (block, role, gram) of a text; a text plays both roles."""
+    """One row per (block, role, i, gram) of a text; a text plays both roles."""
     roles = F.array(
-        F.struct(F.lit(longer).alias("role"), F.array_distinct(_pieces(percent)).alias("grams")),
-        F.struct(F.lit(shorter).alias("role"), F.array_distinct(_grams(percent)).alias("grams")),
+        F.struct(F.lit(longer).alias("role"), _pieces(percent).alias("grams")),
+        F.struct(F.lit(shorter).alias("role"), _grams(percent).alias("grams")),
     )
     return (
         texts.withColumn("r", F.explode(roles))
-        .select("block", "t", "n", *keep, "r.role", F.explode("r.grams").alias("gram"))
+        .select("block", "t", "n", *keep, "r.role", F.explode("r.grams").alias("g"))
+        .select("block", "t", "n", *keep, "role", "g.i", "g.p", "g.gram")
     )
 
 
@@ -259,12 +268,12 @@ def _grid_sizes(left: DataFrame, right: DataFrame, keys: list[str], pairs_per_ta
 def _gram_join(
     titles: DataFrame, names: DataFrame, total_pairs: int, pairs_per_task: int
 ) -> DataFrame:
-    """Join on (block, role, gram), hot grams spread over a square grid of cells.
+    """Join on (block, role, i, gram), hot grams spread over a square grid of cells.
 
     A title goes to one grid row and all its columns, a name to one grid column
     and all its rows, so every pair meets in exactly one cell.
     """
-    keys = ["block", "role", "gram"]
+    keys = ["block", "role", "i", "gram"]
     hot = []
     if total_pairs > pairs_per_task:  # else no gram can be hot
         hot = _grid_sizes(titles, names, keys, pairs_per_task)
@@ -305,12 +314,16 @@ def best_titles(
     longest``. Of equally good names the smallest SKU wins.
 
     Equal texts are settled by an equi-join. For the rest, candidates must
-    share text: cut the longer text into one piece more than the edits allowed,
-    and at least one piece survives unchanged in the other text. Joining pieces
-    with substrings therefore finds every pair that can pass, while titles of
-    one block that share nothing never meet. The edit distance is part of the
-    join condition, so only passing pairs leave the join, and the best one is
-    kept by an aggregate that combines map-side.
+    share text: cut the longer text into one piece more than the k edits
+    allowed, and at least one piece survives unchanged in the other text. Of
+    those that survive, one piece ``i`` has at most ``i`` edits before it and at
+    most ``k - i`` behind it (walking over the pieces, edits so far minus pieces
+    so far starts at 0, ends below ``edits - k``, and falls by one only at an
+    intact piece), which bounds how far it has moved. Joining pieces with
+    substrings at those places therefore finds every pair that can pass, while
+    titles of one block that share nothing never meet. The edit distance is
+    part of the join condition, so only passing pairs leave the join, and the
+    best one is kept by an aggregate that combines map-side.
     """
     if not 0 < percent <= 100:
         raise ValueError(f"percent must be in 1..100, not {percent}")
@@ -325,7 +338,7 @@ def best_titles(
     rest = titles.join(names.select("block", "t"), ["block", "t"], "left_anti")
 
     ours = _signatures(names, percent, "name", "title", keep=["sku"])
-    ours = ours.withColumnsRenamed({"t": "name", "n": "name_n"})
+    ours = ours.withColumnsRenamed({"t": "name", "n": "name_n", "p": "name_p"})
     longest = F.greatest("n", "name_n")
     allowed = F.expr(f"int({_edits('greatest(n, name_n)', percent)})")
     in_role = F.when(F.col("role") == "title", F.col("n") >= F.col("name_n")).otherwise(
@@ -336,6 +349,8 @@ def best_titles(
     ).where(
         in_role
         & (F.abs(F.col("n") - F.col("name_n")) <= allowed)
+        # as much text must be able to follow the piece on both sides
+        & (F.abs(F.col("n") - F.col("p") - F.col("name_n") + F.col("name_p")) <= allowed - F.col("i"))
         & (F.call_function("levenshtein", F.col("t"), F.col("name"), allowed) >= 0)
     )
     edits = F.levenshtein("t", "name")

@@ -65,13 +65,13 @@ def random_texts(count, seed):
 
 @pytest.mark.parametrize("percent", [50, 70, 85, 100])
 def test_best_titles_equals_brute_force(spark, percent):
-    titles = [(i % 3, t) for i, t in enumerate(random_texts(150, 1))]
-    names = [(i % 3, t, f"SKU-{i}") for i, t in enumerate(random_texts(150, 2))]
+    titles = [(i % 3, t) for i, t in enumerate(random_texts(120, 1))]
+    names = [(i % 3, t, f"SKU-{i}") for i, t in enumerate(random_texts(120, 2))]
     a = literal_table(spark, titles, "block int, t string")
     b = literal_table(spark, names, "block int, t string, sku string")
     want = brute_force(titles, names, percent)
     assert want
-    for pairs_per_task in (10**9, 3):  # one cell per gram; a grid of cells
+    for pairs_per_task in (10**9, 3) if percent == 70 else (10**9,):  # one cell per gram; a grid
         got = matching.best_titles(a, b, percent, pairs_per_task).collect()
         assert {(r.block, r.t): (r.sku, r.edits, r.longest) for r in got} == want
         assert len(got) == len(want)
@@ -90,7 +90,7 @@ def test_hot_grams_are_laid_out_on_a_grid(spark):
     right = matching._signatures(
         b.drop("sku").withColumn("n", F.char_length("t").cast("long")), 70, "name", "title"
     )
-    sizes = matching._grid_sizes(left, right, ["block", "role", "gram"], 100)
+    sizes = matching._grid_sizes(left, right, ["block", "role", "i", "gram"], 100)
     assert sizes and max(r.side for r in sizes) == 6  # ceil(sqrt(3600 / 100))
     rows_a = [(1, f"common {i:03d}") for i in range(60)]
     rows_b = [(1, f"common x{i:02d}", f"S{i}") for i in range(60)]
