@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayline.registry import BRONZE_METADATA
-from assayline.sources.bronze import latest_counts
+from assayline.sources.bronze import ingestion_log, latest_counts
 from assayline.sources.literals import literal_table
 
 
@@ -44,6 +44,11 @@ def reconcile_counts(log: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
+def check_build_counts(tables: Mapping[str, DataFrame], expected: DataFrame) -> DataFrame:
+    """Built tables whose row count is not the expected one; empty = pass."""
+    return reconcile_counts(ingestion_log(tables), expected)
+
+
 def missing_metadata_columns(
     df: DataFrame, table: str, required: Sequence[str] = BRONZE_METADATA
 ) -> DataFrame:

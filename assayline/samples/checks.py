@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayline.functions import composite_business_key
 from assayline.operators import aggregates
-from assayline.operators.quality import add_anomaly_columns, standardise_date
+from assayline.operators.quality import Rule, add_anomaly_columns, standardise_date
 from assayline.plans import bronze_checks as bronze
 from assayline.plans import lookups
 from assayline.plans import silver_checks as silver
@@ -337,12 +338,13 @@ _COUNTS = " UNION ALL ".join(
 
 def _log(t: Source) -> DataFrame:
     """A log of two runs: an older, wrong one (one row short) and the current one."""
-    tables = {table: getattr(t, table) for table in TABLES}
-    older = log_of(tables, F.lit("2024-05-10").cast("timestamp")).withColumn(
-        "row_count", F.col("row_count") - 1
+    newer = log_of(
+        {table: getattr(t, table) for table in TABLES}, F.lit("2024-05-11").cast("timestamp")
+    )
+    older = newer.withColumns(
+        {"row_count": F.col("row_count") - 1, "_ingestion_timestamp": F.lit("2024-05-10").cast("timestamp")}
     )
     own = log_of({"_ingestion_log": t.region}, F.lit("2024-05-11").cast("timestamp"))
-    newer = log_of(tables, F.lit("2024-05-11").cast("timestamp"))
     return reduce(DataFrame.unionByName, [older, own, newer])
 
 
@@ -385,6 +387,25 @@ def reconcile_counts(t: Source) -> DataFrame:
     return bronze.reconcile_counts(_log(t), expected_counts(t.spark).unionByName(own))
 
 
+@query(
+    """
+SELECT 'silver_regions' AS source_table, CAST(6 AS BIGINT) AS expected_rows,
+       count(*) AS actual_rows, count(*) - 6 AS diff, 'COUNT_MISMATCH' AS reason
+FROM region"""
+)
+def build_counts(t: Source) -> DataFrame:
+    built = {
+        "silver_regions": lookups.build_lookup(t.region, "r_regionkey", "region_key", ["r_name"]),
+        "silver_nations": lookups.build_lookup(t.nation, "n_nationkey", "nation_key", ["n_name"]),
+    }
+    expected = literal_table(
+        t.spark,
+        [("silver_regions", 6), ("silver_nations", 25)],
+        "source_table string, expected_rows bigint",
+    )
+    return bronze.check_build_counts(built, expected)
+
+
 @query(
     """
 SELECT s_suppkey, 'supplier' AS _source_table,
@@ -526,3 +547,34 @@ def sink_append(t: Source) -> DataFrame:
         rows.where("n_regionkey < 2"), "dim_nation", overwrite=False, partition_by=["n_regionkey"]
     )
     return layers.read_table("dim_nation", "gold")
+
+
+@query(
+    """
+SELECT l_returnflag, CAST(year(l_shipdate) AS INT) AS ship_year, count(*) AS row_count,
+       count(DISTINCT l_orderkey || '|' || l_linenumber) AS distinct_keys,
+       count(*) FILTER (WHERE l_quantity > 45) AS flagged,
+       (SELECT count(*) FROM lineitem) AS written
+FROM lineitem GROUP BY ALL"""
+)
+def sink_largest_table(t: Source) -> DataFrame:
+    """Build, write and re-read the largest table, as a Silver job would."""
+    layers = _layers(t)
+    built = lookups.build_lookup(
+        t.lineitem.withColumn("line_id", composite_business_key(F.col("l_orderkey"), F.col("l_linenumber"))),
+        "line_id",
+        "line_key",
+        ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", F.year("l_shipdate").alias("ship_year")],
+        [Rule(F.col("l_quantity") > 45, "OVERSELL")],
+    )
+    written = layers.write_silver(built, "lines", partition_by=["l_returnflag"])
+    return (
+        layers.read_silver("lines")
+        .groupBy("l_returnflag", "ship_year")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_distinct("line_key").alias("distinct_keys"),
+            F.count_if("anomaly_flag").alias("flagged"),
+        )
+        .withColumn("written", F.lit(written).cast("long"))
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from assayline.registry import BRONZE_METADATA
+from assayline.sources.literals import literal_table
 from assayline.sources.scratch import stored
 
 _TABLE, _TIME, _ROW = BRONZE_METADATA
@@ -67,15 +68,24 @@ def numbered(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
 
 
 def ingestion_log(tables: Mapping[str, DataFrame], ingested_at: Column | None = None) -> DataFrame:
-    """One row per table: ``source_table``, ``row_count`` and when it was taken."""
-    when = F.current_timestamp() if ingested_at is None else ingested_at
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("source_table"), "row_count", when.alias(_TIME)
-        )
+    """One row per table: ``source_table``, ``row_count`` and when it was taken.
+
+    All tables are counted by one aggregate, so there is one shuffle of a few
+    partial counts however many tables there are. No column is read.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    zeros = literal_table(spark, [(name, 0) for name in tables], "source_table string, n bigint")
+    rows = [
+        df.select(F.lit(name).alias("source_table"), F.lit(1).cast("long").alias("n"))
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    when = F.current_timestamp() if ingested_at is None else ingested_at
+    return (
+        reduce(DataFrame.unionByName, rows, zeros)  # the zeros keep empty tables
+        .groupBy("source_table")
+        .agg(F.sum("n").alias("row_count"))
+        .withColumn(_TIME, when)
+    )
 
 
 def latest_counts(log: DataFrame) -> DataFrame:
