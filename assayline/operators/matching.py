@@ -35,6 +35,15 @@ CATALOGUE_COLUMNS = (
 )
 
 
+LISTING_COLUMNS = (
+    "listing_id",
+    "seller_id",
+    "seller_sku_ref",
+    "seller_product_name",
+    "asking_price",
+)
+
+
 def listing_columns(
     listings: DataFrame,
     sku_ref: str = "sku_ref",
@@ -125,13 +134,9 @@ def exact_sku_pairs(
         return pairs
     listed = listings.select(F.col("seller_sku_ref").alias("sku")).na.drop().distinct()
     unlisted = catalogue.select(*CATALOGUE_COLUMNS).join(listed, "sku", "left_anti")
-    empty = {name: F.lit(None).cast(listings.schema[name].dataType) for name in (
-        "listing_id", "seller_id", "seller_product_name")}
+    nobody = {c: F.lit(None).cast(listings.schema[c].dataType) for c in LISTING_COLUMNS}
     return pairs.unionByName(
-        unlisted.withColumns(
-            empty
-            | {"seller_sku_ref": F.lit(None).cast("string"), "asking_price": F.lit(None).cast("double")}
-        ).select(pair_columns(F.lit(0.0), F.lit(None).cast("string")))
+        unlisted.withColumns(nobody).select(pair_columns(F.lit(0.0), F.lit(None).cast("string")))
     )
 
 
@@ -190,6 +195,7 @@ def match_rows(
 
 PAIRS_PER_TASK = 20_000_000
 HOT_GRAMS = 20_000  # physical bound of the broadcast list; see _grid_sizes
+PLACED_UP_TO = 100  # longer texts are indexed without places, or they would have too many
 
 
 def _edits(length: str, percent: int) -> str:
@@ -202,12 +208,22 @@ def _piece(length: str, percent: int) -> str:
     return f"({length} div ({_edits(length, percent)} + 1))"
 
 
+def _gram(i: str, p: str, size: str) -> str:
+    return f"named_struct('i', {i}, 'p', {p}, 'gram', substring(t, int(1 + {p}), int({size})))"
+
+
+def _unplaced(p: str, size: str) -> str:
+    return f"named_struct('i', -1L, 'p', -1L, 'gram', substring(t, int(1 + {p}), int({size})))"
+
+
 def _pieces(percent: int) -> Column:
     """Disjoint pieces of the text, one more than the edits it may undergo."""
     size = _piece("n", percent)
+    numbers = f"sequence(0L, {_edits('n', percent)})"
     return F.expr(
-        f"transform(sequence(0L, {_edits('n', percent)}), i -> named_struct("
-        f"'i', i, 'p', i * {size}, 'gram', substring(t, int(1 + i * {size}), int({size}))))"
+        f"CASE WHEN n <= {PLACED_UP_TO} "
+        f"THEN transform({numbers}, i -> {_gram('i', f'(i * {size})', size)}) "
+        f"ELSE array_distinct(transform({numbers}, i -> {_unplaced(f'(i * {size})', size)})) END"
     )
 
 
@@ -217,16 +233,23 @@ def _grams(percent: int) -> Column:
     Piece ``i`` starts at ``i * q`` there and may have moved by at most ``i``
     places, and by no more than the edits left for what follows it.
     """
-    most = f"((100 * n) div {percent})"
-    edits = _edits(most, percent)
-    sizes = (
-        f"filter(array_distinct(transform(sequence(n, {most}), m -> {_piece('m', percent)})), q -> q <= n)"
-    )
+    most = f"((100 * n) div {percent})"  # the longest text this one can match
+    placed = f"least({most}, {PLACED_UP_TO}L)"
+    edits = _edits(placed, percent)
+    low, high = "greatest(0L, i * (q - 1))", f"least(n - q, i * q + least(i, {edits} - i))"
+
+    def sizes(shortest: str, longest: str) -> str:
+        """Piece sizes of texts with these lengths (none if the range is empty)."""
+        lengths = f"filter(sequence({shortest}, greatest({shortest}, {longest})), m -> m <= {longest})"
+        return f"filter(array_distinct(transform({lengths}, m -> {_piece('m', percent)})), q -> q <= n)"
+
     return F.expr(
-        f"flatten(transform({sizes}, q -> flatten(transform(sequence(0L, {edits}), i -> "
-        "transform(filter(sequence(greatest(0L, i * (q - 1)), greatest(n, i * (q - 1))), "
-        f"p -> p <= n - q AND p <= i * q + least(i, {edits} - i)), "
-        "p -> named_struct('i', i, 'p', p, 'gram', substring(t, int(p + 1), int(q))))))))"
+        "concat("
+        f"flatten(transform({sizes('n', placed)}, q -> flatten(transform("
+        f"filter(sequence(0L, {edits}), i -> {low} <= {high}), "
+        f"i -> transform(sequence({low}, {high}), p -> {_gram('i', 'p', 'q')}))))), "
+        f"flatten(transform({sizes(f'greatest(n, {PLACED_UP_TO + 1}L)', most)}, "
+        f"q -> array_distinct(transform(sequence(0L, n - q), p -> {_unplaced('p', 'q')})))))"
     )
 
 
@@ -344,13 +367,14 @@ def best_titles(
     in_role = F.when(F.col("role") == "title", F.col("n") >= F.col("name_n")).otherwise(
         F.col("n") < F.col("name_n")
     )
+    # how much more text follows the shared piece in the title than in the name
+    behind = F.col("n") - F.col("p") - F.col("name_n") + F.col("name_p")
     near = _gram_join(
         _signatures(rest, percent, "title", "name"), ours, total_pairs, pairs_per_task
     ).where(
         in_role
         & (F.abs(F.col("n") - F.col("name_n")) <= allowed)
-        # as much text must be able to follow the piece on both sides
-        & (F.abs(F.col("n") - F.col("p") - F.col("name_n") + F.col("name_p")) <= allowed - F.col("i"))
+        & ((F.col("i") < 0) | (F.abs(behind) <= allowed - F.col("i")))
         & (F.call_function("levenshtein", F.col("t"), F.col("name"), allowed) >= 0)
     )
     edits = F.levenshtein("t", "name")

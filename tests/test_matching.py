@@ -77,6 +77,25 @@ def test_best_titles_equals_brute_force(spark, percent):
         assert len(got) == len(want)
 
 
+def test_long_texts(spark):
+    rng = random.Random(3)
+
+    def vary(text, edits):
+        out = list(text)
+        for _ in range(edits):
+            out[rng.randrange(len(out))] = rng.choice("abcdef")
+        return "".join(out)
+
+    seeds = ["".join(rng.choices("abcdefgh", k=k)) for k in (90, 99, 100, 101, 130, 260)]
+    names = [(1, s, f"S{i}") for i, s in enumerate(seeds)]
+    titles = {(1, vary(s, e) + s[:x]) for s in seeds for e, x in ((3, 0), (20, 5), (60, 0), (10, 30))}
+    a = literal_table(spark, sorted(titles), "block int, t string")
+    b = literal_table(spark, names, "block int, t string, sku string")
+    got = {(r.block, r.t): (r.sku, r.edits, r.longest) for r in matching.best_titles(a, b, 70).collect()}
+    want = brute_force(titles, names, 70)
+    assert got == want and len(want) > 12
+
+
 def test_hot_grams_are_laid_out_on_a_grid(spark):
     a = literal_table(
         spark, [(1, f"common {i:03d}") for i in range(60)], "block int, t string"
