@@ -92,7 +92,9 @@ def sliced_join(
     """Shuffle join on (keys, slice); see the module text.
 
     Slices come from a hash of the row (``spread_by``, or all its columns), never
-    from a random number, so a task that is run again makes the same rows.
+    from a random number, so a task that is run again makes the same rows. Give
+    ``spread_by`` a column that tells rows apart, such as an id: rows alike in
+    all of those columns stay in one slice.
     """
     keys = list(keys)
     if hot is None:

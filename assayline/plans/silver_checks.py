@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayline.operators.aggregates import distribution
+from assayline.operators.joins import lookup_join
 from assayline.registry import REASON_CODES, WINDOW_END, WINDOW_START
 
 
@@ -172,7 +173,7 @@ def check_catalogue_name(
     )
     right = catalogue.select("sku", F.col("product_name").alias("__name"))
     return (
-        named.join(right, "sku")
+        lookup_join(named, right, "sku", "inner", spread_by=["product_name"])
         .where(~F.col("product_name").eqNullSafe(F.col("__name")))
         .agg(F.ifnull(F.sum("__rows"), F.lit(0)).alias("violations"))
         .select(F.lit(name).alias("check_name"), "violations")

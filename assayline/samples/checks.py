@@ -15,7 +15,7 @@ from assayline.plans import bronze_checks as bronze
 from assayline.plans import lookups
 from assayline.plans import silver_checks as silver
 from assayline.plans import status
-from assayline.registry import EXPECTED_BRONZE_ROWS, REASON_CODES, STATUS_MAPPINGS
+from assayline.registry import BRONZE_METADATA, EXPECTED_BRONZE_ROWS, REASON_CODES, STATUS_MAPPINGS
 from assayline.samples.registry import Source, query
 from assayline.sources.bronze import ingestion_log as log_of
 from assayline.sources.bronze import with_bronze_metadata
@@ -389,18 +389,18 @@ def reconcile_counts(t: Source) -> DataFrame:
 
 @query(
     """
-SELECT 'silver_regions' AS source_table, CAST(6 AS BIGINT) AS expected_rows,
-       count(*) AS actual_rows, count(*) - 6 AS diff, 'COUNT_MISMATCH' AS reason
-FROM region"""
+SELECT 'silver_customers' AS source_table, CAST(2501 AS BIGINT) AS expected_rows,
+       count(*) AS actual_rows, count(*) - 2501 AS diff, 'COUNT_MISMATCH' AS reason
+FROM customer"""
 )
 def build_counts(t: Source) -> DataFrame:
     built = {
-        "silver_regions": lookups.build_lookup(t.region, "r_regionkey", "region_key", ["r_name"]),
+        "silver_customers": lookups.build_lookup(t.customer, "c_custkey", "customer_key", ["c_name"]),
         "silver_nations": lookups.build_lookup(t.nation, "n_nationkey", "nation_key", ["n_name"]),
     }
     expected = literal_table(
         t.spark,
-        [("silver_regions", 6), ("silver_nations", 25)],
+        [("silver_customers", 2501), ("silver_nations", 25)],
         "source_table string, expected_rows bigint",
     )
     return bronze.check_build_counts(built, expected)
@@ -432,16 +432,24 @@ def bronze_row_ids(t: Source) -> DataFrame:
 @query(
     """
 SELECT 'orders' AS source_table, unnest(['_ingestion_timestamp', '_source_row_number', '_source_table'])
-         AS column_name, 'present' AS state
-UNION ALL SELECT 'customer', unnest(['_ingestion_timestamp', '_source_row_number', '_source_table']), 'missing'"""
+         AS column_name, 'present' AS state, (SELECT count(*) FROM orders) AS filled_rows
+UNION ALL
+SELECT 'customer', unnest(['_ingestion_timestamp', '_source_row_number', '_source_table']), 'missing', 0"""
 )
 def metadata_columns(t: Source) -> DataFrame:
+    """Which lineage columns two tables have, and in how many rows they are filled."""
     complete = with_bronze_metadata(t.orders, "orders")
     present = bronze.present_metadata_columns(complete, "orders")
     missing = bronze.missing_metadata_columns(t.customer, "customer")
-    return silver.union_checks(
+    columns = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n")) for c in BRONZE_METADATA]
+    filled = complete.agg(F.array(*columns).alias("counts")).select(F.inline("counts"))
+    states = silver.union_checks(
         [present.withColumn("state", F.lit("present")), missing.withColumn("state", F.lit("missing"))]
     )
+    filled_rows = F.when(F.col("state") == "present", F.col("n")).otherwise(0).cast("long")
+    return states.join(filled, "column_name").select(
+        "source_table", "column_name", "state", filled_rows.alias("filled_rows")
+    )
 
 
 @query(

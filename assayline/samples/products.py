@@ -35,7 +35,7 @@ def _products(t: Source) -> DataFrame:
 
 
 def _stored_products(t: Source) -> DataFrame:
-    """The product table as later builds find it: written, not re-joined."""
+    """The product table written once, for builds that read it several times."""
     return stored(_products(t), "products")
 
 
@@ -191,7 +191,7 @@ v_flagged AS (
 
 @query(f"WITH {_PRODUCTS} {_EXACT}", "catalogue", "listings")
 def exact_sku_pairs(t: Source) -> DataFrame:
-    return matching.exact_sku_pairs(_stored_products(t), _listings(t))
+    return matching.exact_sku_pairs(_products(t), _listings(t))
 
 
 @query(
@@ -204,12 +204,12 @@ UNION ALL
     "listings",
 )
 def exact_sku_pairs_left(t: Source) -> DataFrame:
-    return matching.exact_sku_pairs(_stored_products(t), _listings(t), how="left")
+    return matching.exact_sku_pairs(_products(t), _listings(t), how="left")
 
 
 @query(f"WITH {_PRODUCTS} {_UNKNOWN}", "catalogue", "listings")
 def unknown_skus(t: Source) -> DataFrame:
-    return matching.unknown_skus(_stored_products(t), _listings(t))
+    return matching.unknown_skus(_products(t), _listings(t))
 
 
 @query(
@@ -219,7 +219,7 @@ SELECT *, {_CLEAN} FROM v_pairs""",
     "listings",
 )
 def match_pairs(t: Source) -> DataFrame:
-    return master.product_match_pairs(_stored_products(t), _listings(t))
+    return master.product_match_pairs(_products(t), _listings(t))
 
 
 @query(
@@ -230,14 +230,14 @@ FROM v_listings JOIN v_catalogue ON sku = sku_ref""",
     "listings",
 )
 def word_overlap(t: Source) -> DataFrame:
-    pairs = matching.exact_sku_pairs(_stored_products(t), _listings(t))
+    pairs = matching.exact_sku_pairs(_products(t), _listings(t))
     ratio = word_overlap_ratio(F.col("product_name"), F.col("seller_product_name_raw"))
     return pairs.select(F.col("match_source_listing_id").alias("listing_id"), ratio.alias("overlap"))
 
 
 @query(f"WITH {_FLAGGED} SELECT * FROM v_flagged", "catalogue", "listings")
 def sku_mismatch(t: Source) -> DataFrame:
-    return master.flag_matches(master.product_match_pairs(_stored_products(t), _listings(t)))
+    return master.flag_matches(master.product_match_pairs(_products(t), _listings(t)))
 
 
 @query(
@@ -250,7 +250,7 @@ FROM (SELECT listing_id, {_sorted('product_name')} AS a, {_sorted('seller_produc
     "listings",
 )
 def sku_mismatch_by_similarity(t: Source) -> DataFrame:
-    pairs = master.product_match_pairs(_stored_products(t), _listings(t)).where("match_pass = 'EXACT_SKU'")
+    pairs = master.product_match_pairs(_products(t), _listings(t)).where("match_pass = 'EXACT_SKU'")
     flagged = master.flag_matches(pairs, similarity_below=50)
     return flagged.select(F.col("match_source_listing_id").alias("listing_id"), "anomaly_flag")
 

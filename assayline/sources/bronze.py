@@ -44,7 +44,8 @@ def numbered(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     Rows are range-partitioned and sorted, with a hash of the whole row behind
     the order columns so that one order value can span partitions. The result
     is stored: ranges come from a sample, so numbering a second evaluation
-    could differ. What is summed up in order is one count per partition.
+    could differ. What is summed up in order is one count per partition. Only
+    rows alike in every column are bound to stay in one partition.
     """
     tie = F.xxhash64(*df.columns)
     spread = df.withColumn("__tie", tie).repartitionByRange(*order_by, "__tie")
