@@ -568,8 +568,9 @@ FROM lineitem GROUP BY ALL"""
 def sink_largest_table(t: Source) -> DataFrame:
     """Build, write and re-read the largest table, as a Silver job would."""
     layers = _layers(t)
+    line_id = composite_business_key(F.col("l_orderkey"), F.col("l_linenumber"))
     built = lookups.build_lookup(
-        t.lineitem.withColumn("line_id", composite_business_key(F.col("l_orderkey"), F.col("l_linenumber"))),
+        t.lineitem.withColumn("line_id", line_id),
         "line_id",
         "line_key",
         ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", F.year("l_shipdate").alias("ship_year")],

@@ -120,7 +120,8 @@ _PRODUCTS = """
 v_products AS (
   SELECT sha256(sku) AS product_key, product_id, sku, product_name,
          category_id, sha256(category_id) AS category_key, brand_id, sha256(brand_id) AS brand_key,
-         condition_code, CASE WHEN condition_code <> 'ZZ' THEN sha256(condition_code) END AS condition_code_key,
+         condition_code,
+         CASE WHEN condition_code <> 'ZZ' THEN sha256(condition_code) END AS condition_code_key,
          standard_cost, rrp, weight_kg, is_campaign_product, is_active,
          CAST(try_strptime(created_date, '%Y-%m-%d') AS DATE) AS created_date,
          CAST(try_strptime(last_updated, '%Y-%m-%d') AS DATE) AS last_updated, supplier_code,
@@ -382,7 +383,8 @@ v_quality AS (
          max(CASE WHEN code = 'PRODUCT_FUZZY_MATCH' THEN 2 WHEN code IS NOT NULL THEN 3 ELSE 0 END) AS worst
   FROM v_codes GROUP BY k)
 SELECT r.*, codes IS NOT NULL AS anomaly_flag, codes AS anomaly_reason_code,
-       CASE worst WHEN 0 THEN 'CLEAN' WHEN 2 THEN 'FLAGGED_AMBIGUOUS' ELSE 'FLAGGED_ANOMALY' END AS data_quality_status,
+       CASE worst WHEN 0 THEN 'CLEAN' WHEN 2 THEN 'FLAGGED_AMBIGUOUS'
+                  ELSE 'FLAGGED_ANOMALY' END AS data_quality_status,
        CASE worst WHEN 3 THEN 'UNRELIABLE' ELSE 'CONFIRMED' END AS metric_certainty_level
 FROM (SELECT * FROM v_rows QUALIFY row_number() OVER (PARTITION BY canonical_product_key
         ORDER BY match_confidence DESC, match_source_listing_id) = 1) r
