@@ -1,7 +1,7 @@
 """All queries of this subpackage and the SQL of those that SQL can express."""
 
-from assayline.llm import decontamination, quality, substrings, tokens
+from assayline.llm import decontamination, quality, sharding, substrings, tokens
 
-MODULES = [decontamination, quality, substrings, tokens]
+MODULES = [decontamination, quality, sharding, substrings, tokens]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
