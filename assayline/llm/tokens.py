@@ -10,7 +10,6 @@ vocabulary's ranks. Both ways give the same ids; the lexicon only saves time.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import mmap
 import os
@@ -191,13 +190,10 @@ class Lexicon:
 
     @classmethod
     def mapped(cls, packed: bytes) -> Lexicon:
-        """Through a file in this worker's own temporary folder, which all its tasks map."""
-        name = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha1(packed).hexdigest()}")
-        if not os.path.exists(name):
-            with open(f"{name}.{os.getpid()}", "wb") as file:
-                file.write(packed)
-            os.replace(f"{name}.{os.getpid()}", name)
-        with open(name, "rb") as file:
+        """Through a file that has no name any more once it is mapped: nothing stays when the worker ends."""
+        with tempfile.TemporaryFile() as file:
+            file.write(packed)
+            file.flush()
             return cls(memoryview(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)))
 
     def find(self, words: list[bytes]) -> np.ndarray:
