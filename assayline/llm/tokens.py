@@ -24,16 +24,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from assayline.llm.blocks import map_arrow, slices
+from assayline.llm.blocks import map_arrow, slices, stored
 
 #: Fixed: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words compiled into the lexicon at most: the most frequent of all documents.
 LEXICON_WORDS = 120_000
-#: Distinct words that a task counts before it passes the counts on.
-COUNT_WORDS = 300_000
-#: Ids of words that a worker keeps for later batches at most.
-KEEP_WORDS = 300_000
+#: Distinct pieces between spaces that a task counts before it passes the counts on.
+COUNT_PIECES = 500_000
+#: Ids of pieces that a worker keeps for later batches at most.
+KEEP_PIECES = 400_000
 #: Up to this many bytes a word's merges are found by scanning, beyond by a heap.
 LONG_WORD = 64
 
@@ -70,16 +70,19 @@ class Vocabulary:
 
     def _merge_short(self, word: bytes) -> list[int]:
         parts = [self.single[b] for b in word]
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            best, at = none, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get((parts[i], parts[i + 1]), none)
-                if rank < best:
-                    best, at = rank, i
-            if at < 0:
+        get, none = self.ranks.get, len(self.ranks)
+        ranks = [get(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            parts[at : at + 2] = [self.joined[parts[at], parts[at + 1]]]
+            i = ranks.index(best)
+            parts[i : i + 2] = [self.joined[parts[i], parts[i + 1]]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get((parts[i], parts[i + 1]), none)
+            if i:
+                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
         return parts
 
     def _merge_long(self, word: bytes) -> list[int]:
@@ -231,40 +234,62 @@ class Lexicon:
 
 
 class Codec:
-    """Encodes and decodes texts with a vocabulary and a lexicon of frequent words."""
+    """Encodes and decodes texts with a vocabulary and a lexicon of frequent words.
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
+    A single space before a character always begins a new word of the pattern, so a
+    text without double spaces is cut at its spaces first and the ids of each piece
+    (with its space) are kept; other texts are cut by the pattern as a whole.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.split = regex.compile(PATTERN).findall
-        self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         table = vocabulary.bytes_of
         self.table = [table.get(i, b"") for i in range(max(table) + 1)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Ids of words not known yet: from the lexicon, else merged."""
-        if len(self.known) > KEEP_WORDS:
-            self.known.clear()
-        new = list(words - self.known.keys())
-        raw = [w.encode() for w in new]
-        for word, data, place in zip(new, raw, self.lexicon.find(raw).tolist()):
-            ids = self.lexicon.ids(place) if place >= 0 else np.array(self.vocabulary.merge(data), "<u4").tobytes()
-            self.known[word] = ids
+    def _ids(self, strings: list[str]) -> list[bytes]:
+        """Ids of whole strings: words from the lexicon, else merged."""
+        rows = [self.split(s) for s in strings]
+        words = list({w for row in rows for w in row})
+        raw = [w.encode() for w in words]
+        merge = self.vocabulary.merge
+        known = {
+            word: self.lexicon.ids(place) if place >= 0 else np.array(merge(data), "<u4").tobytes()
+            for word, data, place in zip(words, raw, self.lexicon.find(raw).tolist())
+        }
+        return [b"".join([known[w] for w in row]) for row in rows]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers; special tokens' strings become their ids."""
         special = self.vocabulary.special
-        pieces = []
+        plan: list[list[tuple[str, list[str]] | bytes]] = []
+        whole: list[str] = []
         for text in texts:
-            if self.vocabulary.split_special and any(s in text for s in special):
+            parts = [text]
+            if special and any(s in text for s in special):
                 parts = self.vocabulary.split_special.split(text)
-                pieces.append([[p] if p in special else self.split(p) for p in parts if p])
-            else:
-                pieces.append([self.split(text)])
-        self._learn({w for rows in pieces for row in rows for w in row if w not in special})
-        known = self.known
-        for token, i in special.items():
-            known[token] = i.to_bytes(4, "little")
-        return [b"".join([known[w] for row in rows for w in row]) for rows in pieces]
+            steps: list[tuple[str, list[str]] | bytes] = []
+            for part in parts:
+                if part in special:
+                    steps.append(special[part].to_bytes(4, "little"))
+                elif part:
+                    head, *rest = [part] if "  " in part else part.split(" ")
+                    steps.append((head, rest))
+                    whole.append(head)
+            plan.append(steps)
+        if len(self.pieces) > KEEP_PIECES:
+            self.pieces.clear()
+        known = self.pieces
+        new = list({w for steps in plan for step in steps if type(step) is tuple for w in step[1]} - known.keys())
+        known.update(zip(new, self._ids([f" {w}" for w in new])))
+        heads = dict(zip(whole, self._ids(whole)))
+        return [
+            b"".join(
+                [step if type(step) is bytes else heads[step[0]] + b"".join([known[w] for w in step[1]]) for step in steps]
+            )
+            for steps in plan
+        ]
 
     def decode(self, ids: bytes) -> str:
         table = self.table
@@ -272,18 +297,23 @@ class Codec:
 
 
 def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", most: int = LEXICON_WORDS) -> bytes:
-    """Count the words of all documents and compile the ``most`` frequent ones (ties: by the word).
+    """Count the words of all documents (those between single spaces) and compile the most frequent ones.
 
-    Counts are combined in the tasks, then by word; only the top ones reach the driver.
+    At most ``most``: all words of a count are taken or none. Counts are combined in
+    the tasks, then by word; only the chosen words reach the driver.
     """
 
     def count(batches):
         split = regex.compile(PATTERN).findall
-        totals: Counter = Counter()
+        pieces: Counter = Counter()
 
         def flush():
+            totals: Counter = Counter()
+            for piece, n in pieces.items():
+                for word in split(f" {piece}"):
+                    totals[word] += n
+            pieces.clear()
             words, counts = zip(*totals.items()) if totals else ((), ())
-            totals.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.string()), pa.array(counts, pa.int64())], names=["word", "n"]
             )
@@ -291,15 +321,23 @@ def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
         for batch in batches:
             for text in batch.column(text_col):
                 if text.is_valid:
-                    totals.update(split(text.as_py()))
-                if len(totals) > COUNT_WORDS:
+                    pieces.update(text.as_py().split(" "))
+                if len(pieces) > COUNT_PIECES:
                     yield flush()
         yield flush()
 
     counts = map_arrow(docs.select(text_col), count, "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    words = [row.word.encode() for row in top.collect()]
-    return pack(compile_lexicon({w: vocabulary.merge(w) for w in words}))
+    counts = stored(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # the least count of which at most ``most`` words have as many, from a few hundred steps of a thirty-second
+    step = F.floor(F.log2("n") * 32).cast("int")
+    held, least = 0, None
+    for row in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        held += row["count"]
+        if held > most:
+            break
+        least = row["step"]
+    top = counts.where(step >= least).select("word").collect() if least is not None else []
+    return pack(compile_lexicon({w: vocabulary.merge(w) for w in (row.word.encode() for row in top)}))
 
 
 _CODECS: dict[tuple, Codec] = {}
