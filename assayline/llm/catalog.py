@@ -1,7 +1,7 @@
 """All queries of this subpackage and the SQL of those that SQL can express."""
 
-from assayline.llm import decontamination, html_text, pii, quality, sharding, substrings, tokens, warc
+from assayline.llm import decontamination, html_text, pii, quality, sharding, substrings, suffixes, tokens, warc
 
-MODULES = [decontamination, html_text, pii, quality, sharding, substrings, tokens, warc]
+MODULES = [decontamination, html_text, pii, quality, sharding, substrings, suffixes, tokens, warc]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.blocks import SLICE_BYTES, byte_rows, map_arrow, shares, stored
+from assayline.llm.blocks import SLICE_BYTES, byte_rows, map_arrow, scratch_path, shares, stored
 
 CHUNK_TYPE = "chunk string, ids array<long>, sizes array<long>, data binary"
 
@@ -75,7 +75,20 @@ def pack_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if ids:
             yield row(ids, parts, sizes)
 
-    return stored(map_arrow(docs.select(F.col(id_col).cast("long"), text_col), run, CHUNK_TYPE), "chunks")
+    rows = map_arrow(docs.select(F.col(id_col).cast("long"), text_col), run, CHUNK_TYPE)
+    return _stored_by_chunk(rows, max(bucket_count(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _stored_by_chunk(rows: DataFrame, parts: int) -> DataFrame:
+    """Write to the shared folder in ``parts`` files by chunk id, so that later joins leave the texts where they are."""
+    spark = rows.sparkSession
+    name = f"chunks_{uuid.uuid4().hex}"
+    out = rows.repartition(parts, "chunk").write.bucketBy(parts, "chunk").format("parquet")
+    out.option("path", scratch_path(spark, "chunks")).saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved now; only the catalog's entry goes, the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def read_chunk(batch: pa.RecordBatch, i: int) -> Chunk:
@@ -93,13 +106,13 @@ def pack_arrays(arrays: dict[str, np.ndarray]) -> bytes:
             array = np.diff(array, prepend=np.zeros(1, array.dtype))
         head.append(f"{name}:{array.dtype.str}")
         parts.append(array.view(np.uint8).reshape(len(array), array.dtype.itemsize).T.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress("|".join(head).encode() + b"\n" + b"".join(parts))
+    return zstandard.ZstdCompressor(level=1).compress(";".join(head).encode() + b"\n" + b"".join(parts))
 
 
 def unpack_arrays(blob: bytes) -> dict[str, np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     at = raw.index(b"\n")
-    n, *columns = raw[:at].decode().split("|")
+    n, *columns = raw[:at].decode().split(";")
     n, at, out = int(n), at + 1, {}
     for column in columns:
         name, kind = column.split(":")
@@ -113,26 +126,24 @@ def unpack_arrays(blob: bytes) -> dict[str, np.ndarray]:
 
 def ask(
     chunks: DataFrame,
-    emit: Callable[[Chunk, list | None], dict[str, np.ndarray]],
+    name: str,
+    emit: Callable[[Chunk, dict[str, np.ndarray]], dict[str, np.ndarray]],
     answer: Callable[[dict[str, np.ndarray], np.ndarray], np.ndarray],
     buckets: int,
 ) -> DataFrame:
-    """``chunks`` with ``replies``: the answers to their entries, in the order of their keys.
+    """``chunks`` with a column ``name``: the answers to their entries, in the order of their keys.
 
-    ``emit(chunk, replies)`` gives columns sorted by ``key`` (uint64, spread over all
-    64 bits); ``answer(columns, source)`` sees all entries of a bucket with the number
-    of the chunk each came from and returns one uint8 for each. ``replies`` of an
-    earlier question, if any, are given to ``emit``.
+    ``emit(chunk, earlier answers by name)`` gives columns sorted by ``key`` (uint64,
+    spread over all 64 bits); ``answer(columns, source)`` sees all entries of a bucket
+    with the number of the chunk each came from and returns one uint8 for each.
     """
     bits = max(1, (buckets - 1).bit_length())
     edges = (np.arange(1, 1 << bits, dtype=np.uint64)) << np.uint64(64 - bits)
-    asked = "replies" in chunks.columns
 
     def send(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                before = batch.column("replies")[i].as_py() if asked else None
-                columns = emit(read_chunk(batch, i), before)
+                columns = emit(read_chunk(batch, i), answers_of(batch, i))
                 cuts = [0, *np.searchsorted(columns["key"], edges).tolist(), len(columns["key"])]
                 full = [b for b in range(1 << bits) if cuts[b + 1] > cuts[b]]
                 if not full:
@@ -163,19 +174,28 @@ def ask(
 
     sent = map_arrow(chunks, send, "bucket int, chunk string, entries binary")
     replies = sent.groupBy("bucket").applyInArrow(reply, "bucket int, chunk string, reply binary")
-    by_chunk = replies.groupBy("chunk").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("bucket", "reply"))), lambda r: r["reply"]).alias("replies")
-    )
-    return chunks.drop("replies").join(by_chunk, "chunk", "left")
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("bucket", "reply"))), lambda r: r["reply"])
+    by_chunk = stored(replies.groupBy("chunk").agg(in_order.alias(name)), "replies")
+    return chunks.join(by_chunk, "chunk", "left")
 
 
-def answers_of(replies: list[bytes] | None) -> np.ndarray:
-    """A chunk's answers, one for each of its entries in key order."""
-    unzipped = zstandard.ZstdDecompressor()
-    parts = [np.frombuffer(unzipped.decompress(r), np.uint8) for r in replies or []]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+def answers_of(batch: pa.RecordBatch, i: int) -> dict[str, np.ndarray]:
+    """A chunk's answers by question, one for each of its entries in key order."""
+    unzipped, out = zstandard.ZstdDecompressor(), {}
+    for name in batch.schema.names[4:]:
+        parts = [np.frombuffer(unzipped.decompress(r), np.uint8) for r in batch.column(name)[i].as_py() or []]
+        out[name] = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+    return out
 
 
 def bucket_count(docs: DataFrame) -> int:
     """One bucket for every 16 MB of the table's files, a power of two, at least 64."""
     return 1 << (shares(docs, 16, 64) - 1).bit_length()
+
+
+def starts_of(*columns: np.ndarray) -> np.ndarray:
+    """Where a new combination begins in columns sorted together."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)

@@ -101,7 +101,7 @@ def repeated_units(
             for i in range(batch.num_rows):
                 chunk = read_chunk(batch, i)
                 docs, starts, ends, _, _, _, order, new = _first_of_each(chunk, unit, min_words)
-                owner = answers_of(batch.column("replies")[i].as_py())
+                owner = answers_of(batch, i)["first"]
                 keep = np.zeros(len(order), bool)
                 keep[order[new]] = owner == 1
                 rows = [
@@ -118,7 +118,7 @@ def repeated_units(
                 yield pa.RecordBatch.from_pylist(rows, schema=_MARKS)
 
     chunks = pack_chunks(docs, id_col, text_col)
-    asked = ask(chunks, emit, _earliest, bucket_count(docs))
+    asked = ask(chunks, "first", emit, _earliest, bucket_count(docs))
     return map_arrow(asked, mark, MARK_TYPE)
 
 
