@@ -7,7 +7,7 @@ gather in one task:
 
 1. each chunk sends its *distinct* keys (already combined in the chunk), dealt to
    buckets by their leading bits;
-2. a bucket answers each chunk's entries with one byte.
+2. a bucket answers each chunk's entries with a number.
 
 A key that every document holds costs one entry per chunk. Chunk ids are made when
 the chunks are written, so a task that runs again sees the same ones.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -127,15 +128,17 @@ def unpack_arrays(blob: bytes) -> dict[str, np.ndarray]:
 def ask(
     chunks: DataFrame,
     name: str,
-    emit: Callable[[Chunk, dict[str, np.ndarray]], dict[str, np.ndarray]],
+    emit: Callable[[Any, dict[str, np.ndarray]], dict[str, np.ndarray]],
     answer: Callable[[dict[str, np.ndarray], np.ndarray], np.ndarray],
     buckets: int,
+    read: Callable[[pa.RecordBatch, int], Any] = read_chunk,
 ) -> DataFrame:
     """``chunks`` with a column ``name``: the answers to their entries, in the order of their keys.
 
     ``emit(chunk, earlier answers by name)`` gives columns sorted by ``key`` (uint64,
     spread over all 64 bits); ``answer(columns, source)`` sees all entries of a bucket
-    with the number of the chunk each came from and returns one uint8 for each.
+    with the number of the chunk each came from and returns one number for each. ``read``
+    makes the chunk of a row; columns from the fifth on are earlier answers.
     """
     bits = max(1, (buckets - 1).bit_length())
     edges = (np.arange(1, 1 << bits, dtype=np.uint64)) << np.uint64(64 - bits)
@@ -143,7 +146,7 @@ def ask(
     def send(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                columns = emit(read_chunk(batch, i), answers_of(batch, i))
+                columns = emit(read(batch, i), answers_of(batch, i))
                 cuts = [0, *np.searchsorted(columns["key"], edges).tolist(), len(columns["key"])]
                 full = [b for b in range(1 << bits) if cuts[b + 1] > cuts[b]]
                 if not full:
@@ -165,9 +168,9 @@ def ask(
         sizes = np.array([len(b["key"]) for b in blobs])
         columns = {k: np.concatenate([b[k] for b in blobs]) for k in blobs[0]}
         del blobs
-        answers = answer(columns, np.repeat(np.arange(len(sizes)), sizes)).astype(np.uint8)
-        zipped = zstandard.ZstdCompressor(level=1)
-        parts = [zipped.compress(a.tobytes()) for a in np.split(answers, np.cumsum(sizes)[:-1])]
+        answers = answer(columns, np.repeat(np.arange(len(sizes)), sizes))
+        zipped, kind = zstandard.ZstdCompressor(level=1), answers.dtype.str.encode() + b"\n"
+        parts = [zipped.compress(kind + a.tobytes()) for a in np.split(answers, np.cumsum(sizes)[:-1])]
         return pa.table(
             {"bucket": table.column("bucket"), "chunk": table.column("chunk"), "reply": pa.array(parts, pa.binary())}
         )
@@ -183,8 +186,9 @@ def answers_of(batch: pa.RecordBatch, i: int) -> dict[str, np.ndarray]:
     """A chunk's answers by question, one for each of its entries in key order."""
     unzipped, out = zstandard.ZstdDecompressor(), {}
     for name in batch.schema.names[4:]:
-        parts = [np.frombuffer(unzipped.decompress(r), np.uint8) for r in batch.column(name)[i].as_py() or []]
-        out[name] = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        parts = [unzipped.decompress(r).split(b"\n", 1) for r in batch.column(name)[i].as_py() or []]
+        arrays = [np.frombuffer(data, kind.decode()) for kind, data in parts]
+        out[name] = np.concatenate(arrays) if arrays else np.zeros(0, np.uint8)
     return out
 
 
