@@ -396,14 +396,15 @@ def decode(docs: DataFrame, path: str, ids_col: str = "token_ids", out_col: str
     return map_arrow(docs, run, schema)
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of ids and decoded text of every document."""
+def digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens and the digests of ids and decoded text of every document, and the ids if asked."""
     coded = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
     return coded.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *(["token_ids"] if with_ids else []),
     )
 
 
