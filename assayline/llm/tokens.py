@@ -29,10 +29,10 @@ from assayline.llm.blocks import map_arrow, slices, stored
 #: Fixed: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words compiled into the lexicon at most: the most frequent of all documents.
-LEXICON_WORDS = 120_000
+LEXICON_WORDS = 300_000
 #: Distinct pieces between spaces that a task counts before it passes the counts on.
 COUNT_PIECES = 500_000
-#: Ids of pieces that a worker keeps for later batches at most.
+#: Ids of pieces, and of merged words, that a worker keeps for later batches at most.
 KEEP_PIECES = 400_000
 #: Up to this many bytes a word's merges are found by scanning, beyond by a heap.
 LONG_WORD = 64
@@ -245,6 +245,7 @@ class Codec:
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.split = regex.compile(PATTERN).findall
         self.pieces: dict[str, bytes] = {}
+        self.merged: dict[bytes, bytes] = {}
         table = vocabulary.bytes_of
         self.table = [table.get(i, b"") for i in range(max(table) + 1)]
 
@@ -253,11 +254,14 @@ class Codec:
         rows = [self.split(s) for s in strings]
         words = list({w for row in rows for w in row})
         raw = [w.encode() for w in words]
-        merge = self.vocabulary.merge
-        known = {
-            word: self.lexicon.ids(place) if place >= 0 else np.array(merge(data), "<u4").tobytes()
-            for word, data, place in zip(words, raw, self.lexicon.find(raw).tolist())
-        }
+        known: dict[str, bytes] = {}
+        if len(self.merged) > KEEP_PIECES:
+            self.merged.clear()
+        for word, data, place in zip(words, raw, self.lexicon.find(raw).tolist()):
+            ids = self.lexicon.ids(place) if place >= 0 else self.merged.get(data)
+            if ids is None:
+                ids = self.merged[data] = np.array(self.vocabulary.merge(data), "<u4").tobytes()
+            known[word] = ids
         return [b"".join([known[w] for w in row]) for row in rows]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -336,8 +340,17 @@ def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
         if held > most:
             break
         least = row["step"]
-    top = counts.where(step >= least).select("word").collect() if least is not None else []
-    return pack(compile_lexicon({w: vocabulary.merge(w) for w in (row.word.encode() for row in top)}))
+    if least is None:
+        return pack(compile_lexicon({}))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def merge(batches):
+        for batch in batches:
+            ids = [np.array(shared.value.merge(w.encode()), "<u4").tobytes() for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
+
+    top = map_arrow(counts.where(step >= least).select("word"), merge, "word string, ids binary").collect()
+    return pack(compile_lexicon({row.word.encode(): np.frombuffer(row.ids, "<u4").tolist() for row in top}))
 
 
 _CODECS: dict[tuple, Codec] = {}
