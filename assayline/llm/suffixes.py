@@ -5,16 +5,20 @@ there and also starts in a document of a smaller id. Suffix order gives it: amon
 sorted suffixes the nearest earlier and the nearest later one of a smaller document
 share the most with a suffix. A position is hit if that is at least ``LEAST`` bytes.
 
-Only strings that can be hit are sorted, found in three questions (see ``chunks``):
+Only strings that can be hit are sorted, found in four questions (see ``chunks``):
 
 1. The window of ``LEAST`` bytes at a position is filed under the smallest hash of the
    ``GRAM``-byte strings in it. Equal windows have equal hashes, and neighbouring
    windows mostly share one, so windows come in runs. Which hashes are in two documents?
-2. Runs of such hashes: which are equal, as a whole, to a run of an earlier document
-   (all their windows are hit), and which hashes have runs that differ?
-3. The first of each of these differing runs (the ends of shared passages, mostly):
-   their suffixes, dealt by their first ``LEAST`` bytes, are sorted, and previous and
-   next smaller documents tell the longest previous factor of each.
+2. Runs of such hashes: which are equal, as a whole, to a run of an earlier document?
+   All their windows are hit.
+3. The first of each of these runs: which of its windows are in two documents (the
+   hashes of the windows are asked)?
+4. Those windows' suffixes, dealt by their first ``LEAST`` bytes, are sorted, and
+   previous and next smaller documents tell the longest previous factor of each.
+
+Every question is keyed by content as long as what it asks about, so a passage that
+very many documents share costs one entry per chunk, whatever stands around it.
 """
 
 from __future__ import annotations
@@ -153,25 +157,22 @@ class Questions:
     """What chunks send and how buckets answer; a chunk's own answers are read back in the same order."""
 
     def __init__(self, bits: int):
-        #: leading bits of the hash that the first question sends
+        #: leading bits of the hashes that the first and third question send
         self.mask = np.uint64(((1 << bits) - 1) << (64 - bits))
 
-    # 1: hashes in two documents
-    def hashes(self, chunk: Chunk, _=None) -> dict[str, np.ndarray]:
-        runs = runs_of(chunk)
-        return self._hashes(chunk, runs)[0]
-
-    def _hashes(self, chunk: Chunk, runs: Runs):
-        key, ids = runs.key & self.mask, chunk.doc_ids()[runs.doc] if len(runs.doc) else runs.doc
+    def _shared_keys(self, key: np.ndarray, ids: np.ndarray):
+        """Columns of distinct leading bits, sorted; the order of the rows; where each begins."""
+        key = key & self.mask
         order = np.argsort(key, kind="stable")
         first = starts_of(key[order])
-        if not len(first):
-            return {"key": key, "many": np.zeros(0, np.uint8)}, order, first
-        low, high = np.minimum.reduceat(ids[order], first), np.maximum.reduceat(ids[order], first)
-        return {"key": key[order][first], "many": (low != high).astype(np.uint8)}, order, first
+        many = np.zeros(0, np.uint8)
+        if len(first):
+            many = (np.minimum.reduceat(ids[order], first) != np.maximum.reduceat(ids[order], first)).astype(np.uint8)
+        return {"key": key[order][first], "many": many}, order, first
 
     @staticmethod
     def shared(columns: dict[str, np.ndarray], source: np.ndarray) -> np.ndarray:
+        """1 for keys of two documents, in one chunk or in two."""
         order = np.argsort(columns["key"], kind="stable")
         first = starts_of(columns["key"][order])
         sizes = np.diff(np.append(first, len(order)))
@@ -180,49 +181,62 @@ class Questions:
         out[order] = np.repeat(yes, sizes)
         return out
 
-    # 2: runs equal to earlier ones, and hashes whose runs differ
+    # 1: hashes in two documents
+    def hashes(self, chunk: Chunk, _=None) -> dict[str, np.ndarray]:
+        runs = runs_of(chunk)
+        return self._shared_keys(runs.key, chunk_ids(chunk, runs.doc))[0]
+
+    # 2: runs equal to earlier ones
     def contents(self, chunk: Chunk, answers: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         return self._contents(chunk, runs_of(chunk), answers)[0]
 
     def _contents(self, chunk: Chunk, runs: Runs, answers):
         """Columns of distinct runs; chosen runs in their order; the place of each in the columns."""
-        _, order, first = self._hashes(chunk, runs)
-        wanted = np.zeros(len(order), bool)
-        wanted[order] = np.repeat(answers["shared"] > 0, np.diff(np.append(first, len(order))))
-        chosen = np.flatnonzero(wanted)
-        ids = chunk.doc_ids()[runs.doc[chosen]] if len(chosen) else chosen
-        inner = np.lexsort((runs.start[chosen], ids, runs.whole[chosen], runs.key[chosen]))
+        _, order, first = self._shared_keys(runs.key, chunk_ids(chunk, runs.doc))
+        chosen = order[np.repeat(answers["shared"] > 0, np.diff(np.append(first, len(order))))]
+        ids = chunk_ids(chunk, runs.doc[chosen])
+        inner = np.lexsort((runs.start[chosen], ids, runs.key[chosen], runs.whole[chosen]))
         chosen, ids = chosen[inner], ids[inner]
-        at = starts_of(runs.key[chosen], runs.whole[chosen])
-        columns = {"key": runs.key[chosen][at], "whole": runs.whole[chosen][at], "id": ids[at]}
+        at = starts_of(runs.whole[chosen], runs.key[chosen])
+        columns = {"key": runs.whole[chosen][at], "check": runs.key[chosen][at], "id": ids[at]}
         return columns, chosen, np.repeat(np.arange(len(at)), np.diff(np.append(at, len(chosen))))
 
     @staticmethod
     def compared(columns: dict[str, np.ndarray], source: np.ndarray) -> np.ndarray:
-        """Bit 0: a smaller document has the whole run; bit 1: its hash has runs that differ."""
-        key, whole, ids = columns["key"], columns["whole"], columns["id"]
-        order = np.lexsort((ids, whole, key))
-        first = starts_of(key[order], whole[order])
-        sizes = np.diff(np.append(first, len(order)))
-        least = ids[order][first]
-        by_key = starts_of(key[order][first])
-        differing = np.repeat(np.diff(np.append(by_key, len(first))) > 1, np.diff(np.append(by_key, len(first))))
+        """1 where a smaller document has the whole run."""
+        key, check, ids = columns["key"], columns["check"], columns["id"]
+        order = np.lexsort((ids, check, key))
+        first = starts_of(key[order], check[order])
+        least = np.repeat(ids[order][first], np.diff(np.append(first, len(order))))
         out = np.zeros(len(order), np.uint8)
-        out[order] = (np.repeat(least, sizes) < ids[order]) + 2 * np.repeat(differing, sizes)
+        out[order] = least < ids[order]
         return out
 
-    # 3: longest previous factors of the suffixes in differing runs
+    # 3: windows of the first runs that are in two documents
+    def windows(self, chunk: Chunk, answers: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        runs = runs_of(chunk)
+        _, ids, key = self._windows(chunk, runs, self._contents(chunk, runs, answers), answers)
+        return self._shared_keys(key, ids)[0]
+
+    def _windows(self, chunk: Chunk, runs: Runs, contents, answers):
+        """Place, document id and hash of the windows in runs that no smaller document has as a whole."""
+        columns, chosen, place = contents
+        open_ = chosen[(answers["compared"] == 0)[place] & (chunk_ids(chunk, runs.doc[chosen]) == columns["id"][place])]
+        at = np.repeat(runs.start[open_], runs.count[open_]) + _counted(runs.count[open_])
+        ids = chunk_ids(chunk, np.repeat(runs.doc[open_], runs.count[open_]))
+        return at, ids, runs.hashes(at, LEAST) if len(at) else np.zeros(0, np.uint64)
+
+    # 4: longest previous factors of the suffixes at those windows
     def suffixes(self, chunk: Chunk, answers: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         runs = runs_of(chunk)
         return self._suffixes(chunk, runs, self._contents(chunk, runs, answers), answers)[0]
 
     def _suffixes(self, chunk: Chunk, runs: Runs, contents, answers):
         """Columns of distinct suffixes; all suffixes in their order; the place of each in the columns."""
-        columns, chosen, place = contents
-        open_ = chosen[(answers["compared"] == 2)[place] & (chunk_ids(chunk, runs.doc[chosen]) == columns["id"][place])]
-        at = np.repeat(runs.start[open_], runs.count[open_]) + _counted(runs.count[open_])
-        ids = chunk_ids(chunk, np.repeat(runs.doc[open_], runs.count[open_]))
-        key = runs.hashes(at, LEAST) if len(at) else np.zeros(0, np.uint64)
+        at, ids, key = self._windows(chunk, runs, contents, answers)
+        _, order, first = self._shared_keys(key, ids)
+        chosen = order[np.repeat(answers["windows"] > 0, np.diff(np.append(first, len(order))))]
+        at, ids, key = at[chosen], ids[chosen], key[chosen]
         order = np.lexsort((at, ids, key))
         at, ids, key = at[order], ids[order], key[order]
         first = starts_of(key)
@@ -255,7 +269,7 @@ class Questions:
         contents = self._contents(chunk, runs, answers)
         columns, chosen, place = contents
         ids = chunk_ids(chunk, runs.doc[chosen])
-        earlier = ((answers["compared"] & 1) > 0)[place] | (ids > columns["id"][place])
+        earlier = (answers["compared"] > 0)[place] | (ids > columns["id"][place])
         cover = np.zeros(len(chunk.data) + 1, np.int64)
         np.add.at(cover, runs.start[chosen[earlier]], 1)
         np.add.at(cover, runs.start[chosen[earlier]] + runs.count[chosen[earlier]] + LEAST - 1, -1)
@@ -289,6 +303,7 @@ def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chunks = pack_chunks(docs, id_col, text_col)
     chunks = ask(chunks, "shared", questions.hashes, questions.shared, buckets)
     chunks = ask(chunks, "compared", questions.contents, questions.compared, buckets)
+    chunks = ask(chunks, "windows", questions.windows, questions.shared, buckets)
     chunks = ask(chunks, "factors", questions.suffixes, questions.factors, buckets)
 
     def cut(batches):
