@@ -32,7 +32,7 @@ from assayline.llm.components import components
 #: Words of a shingle. Two sets link when 5 * shared >= 4 * union.
 SHINGLE = 5
 #: Shingles of the sets that one task joins (8 bytes each); larger families are dealt in blocks.
-TASK_TOKENS = 2_000_000
+TASK_TOKENS = 250_000
 #: Rounds in which a large family's sets are compared with one of them before its blocks are.
 PIVOT_ROUNDS = 3
 
