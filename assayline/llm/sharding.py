@@ -29,10 +29,14 @@ PREFIXES = 4_096
 SHARDS = 8
 
 
-def _boundaries(groups: DataFrame, ranges: list[tuple[int, int]], zoom: int) -> dict[int, int]:
-    """Rank -> bytes up to and with that group, for about ``zoom`` groups spread over the rank ranges."""
+def _boundaries(groups: DataFrame, ranges: list[tuple[int, int]], gap: int, zoom: int) -> dict[int, int]:
+    """Rank -> bytes up to and with that group, for about ``zoom`` groups spread over the rank ranges.
+
+    The step is below ``gap``, the largest number of ranks between known boundaries,
+    so that each listing halves it at least.
+    """
     total = sum(b - a for a, b in ranges)
-    step = max(1, -(-total // zoom))
+    step = max(1, min(-(-total // zoom), gap // 2))
     inside = F.lit(False)
     for a, b in ranges:
         inside = inside | F.col("rank").between(a, b)
@@ -86,17 +90,19 @@ def minimax_cuts(groups: DataFrame, shards: int = SHARDS, zoom: int = ZOOM) -> t
     if last["rank"] is None:
         return 0, [0] * shards, [0] * shards
     known = {0: 0, last["rank"]: last["upto"]}
-    ranges = [(1, last["rank"])]
+    ranges, gap = [(1, last["rank"])], last["rank"]
     while True:
-        known |= _boundaries(groups, ranges, zoom)
+        known |= _boundaries(groups, ranges, gap, zoom)
         walk = _Walk(known)
         least, most = walk.smallest(shards, late=True), walk.smallest(shards, late=False)
         first, final = walk.cuts(least, shards, late=False), walk.cuts(most, shards, late=True)
-        ranges = []
+        ranges, gap = [], 0
         for (_, before, _), (_, _, after) in zip(first, final):
             ordered = walk.ranks[bisect_right(walk.ranks, before) - 1 : bisect_right(walk.ranks, after)]
-            if any(b > a + 1 for a, b in zip(ordered, ordered[1:])):
+            widest = max((b - a for a, b in zip(ordered, ordered[1:])), default=1)
+            if widest > 1:
                 ranges.append((before, after))
+                gap = max(gap, widest)
         if not ranges:
             cuts = walk.cuts(most, shards, late=False)
             return most, [offset for offset, _, _ in cuts], [rank for _, rank, _ in cuts]
