@@ -31,9 +31,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Words compiled into the lexicon at most: the most frequent of all documents.
 LEXICON_WORDS = 300_000
 #: Distinct pieces between spaces that a task counts before it passes the counts on.
-COUNT_PIECES = 500_000
+COUNT_PIECES = 250_000
 #: Ids of pieces, and of merged words, that a worker keeps for later batches at most.
-KEEP_PIECES = 400_000
+KEEP_PIECES = 150_000
 #: Up to this many bytes a word's merges are found by scanning, beyond by a heap.
 LONG_WORD = 64
 
@@ -249,6 +249,10 @@ class Codec:
         table = vocabulary.bytes_of
         self.table = [table.get(i, b"") for i in range(max(table) + 1)]
 
+    def forget(self) -> None:
+        self.pieces.clear()
+        self.merged.clear()
+
     def _ids(self, strings: list[str]) -> list[bytes]:
         """Ids of whole strings: words from the lexicon, else merged."""
         rows = [self.split(s) for s in strings]
@@ -387,6 +391,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes |
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in names] + [pa.array(ids, pa.binary())], names=[*names, "token_ids"]
                 )
+        # workers live on for tasks of other kinds
+        codec.forget()
 
     return map_arrow(docs, run, schema)
 
