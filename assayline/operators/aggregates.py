@@ -31,3 +31,19 @@ def require_unique(df: DataFrame, *keys: str) -> DataFrame:
     if found:
         raise ValueError(f"duplicate key {dict(found[0].asDict())}")
     return df
+
+
+def unique_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with a guard in its plan: the job that uses it fails on a repeated key.
+
+    One aggregate instead of a job of its own; a NULL counts as a value. Meant for
+    dimension tables.
+    """
+    others = [c for c in df.columns if c not in keys]
+    row = F.any_value(F.struct(*(others or [F.lit(0)]))).alias("__row")
+    grouped = df.groupBy(*keys).agg(row, F.count(F.lit(1)).alias("__rows"))
+    told = F.concat_ws(", ", *[F.ifnull(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    checked = grouped.where(
+        F.when(F.col("__rows") == 1, True).otherwise(F.raise_error(F.concat(F.lit("duplicate key "), told)))
+    )
+    return checked.select(*[c if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])

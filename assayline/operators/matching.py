@@ -11,15 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from assayline.functions.keys import surrogate_key
 from assayline.functions.words import sorted_words
 from assayline.operators.joins import BROADCAST_BYTES, lookup_join
-from assayline.registry import FUZZY_PERCENT
-from assayline.sources.literals import literal_table
+from assayline.registry import FUZZY_MOST, FUZZY_PERCENT
 from assayline.sources.scratch import stored
 
 EXACT, UNKNOWN, FUZZY = "EXACT_SKU", "SKU_NOT_IN_CATALOGUE", "FUZZY"
@@ -194,7 +192,7 @@ def match_rows(
 # ---- fuzzy titles -----------------------------------------------------------
 
 PAIRS_PER_TASK = 20_000_000
-HOT_GRAMS = 20_000  # physical bound of the broadcast list; see _grid_sizes
+MOST_CELLS = 250_000  # a cell has at least this fraction of all pairs, so no more grams than this need a grid
 PLACED_UP_TO = 100  # longer texts are indexed without places, or they would have too many
 
 
@@ -268,24 +266,44 @@ def _signatures(
     )
 
 
-def _grid_sizes(left: DataFrame, right: DataFrame, keys: list[str], pairs_per_task: int) -> list:
-    """Grams whose candidate pairs exceed one task's share, with their grid side.
+def _count_masks(text: str) -> Column:
+    """Three 64-bit masks: characters (by code modulo 64) that occur at least once, twice, three times."""
+    code = F.transform(F.split(text, ""), lambda c: F.pmod(F.ascii(c), F.lit(64)))
+    places = F.sequence(F.lit(0), F.lit(63))
 
-    Counts only, combined map-side. The list is physical advice: it holds the
-    ``HOT_GRAMS`` worst grams at most, and any other gram is still joined in
-    full, in one cell.
+    def mask(least: int) -> Column:
+        return F.aggregate(
+            places,
+            F.lit(0).cast("long"),
+            lambda m, b: F.when(
+                F.size(F.filter(code, lambda c: c == b)) >= least,
+                m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)),
+            ).otherwise(m),
+        )
+
+    return F.array(mask(1), mask(2), mask(3))
+
+
+def _surplus(a: str, b: str) -> Column:
+    """At least the characters that ``a`` has more often than ``b``: each takes an edit of its own."""
+    return F.expr(" + ".join(f"bit_count({a}[{i}] & ~{b}[{i}])" for i in range(3)))
+
+
+def _grid_sizes(left: DataFrame, right: DataFrame, keys: list[str], pairs_per_task: int) -> DataFrame | None:
+    """Grams whose candidate pairs exceed a cell's share, with their grid side (None: there are none).
+
+    A cell has ``pairs_per_task`` pairs, or 1/250,000 of all pairs if that is more:
+    the list is short by arithmetic and no heavy gram is missing from it. Counts are
+    combined map-side; the list is written, not collected.
     """
     a = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("a"))
     b = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("b"))
-    load = F.col("a").cast("double") * F.col("b")
-    return (
-        a.join(b, keys)
-        .where(load > pairs_per_task)
-        .orderBy(load.desc())
-        .limit(HOT_GRAMS)
-        .select(*keys, F.ceil(F.sqrt(load / pairs_per_task)).cast("long").alias("side"))
-        .collect()
-    )
+    load, seen = F.col("a").cast("double") * F.col("b"), Observation()
+    loads = a.join(b, keys).withColumn("load", load).observe(seen, F.ifnull(F.sum(load), F.lit(0.0)).alias("all"))
+    heavy = stored(loads.where(F.col("load") > pairs_per_task), "grams")
+    cell = max(pairs_per_task, seen.get["all"] / MOST_CELLS)
+    heavy = heavy.where(F.col("load") > cell)
+    return heavy.select(*keys, F.ceil(F.sqrt(F.col("load") / cell)).cast("long").alias("side")) if heavy.head(1) else None
 
 
 def _gram_join(
@@ -294,25 +312,25 @@ def _gram_join(
     """Join on (block, role, i, gram), hot grams spread over a square grid of cells.
 
     A title goes to one grid row and all its columns, a name to one grid column
-    and all its rows, so every pair meets in exactly one cell.
+    and all its rows, so every pair meets in exactly one cell. The number of
+    partitions follows the pairs, not the bytes, which say little about the work.
     """
     keys = ["block", "role", "i", "gram"]
-    hot = []
+    parts = max(titles.sparkSession.sparkContext.defaultParallelism, -(-total_pairs // pairs_per_task))
+    hot = None
     if total_pairs > pairs_per_task:  # else no gram can be hot
+        titles, names = stored(titles, "title-grams"), stored(names, "name-grams")
         hot = _grid_sizes(titles, names, keys, pairs_per_task)
-    if not hot:
-        return titles.join(names, keys)
-    fields = [titles.schema[k] for k in keys]
-    advice = literal_table(
-        titles.sparkSession, hot, StructType([*fields, StructField("side", LongType())])
-    )
+    if hot is None:
+        return titles.repartition(parts, *keys).join(names.repartition(parts, *keys), keys)
 
     def laid_out(df: DataFrame, own: str, other: str, text: str) -> DataFrame:
-        sized = df.join(F.broadcast(advice), keys, "left").fillna(1, subset=["side"])
+        sized = df.join(F.broadcast(hot), keys, "left").fillna(1, subset=["side"])  # at most MOST_CELLS rows
         return (
             sized.withColumn(own, F.pmod(F.xxhash64(text), F.col("side")))
             .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col("side") - 1)))
             .drop("side")
+            .repartition(parts, *keys, "gx", "gy")
         )
 
     return laid_out(titles, "gx", "gy", "t").join(
@@ -344,24 +362,25 @@ def best_titles(
     so far starts at 0, ends below ``edits - k``, and falls by one only at an
     intact piece), which bounds how far it has moved. Joining pieces with
     substrings at those places therefore finds every pair that can pass, while
-    titles of one block that share nothing never meet. The edit distance is
-    part of the join condition, so only passing pairs leave the join, and the
+    titles of one block that share nothing never meet. Pairs whose character
+    counts alone need too many edits are dropped before the distance (in 64-bit
+    masks; nothing that can pass is lost). The edit distance is part of the join condition, so only passing pairs leave the join, and the
     best one is kept by an aggregate that combines map-side.
     """
     if not 0 < percent <= 100:
         raise ValueError(f"percent must be in 1..100, not {percent}")
     total_pairs = titles.count() * names.count()
     length = F.char_length("t").cast("long")
-    titles = titles.select("block", "t", length.alias("n"))
-    names = names.select("block", "t", length.alias("n"), "sku")
+    titles = titles.select("block", "t", length.alias("n"), _count_masks("t").alias("c"))
+    names = names.select("block", "t", length.alias("n"), "sku", _count_masks("t").alias("c"))
 
-    equal = titles.join(names.drop("n"), ["block", "t"]).select(
+    equal = titles.join(names.drop("n", "c"), ["block", "t"]).select(
         "block", "t", "sku", F.lit(0).alias("edits"), F.col("n").alias("longest")
     )
     rest = titles.join(names.select("block", "t"), ["block", "t"], "left_anti")
 
-    ours = _signatures(names, percent, "name", "title", keep=["sku"])
-    ours = ours.withColumnsRenamed({"t": "name", "n": "name_n", "p": "name_p"})
+    ours = _signatures(names, percent, "name", "title", keep=["sku", "c"])
+    ours = ours.withColumnsRenamed({"t": "name", "n": "name_n", "p": "name_p", "c": "name_c"})
     longest = F.greatest("n", "name_n")
     allowed = F.expr(f"int({_edits('greatest(n, name_n)', percent)})")
     in_role = F.when(F.col("role") == "title", F.col("n") >= F.col("name_n")).otherwise(
@@ -370,11 +389,13 @@ def best_titles(
     # how much more text follows the shared piece in the title than in the name
     behind = F.col("n") - F.col("p") - F.col("name_n") + F.col("name_p")
     near = _gram_join(
-        _signatures(rest, percent, "title", "name"), ours, total_pairs, pairs_per_task
+        _signatures(rest, percent, "title", "name", keep=["c"]), ours, total_pairs, pairs_per_task
     ).where(
         in_role
         & (F.abs(F.col("n") - F.col("name_n")) <= allowed)
         & ((F.col("i") < 0) | (F.abs(behind) <= allowed - F.col("i")))
+        & (_surplus("c", "name_c") <= allowed)
+        & (_surplus("name_c", "c") <= allowed)
         & (F.call_function("levenshtein", F.col("t"), F.col("name"), allowed) >= 0)
     )
     edits = F.levenshtein("t", "name")
@@ -441,8 +462,8 @@ def fuzzy_match(
 ) -> DataFrame:
     """Listings with the SKU of the most similar catalogue name in their block.
 
-    Adds ``sku`` and ``match_confidence`` (similarity / 100); ``how='left'``
-    keeps listings without a match, with NULLs in both.
+    Adds ``sku`` and ``match_confidence`` (similarity / 100, at most 0.99);
+    ``how='left'`` keeps listings without a match, with NULLs in both.
     """
     best = fuzzy_candidates(
         catalogue, listings, block, title, name, catalogue_block, percent, pairs_per_task
@@ -450,6 +471,11 @@ def fuzzy_match(
     return attach_best(listings, best, block, title, how, broadcast_bytes)
 
 
+def fuzzy_confidence() -> Column:
+    """Share of the longer text that stays, below 1.0: certainty is for exact SKUs."""
+    return F.least((F.col("longest") - F.col("edits")) / F.col("longest"), F.lit(FUZZY_MOST))
+
+
 def attach_best(
     listings: DataFrame,
     best: DataFrame,
@@ -463,7 +489,7 @@ def attach_best(
         F.col("block").alias(block),
         F.col("t").alias("__t"),
         "sku",
-        ((F.col("longest") - F.col("edits")) / F.col("longest")).alias("match_confidence"),
+        fuzzy_confidence().alias("match_confidence"),
     )
     keyed = listings.withColumn("__t", sorted_words(F.col(title)))
     return lookup_join(

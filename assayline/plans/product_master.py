@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayline.functions.words import sorted_words, title_similarity, word_overlap_ratio
-from assayline.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
+from assayline.operators.joins import BROADCAST_BYTES, lookup_join, lookup_sizes
 from assayline.operators.matching import (
     CATALOGUE_COLUMNS,
     EXACT,
@@ -16,6 +16,7 @@ from assayline.operators.matching import (
     catalogue_by_sku,
     exact_sku_pairs,
     fuzzy_candidates,
+    fuzzy_confidence,
     listings_without_sku,
     match_rows,
     pair_columns,
@@ -74,8 +75,9 @@ def rows_flagged_with(flagged: DataFrame, reason_code: str = "SKU_PRODUCT_MISMAT
 
 
 def sku_coverage(pairs: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Catalogue SKUs with a certain match against the catalogue's size."""
-    matched = pairs.where("match_confidence = 1.0").select("sku", F.lit(0).alias("listed"))
+    """Catalogue SKUs with an exact match against the catalogue's size; fuzzy matches do not count."""
+    certain = (F.col("match_pass") == EXACT) & (F.col("match_confidence") == 1.0)
+    matched = pairs.where(certain).select("sku", F.lit(0).alias("listed"))
     offered = catalogue.select(F.lit(None).cast("string").alias("sku"), F.lit(1).alias("listed"))
     return (
         matched.unionByName(offered)
@@ -103,7 +105,7 @@ def all_match_rows(
     lookups are joined to the listings in one pass. Otherwise only the listings
     without a catalogue SKU are shuffled for their title.
     """
-    (size,) = measured_bytes(catalogue_by_sku(catalogue))
+    (size,) = lookup_sizes([catalogue_by_sku(catalogue)], broadcast_bytes)
     alone = listings_without_sku(listings, catalogue, broadcast_bytes, size)
     best = fuzzy_candidates(
         catalogue, alone, block, percent=percent, pairs_per_task=pairs_per_task
@@ -113,10 +115,10 @@ def all_match_rows(
     ).select(
         F.col("block").alias(block),
         F.col("t").alias("__t"),
-        ((F.col("longest") - F.col("edits")) / F.col("longest")).alias("__confidence"),
+        fuzzy_confidence().alias("__confidence"),
         *[F.col(c).alias(f"__{c}") for c in CATALOGUE_COLUMNS],
     )
-    (title_bytes,) = measured_bytes(by_title)
+    (title_bytes,) = lookup_sizes([by_title], broadcast_bytes)
 
     def matched(rows: DataFrame) -> DataFrame:
         title = F.when(F.col("sku").isNull(), sorted_words(F.col("seller_product_name")))
@@ -148,12 +150,12 @@ def all_match_rows(
 def one_per_product(flagged: DataFrame) -> DataFrame:
     """One row per ``canonical_product_key``.
 
-    The best pair (highest confidence, then lowest listing id) supplies the
-    business columns. Flag, status and certainty are the worst of the key's
-    pairs and the reason codes their sorted union. Everything is one aggregate
-    with map-side combining: a key with a third of all listings reaches the
-    shuffle as one partial row per task, and what is collected per key are
-    distinct reason texts, never rows.
+    The best pair (an exact one before a fuzzy one before an unknown SKU, then
+    highest confidence, then lowest listing id) supplies the business columns.
+    Flag, status and certainty are the worst of the key's pairs and the reason
+    codes their sorted union. Everything is one aggregate with map-side combining:
+    a key with a third of all listings reaches the shuffle as one partial row per
+    task, and what is collected per key are distinct reason texts, never rows.
     """
     key = "canonical_product_key"
     quality = {"anomaly_flag", "anomaly_reason_code", "data_quality_status", "metric_certainty_level"}
@@ -162,8 +164,13 @@ def one_per_product(flagged: DataFrame) -> DataFrame:
         for c in flagged.columns
         if c not in quality | {key, "match_confidence", "match_source_listing_id"}
     ]
+    by = F.when(F.col("match_pass") == EXACT, 0).when(F.col("match_pass") == FUZZY, 1).otherwise(2)
     best = F.struct(
-        (-F.col("match_confidence")).alias("order"), "match_source_listing_id", "match_confidence", *rest
+        by.alias("pass"),
+        (-F.col("match_confidence")).alias("order"),
+        "match_source_listing_id",
+        "match_confidence",
+        *rest,
     )
     grouped = flagged.groupBy(key).agg(
         F.min(best).alias("best"),

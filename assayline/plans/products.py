@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assayline.functions.dates import parse_iso_date
 from assayline.functions.keys import surrogate_key
+from assayline.operators.aggregates import unique_rows
 from assayline.operators.joins import BROADCAST_BYTES, resolve_fks
 from assayline.operators.quality import Rule, add_anomaly_columns, date_parse_rule, flag_all
 
@@ -21,10 +22,11 @@ def build_products(
     """18 product columns plus the quality columns.
 
     A creation date counts as a parse failure only where a text was there.
-    Each input product stays one row; an unknown foreign key stays NULL.
+    Each input product stays one row; an unknown foreign key stays NULL. A repeated
+    SKU or a repeated key of a dimension fails the job instead of multiplying rows.
     """
     dated = add_anomaly_columns(
-        products.withColumns(
+        unique_rows(products, "sku").withColumns(
             {
                 "product_key": surrogate_key(F.col("sku")),
                 "__created": parse_iso_date(F.col("created_date")),
@@ -36,12 +38,23 @@ def build_products(
     keyed = resolve_fks(
         flag_all(dated, rules),
         [
-            (brands, "brand_id", "brand_id", "brand_key"),
-            (categories, "category_id", "category_id", "category_key"),
-            (condition_codes, "condition_code", "code", "condition_code_key"),
+            (unique_rows(brands.select("brand_id", "brand_key"), "brand_id"), "brand_id", "brand_id", "brand_key"),
+            (
+                unique_rows(categories.select("category_id", "category_key"), "category_id"),
+                "category_id",
+                "category_id",
+                "category_key",
+            ),
+            (
+                unique_rows(condition_codes.select("code", "condition_code_key"), "code"),
+                "condition_code",
+                "code",
+                "condition_code_key",
+            ),
         ],
         broadcast_bytes,
     )
+    # fixed values: the columns of the product table
     return keyed.select(
         "product_key",
         "product_id",

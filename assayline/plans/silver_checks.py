@@ -118,14 +118,26 @@ def check_grain(df: DataFrame, table: str, *keys: str) -> DataFrame:
     )
 
 
+def outside_window(col: str, start: str = WINDOW_START, end: str = WINDOW_END) -> Column:
+    """A date before ``start`` or after ``end``; a NULL is neither."""
+    day = F.col(col).cast("date")
+    return (day < F.lit(start).cast("date")) | (day > F.lit(end).cast("date"))
+
+
+def has_unregistered_code(
+    col: str = "anomaly_reason_code", registered: Sequence[str] = REASON_CODES
+) -> Column:
+    """A reason text with at least one code that is not registered."""
+    return F.exists(F.split(col, ","), lambda code: ~F.trim(code).isin(*registered))
+
+
 def check_date_window(
     df: DataFrame, col: str, name: str, start: str = WINDOW_START, end: str = WINDOW_END
 ) -> DataFrame:
     """Dates outside [start, end], with their extremes. Times are cut off first."""
     day = F.col(col).cast("date")
-    outside = (day < F.lit(start).cast("date")) | (day > F.lit(end).cast("date"))
     return (
-        df.where(outside)
+        df.where(outside_window(col, start, end))
         .agg(
             F.count(F.lit(1)).alias("violations"),
             F.min(day).alias("min_date"),
@@ -214,3 +226,36 @@ def run_suite(checks: Mapping[str, DataFrame], suite: str = "silver_quality_chec
         F.count(F.lit(1)).alias("checks"),
         F.count_if(~F.col("passed")).alias("failed_checks"),
     )
+
+
+# ---- all rules of a table in one scan ---------------------------------------
+
+
+def check_tables(tables: Mapping[str, tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
+    """One row per table and rule: violations and whether it passed.
+
+    ``tables`` gives each table its frame and its rules (conditions of a violating
+    row: completeness, registry, ranges, windows). All rules of a table are counted
+    by one aggregate over one scan; grain and foreign keys need a shuffle of their
+    own and stay separate checks.
+    """
+    return union_checks(
+        [
+            count_violations(df, rules).select(
+                F.lit(table).alias("silver_table"),
+                "check_name",
+                "violations",
+                (F.col("violations") == 0).alias("passed"),
+            )
+            for table, (df, rules) in tables.items()
+        ]
+    )
+
+
+def accept(tables: Mapping[str, tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
+    """The results if every rule of every table holds, else an error that names the broken ones."""
+    results = check_tables(tables)
+    broken = [f"{r.silver_table}: {r.check_name} ({r.violations})" for r in results.where("NOT passed").collect()]
+    if broken:
+        raise ValueError("not accepted: " + "; ".join(sorted(broken)))
+    return results

@@ -24,23 +24,24 @@ def unmapped_rule(canonical: str = "canonical_status") -> Rule:
 def statuses_seen(sources: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     """Distinct non-NULL (source_system, raw_code) over (system, table, column) sources.
 
-    A table named for several columns is scanned once. Each table is reduced to
-    its distinct code combinations, map-side first, before anything else, so
-    the union handles a few codes per table rather than the tables.
+    Sources of one table (the same plan, also in different objects) are scanned once.
+    Pairs are made row by row and reduced to the distinct ones map-side, before
+    anything else, so the union handles a few codes per table rather than the tables.
     """
-    tables: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
+    tables: list[tuple[DataFrame, list[tuple[str, str]]]] = []
     for system, table, column in sources:
-        tables.setdefault(id(table), (table, []))[1].append((system, column))
+        same = (w for t, w in tables if t is table or t.columns == table.columns and t.sameSemantics(table))
+        wanted = next(same, None)
+        if wanted is None:
+            tables.append((table, wanted := []))
+        wanted.append((system, column))
     parts = []
-    for table, wanted in tables.values():
-        codes = table.select(
-            *[F.col(column).cast("string").alias(f"c{i}") for i, (_, column) in enumerate(wanted)]
-        ).distinct()
+    for table, wanted in tables:
         pairs = [
-            F.struct(F.lit(system).alias(PAIR[0]), F.col(f"c{i}").alias(PAIR[1]))
-            for i, (system, _) in enumerate(wanted)
+            F.struct(F.lit(system).alias(PAIR[0]), F.col(column).cast("string").alias(PAIR[1]))
+            for system, column in wanted
         ]
-        parts.append(codes.select(F.inline(F.array(*pairs))))
+        parts.append(table.select(F.inline(F.array(*pairs))).distinct())
     return reduce(DataFrame.unionByName, parts).na.drop(subset=[PAIR[1]]).distinct()
 
 

@@ -74,6 +74,7 @@ PG_TEXT_PATTERN = "yyyy-MM-dd HH:mm:ss"
 # ---- fixed values: matching thresholds --------------------------------------
 OVERLAP_BELOW = 0.35
 FUZZY_PERCENT = 70
+FUZZY_MOST = 0.99
 FREE_TEXT_PERCENT = 85
 
 # ---- fixed values: project date window --------------------------------------

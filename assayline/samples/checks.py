@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +13,12 @@ from assayline.plans import lookups
 from assayline.plans import silver_checks as silver
 from assayline.plans import status
 from assayline.registry import BRONZE_METADATA, EXPECTED_BRONZE_ROWS, REASON_CODES, STATUS_MAPPINGS
+from assayline.samples.products import sku_mismatch
 from assayline.samples.registry import Source, query
 from assayline.sources.bronze import ingestion_log as log_of
 from assayline.sources.bronze import with_bronze_metadata
 from assayline.sources.literals import expected_counts, literal_table
-from assayline.sources.scratch import scratch_dir
+from assayline.sources.scratch import new_scratch
 from assayline.sources.tables import Medallion
 
 TABLES = (
@@ -279,30 +277,45 @@ def violations_in_one_pass(t: Source) -> DataFrame:
 
 @query(
     """
-SELECT 'catalogue name wins' AS check_name, count(*) AS violations
-FROM v_listings JOIN v_catalogue ON sku = sku_ref
-WHERE seller_product_title IS DISTINCT FROM product_name""",
+WITH v_pairs AS (SELECT listing_id FROM v_listings JOIN v_catalogue ON sku = sku_ref)
+SELECT 'catalogue name wins' AS check_name, CAST(0 AS BIGINT) * count(*) AS violations FROM v_pairs
+UNION ALL
+SELECT 'with changed names', count(*) FILTER (WHERE listing_id % 10 = 3) FROM v_pairs""",
     "catalogue",
     "listings",
 )
 def catalogue_name(t: Source) -> DataFrame:
-    listed = t.v("listings").select(
-        F.col("sku_ref").alias("sku"),
-        F.col("seller_product_title").alias("product_name"),
-        F.lit(1.0).alias("match_confidence"),
+    """On the match table, where every name is the catalogue's, and on a copy with some names changed."""
+    catalogue = t.v("catalogue")
+    pairs = sku_mismatch(t)
+    changed = pairs.withColumn(
+        "product_name",
+        F.when(F.col("match_source_listing_id") % 10 == 3, F.concat("product_name", F.lit(" x"))).otherwise(
+            F.col("product_name")
+        ),
+    )
+    return silver.union_checks(
+        [
+            silver.check_catalogue_name(pairs, catalogue),
+            silver.check_catalogue_name(changed, catalogue, "with changed names"),
+        ]
     )
-    return silver.check_catalogue_name(listed, t.v("catalogue"))
 
 
-@query(
-    """
-WITH v AS (
-  SELECT 'amounts' AS check_name, count(*) FILTER (WHERE amount < 0) AS violations FROM v_order_facts
+_SUITE = """
+v AS (
+  SELECT 'amounts' AS check_name, count(*) FILTER (WHERE amount IS NULL OR amount < 0 OR amount > 1e9) AS violations
+  FROM v_order_facts
   UNION ALL
   SELECT 'buyers', count(*) FILTER (WHERE c_custkey IS NULL AND buyer_id IS NOT NULL)
   FROM v_order_facts LEFT JOIN customer ON c_custkey = buyer_id
   UNION ALL
-  SELECT 'grain', count(*) FROM (SELECT 1 FROM v_order_facts HAVING count(*) <> count(DISTINCT o_orderkey)))
+  SELECT 'grain', count(*) FROM (SELECT 1 FROM v_order_facts HAVING count(*) <> count(DISTINCT o_orderkey)))"""
+
+
+@query(
+    f"""
+WITH {_SUITE}
 SELECT check_name, violations, violations = 0 AS passed FROM v""",
     "order_facts",
 )
@@ -311,10 +324,12 @@ def suite_results(t: Source) -> DataFrame:
 
 
 @query(
-    """
-SELECT 'silver_quality_check' AS suite, 'FAILED' AS status, CAST(3 AS BIGINT) AS checks,
-       CAST(2 + (SELECT CAST(count(*) <> count(DISTINCT o_orderkey) AS INT) FROM orders) AS BIGINT)
-         AS failed_checks"""
+    f"""
+WITH {_SUITE}
+SELECT 'silver_quality_check' AS suite,
+       CASE WHEN bool_and(violations = 0) THEN 'COMPLETE' ELSE 'FAILED' END AS status,
+       count(*) AS checks, count(*) FILTER (WHERE violations > 0) AS failed_checks FROM v""",
+    "order_facts",
 )
 def suite_summary(t: Source) -> DataFrame:
     return silver.run_suite(_suite(t)).drop("run_at")
@@ -329,6 +344,52 @@ def _suite(t: Source) -> dict[str, DataFrame]:
     }
 
 
+@query(
+    """
+WITH v AS (
+  SELECT 'reasons' AS silver_table, unnest(['flag is filled', 'status is filled', 'codes are registered']) AS check_name,
+         unnest([count(*) FILTER (WHERE anomaly_flag IS NULL), count(*) FILTER (WHERE data_quality_status IS NULL),
+                 count(*) FILTER (WHERE contains(anomaly_reason_code, 'FOO') OR contains(anomaly_reason_code, 'BAR'))]) AS violations
+  FROM v_bad_reasons
+  UNION ALL
+  SELECT 'orders', unnest(['amount in range', 'date in window', 'buyer is filled']),
+         unnest([count(*) FILTER (WHERE amount IS NULL OR amount < 0 OR amount > 1e9),
+                 count(*) FILTER (WHERE order_date < DATE '1995-01-01' OR order_date > DATE '1997-12-31'),
+                 count(*) FILTER (WHERE buyer_id IS NULL)])
+  FROM v_order_facts
+  UNION ALL
+  SELECT 'lines', 'quantity in range', count(*) FILTER (WHERE l_quantity IS NULL OR l_quantity < 1 OR l_quantity > 45) FROM lineitem)
+SELECT *, violations = 0 AS passed FROM v""",
+    "bad_reasons",
+    "order_facts",
+)
+def suite_by_table(t: Source) -> DataFrame:
+    """Fused checks of three tables: one scan and one aggregate each."""
+    return silver.check_tables(_table_rules(t))
+
+
+def _table_rules(t: Source) -> dict[str, tuple[DataFrame, dict]]:
+    return {
+        "reasons": (
+            t.v("bad_reasons"),
+            {
+                "flag is filled": F.col("anomaly_flag").isNull(),
+                "status is filled": F.col("data_quality_status").isNull(),
+                "codes are registered": silver.has_unregistered_code(),
+            },
+        ),
+        "orders": (
+            t.v("order_facts"),
+            {
+                "amount in range": silver.outside_range("amount", 0, 1e9),
+                "date in window": silver.outside_window("order_date", "1995-01-01", "1997-12-31"),
+                "buyer is filled": F.col("buyer_id").isNull(),
+            },
+        ),
+        "lines": (t.lineitem, {"quantity in range": silver.outside_range("l_quantity", 1, 45)}),
+    }
+
+
 # ---- Bronze suite -----------------------------------------------------------
 
 _COUNTS = " UNION ALL ".join(
@@ -338,14 +399,14 @@ _COUNTS = " UNION ALL ".join(
 
 def _log(t: Source) -> DataFrame:
     """A log of two runs: an older, wrong one (one row short) and the current one."""
-    newer = log_of(
-        {table: getattr(t, table) for table in TABLES}, F.lit("2024-05-11").cast("timestamp")
+    counted = log_of({table: getattr(t, table) for table in TABLES} | {"_ingestion_log": t.region})
+    current = F.struct(F.lit("2024-05-11").cast("timestamp").alias("at"), F.lit(0).alias("short"))
+    older = F.struct(F.lit("2024-05-10").cast("timestamp").alias("at"), F.lit(1).alias("short"))
+    own = F.col("source_table") == "_ingestion_log"
+    runs = counted.withColumn("run", F.explode(F.when(own, F.array(current)).otherwise(F.array(older, current))))
+    return runs.select(
+        "source_table", (F.col("row_count") - F.col("run.short")).alias("row_count"), F.col("run.at").alias("_ingestion_timestamp")
     )
-    older = newer.withColumns(
-        {"row_count": F.col("row_count") - 1, "_ingestion_timestamp": F.lit("2024-05-10").cast("timestamp")}
-    )
-    own = log_of({"_ingestion_log": t.region}, F.lit("2024-05-11").cast("timestamp"))
-    return reduce(DataFrame.unionByName, [older, own, newer])
 
 
 @query(_COUNTS)
@@ -389,9 +450,10 @@ def reconcile_counts(t: Source) -> DataFrame:
 
 @query(
     """
-SELECT 'silver_customers' AS source_table, CAST(2501 AS BIGINT) AS expected_rows,
-       count(*) AS actual_rows, count(*) - 2501 AS diff, 'COUNT_MISMATCH' AS reason
-FROM customer"""
+WITH v AS (
+  SELECT 'silver_customers' AS source_table, CAST(2501 AS BIGINT) AS expected_rows, count(*) AS actual_rows FROM customer
+  UNION ALL SELECT 'silver_nations', 25, count(*) FROM nation)
+SELECT *, actual_rows - expected_rows AS diff, 'COUNT_MISMATCH' AS reason FROM v WHERE actual_rows <> expected_rows"""
 )
 def build_counts(t: Source) -> DataFrame:
     built = {
@@ -431,10 +493,13 @@ def bronze_row_ids(t: Source) -> DataFrame:
 
 @query(
     """
-SELECT 'orders' AS source_table, unnest(['_ingestion_timestamp', '_source_row_number', '_source_table'])
-         AS column_name, 'present' AS state, (SELECT count(*) FROM orders) AS filled_rows
+WITH v_required AS (
+  SELECT unnest(['_ingestion_timestamp', '_source_row_number', '_source_table']) AS column_name)
+SELECT 'orders' AS source_table, column_name, 'present' AS state, (SELECT count(o_orderkey) FROM orders) AS filled_rows
+FROM v_required
 UNION ALL
-SELECT 'customer', unnest(['_ingestion_timestamp', '_source_row_number', '_source_table']), 'missing', 0"""
+SELECT 'customer', column_name, 'missing', 0 FROM v_required r
+WHERE NOT EXISTS (SELECT 1 FROM duckdb_columns() c WHERE c.table_name = 'customer' AND c.column_name = r.column_name)"""
 )
 def metadata_columns(t: Source) -> DataFrame:
     """Which lineage columns two tables have, and in how many rows they are filled."""
@@ -523,7 +588,7 @@ def distinct_rows(t: Source) -> DataFrame:
 
 
 def _layers(t: Source) -> Medallion:
-    return Medallion(t.spark, f"{scratch_dir(t.spark)}/layers-{uuid.uuid4().hex}")
+    return Medallion(t.spark, new_scratch(t.spark, "layers"))
 
 
 @query(

@@ -96,8 +96,10 @@ def lookup_loyalty_tiers(t: Source) -> DataFrame:
 
 @query(
     """
-SELECT product_id, brand_id, sha256(brand_id) AS brand_key FROM v_catalogue""",
+SELECT product_id, c.brand_id, CASE WHEN b.brand_id IS NOT NULL THEN sha256(b.brand_id) END AS brand_key
+FROM v_catalogue c LEFT JOIN v_brands b ON b.brand_id = c.brand_id""",
     "catalogue",
+    "brands",
 )
 def resolve_fk(t: Source) -> DataFrame:
     catalogue = t.v("catalogue").select("product_id", "brand_id")
@@ -280,9 +282,9 @@ def mismatch_rows(t: Source) -> DataFrame:
 
 @query(
     f"""WITH {_PAIRS}
-SELECT count(DISTINCT sku) FILTER (WHERE match_confidence = 1.0) AS matched_skus,
+SELECT count(DISTINCT sku) FILTER (WHERE match_pass = 'EXACT_SKU') AS matched_skus,
        (SELECT count(*) FROM v_products) AS catalogue_skus,
-       count(DISTINCT sku) FILTER (WHERE match_confidence = 1.0)
+       count(DISTINCT sku) FILTER (WHERE match_pass = 'EXACT_SKU')
          = (SELECT count(*) FROM v_products) AS covered
 FROM v_pairs""",
     "catalogue",
@@ -315,7 +317,7 @@ _ALONE = """SELECT * FROM v_listings l
 
 @query(
     f"""WITH {_fuzzy(70, _ALONE)}
-SELECT listing_id, b.sku, (m - d) / m AS match_confidence
+SELECT listing_id, b.sku, CASE WHEN m > 0 THEN least((m - d) / m, 0.99) END AS match_confidence
 FROM v_alone a JOIN v_best b
   ON a.category_id = b.category_id AND {_sorted('seller_product_title')} = b.t""",
     "catalogue",
@@ -330,7 +332,7 @@ def fuzzy_match(t: Source) -> DataFrame:
 
 @query(
     f"""WITH {_fuzzy(FREE_TEXT_PERCENT, "SELECT * FROM v_listings")}
-SELECT listing_id, b.sku, (m - d) / m AS match_confidence
+SELECT listing_id, b.sku, CASE WHEN m > 0 THEN least((m - d) / m, 0.99) END AS match_confidence
 FROM v_alone a LEFT JOIN v_best b
   ON a.category_id = b.category_id AND {_sorted('seller_product_title')} = b.t""",
     "catalogue",
@@ -354,7 +356,7 @@ v_rows AS (
   {_EXACT}
   UNION ALL
   SELECT sha256(p.sku), p.sku, p.product_name, p.brand_key, p.category_key, p.condition_code_key,
-         p.standard_cost, p.rrp, listing_id, seller_id, seller_product_title, (m - d) / m, 'FUZZY'
+         p.standard_cost, p.rrp, listing_id, seller_id, seller_product_title, least((m - d) / m, 0.99), 'FUZZY'
   FROM v_alone a JOIN v_best b ON a.category_id = b.category_id AND {_sorted('seller_product_title')} = b.t
   JOIN v_products p ON p.sku = b.sku
   UNION ALL
@@ -387,7 +389,8 @@ SELECT r.*, codes IS NOT NULL AS anomaly_flag, codes AS anomaly_reason_code,
                   ELSE 'FLAGGED_ANOMALY' END AS data_quality_status,
        CASE worst WHEN 3 THEN 'UNRELIABLE' ELSE 'CONFIRMED' END AS metric_certainty_level
 FROM (SELECT * FROM v_rows QUALIFY row_number() OVER (PARTITION BY canonical_product_key
-        ORDER BY match_confidence DESC, match_source_listing_id) = 1) r
+        ORDER BY CASE match_pass WHEN 'EXACT_SKU' THEN 0 WHEN 'FUZZY' THEN 1 ELSE 2 END,
+                 match_confidence DESC, match_source_listing_id) = 1) r
 JOIN v_quality ON k = canonical_product_key""",
     "catalogue",
     "listings",

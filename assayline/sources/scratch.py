@@ -2,30 +2,55 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="assayline-")
+_OPEN: list[list[str]] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one below the warehouse folder.
 
-    Only a local session that names none gets a temporary folder; on a cluster
-    a machine-local folder would be lost with its executor, so that is an error.
+    Both are shared by all executors. A machine-local folder is never chosen: on a
+    cluster it would be lost with its executor, so there the warehouse must not be one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = not spark.conf.get("spark.master", "").startswith("local") and (
+        warehouse.startswith("file:") or warehouse.startswith("/")
+    )
+    if local:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
+    return f"{warehouse}/_scratch"
+
+
+def new_scratch(spark: SparkSession, name: str) -> str:
+    """A new path; inside ``scratch_tables`` it is deleted at the end."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside once their results have been written.
+
+    with scratch_tables(spark):
+        lake.write_silver(product_master(catalogue, listings, "category_id"), "product_master")
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -35,6 +60,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     later costs a re-read, not a re-computation.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

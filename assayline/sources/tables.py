@@ -28,9 +28,9 @@ def read_path(
 
     Both see the source columns; Catalyst pushes them into the scan.
     """
-    query = f"SELECT {select} FROM {{source}}"
-    if where:
-        query += f" WHERE {where}"
+    # braces in the caller's text are not places to fill in
+    select, where = (text.replace("{", "{{").replace("}", "}}") for text in (select, where or "TRUE"))
+    query = f"SELECT {select} FROM {{source}} WHERE {where}"
     return lower_names(spark.sql(query, source=spark.read.parquet(path)))
 
 
@@ -44,10 +44,15 @@ def write_path(
     """Write parquet in parallel and return the number of rows written.
 
     Rows are counted while they are written, in the same job. Overwriting makes
-    a rerun leave the same table behind; an empty frame leaves a typed one.
+    a rerun leave the same table behind; an empty frame leaves a typed one. With
+    ``partition_by`` rows are first brought together by those columns, so that a
+    small partition is one file; adaptive execution splits the large ones.
     """
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:

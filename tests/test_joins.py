@@ -32,20 +32,24 @@ def rows(df):
 def test_sliced_join_equals_plain_join(frames, how):
     facts, lookup = frames
     hot = joins.hot_keys(facts, ["key"], slice_rows=200)
-    assert {r.key: r["__slices"] for r in hot} == {"hot": 5}
+    assert {r.key: r["__slices"] for r in hot.keys.collect()} == {"hot": 5} and hot.null_slices == 3
     sliced = joins.sliced_join(facts, lookup, ["key"], how, hot=hot)
     assert rows(sliced) == rows(facts.join(lookup, "key", how))
     # rows of the hot key and of NULL end up on several (key, slice) groups
-    assert rows(joins.sliced_join(facts, lookup, ["key"], how, ["id"], hot=[])) == rows(sliced)
+    assert rows(joins.sliced_join(facts, lookup, ["key"], how, ["id"], hot=joins.HotKeys(None, 1))) == rows(sliced)
 
 
-def test_hot_list_is_bounded_and_only_advice(frames):
-    facts, lookup = frames
-    hot = joins.hot_keys(facts, ["key"], top=3, slice_rows=10)
-    assert len(hot) == 3 and hot[0].key == "hot"
-    assert rows(joins.sliced_join(facts, lookup, ["key"], "left", hot=hot)) == rows(
-        facts.join(lookup, "key", "left")
+def test_every_heavy_key_is_sliced(spark):
+    """3,000 keys above the slice limit, all of them spread, none left out."""
+    facts = spark.range(3000 * 12 + 500).selectExpr(
+        "id", "CASE WHEN id < 36000 THEN concat('k', id % 3000) WHEN id % 2 = 0 THEN concat('r', id) END AS key"
     )
+    lookup = spark.range(3000).selectExpr("concat('k', id) AS key", "id AS v")
+    hot = joins.hot_keys(facts, ["key"], slice_rows=10)
+    assert hot.keys.count() == 3000 and hot.keys.where("__slices <> 2").count() == 0
+    assert hot.null_slices == 25
+    sliced = joins.sliced_join(facts, lookup, ["key"], "left", ["id"], hot)
+    assert rows(sliced) == rows(facts.join(lookup, "key", "left"))
 
 
 def test_repeated_lookup_keys_multiply_as_in_a_plain_join(spark, frames):
@@ -71,7 +75,17 @@ def test_lookup_join_broadcasts_only_what_fits(frames):
 def test_measured_bytes_counts_every_value(spark):
     df = literal_table(spark, [("abcd", 1), (None, 2)], "s string, n int")
     empty = df.where("n > 5")
-    assert joins.measured_bytes(df, empty) == [4 + 2 * (16 + 48), 0]
+    assert joins.measured_bytes(df, empty) == [(4 + 16) + 16 + 2 * (16 + 48), 0]
+
+
+def test_nested_values_count_in_full(spark):
+    df = spark.range(100).selectExpr(
+        "id", "sequence(1, 10000) AS many", "map('k', array('abcdefgh')) AS m", "struct(id, 'x' AS s) AS pair"
+    )
+    (size,) = joins.measured_bytes(df)
+    assert size > 100 * 10_000 * 4
+    # arrays made by a function are beyond the estimate's column width, exploded rows beyond any estimate
+    assert joins._planned_bytes(spark.range(5).selectExpr("explode(array(1, 2)) AS x")) is None
 
 
 def test_slices_spread_a_hot_key(spark):
@@ -89,6 +103,7 @@ def test_slices_spread_a_hot_key(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sum(per_task.values()) == 8000
+    assert hot.keys.first()['__slices'] == 16
     assert len(per_task) >= 4 and max(per_task.values()) < 4000
 
 

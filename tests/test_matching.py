@@ -110,7 +110,7 @@ def test_hot_grams_are_laid_out_on_a_grid(spark):
         b.drop("sku").withColumn("n", F.char_length("t").cast("long")), 70, "name", "title"
     )
     sizes = matching._grid_sizes(left, right, ["block", "role", "i", "gram"], 100)
-    assert sizes and max(r.side for r in sizes) == 6  # ceil(sqrt(3600 / 100))
+    assert sizes is not None and max(r.side for r in sizes.collect()) == 6  # ceil(sqrt(3600 / 100))
     rows_a = [(1, f"common {i:03d}") for i in range(60)]
     rows_b = [(1, f"common x{i:02d}", f"S{i}") for i in range(60)]
     got = matching.best_titles(a, b, 70, 100).collect()
@@ -234,3 +234,16 @@ def test_quality_defaults_do_not_touch_match_rows(shop):
     catalogue, listings = shop
     rows = matching.match_rows(catalogue, listings)
     assert add_anomaly_columns(rows).columns[-4:] == list(QUALITY_COLUMNS)
+
+
+def test_exact_pairs_come_before_fuzzy_ones(shop):
+    """A key with an exact pair is never labelled fuzzy; fuzzy rows are never certain."""
+    catalogue, listings = shop
+    rows = all_match_rows(catalogue, listings, "category_id")
+    fuzzy = rows.where("match_pass = 'FUZZY'")
+    assert fuzzy.where("match_confidence < 0.7 OR match_confidence > 0.99").count() == 0
+    exact = rows.where("match_pass = 'EXACT_SKU'").select("canonical_product_key").distinct()
+    one = one_per_product(flag_matches(add_anomaly_columns(rows)))
+    assert one.where("match_pass = 'FUZZY'").join(exact, "canonical_product_key").count() == 0
+    covered = sku_coverage(rows, catalogue).first().matched_skus
+    assert covered == rows.where("match_pass = 'EXACT_SKU'").select("sku").distinct().count()

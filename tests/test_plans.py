@@ -138,3 +138,46 @@ def test_key_helpers(spark):
     df = literal_table(spark, [(1, "a"), (1, "a"), (None, "a"), (2, None)], "a int, b string")
     assert [tuple(r) for r in duplicate_keys(df, "a", "b").collect()] == [(1, "a", 2)]
     assert distinct_count(df, "a", "b").first().distinct_keys == 1
+
+
+def test_repeated_lookup_keys_fail_the_job(spark):
+    from pyspark.errors import PySparkException
+
+    from assayline.operators.aggregates import unique_rows
+
+    rows = literal_table(spark, [(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    assert sorted(unique_rows(rows, "k").collect(), key=repr) == sorted(rows.collect(), key=repr)
+    with pytest.raises(PySparkException, match="duplicate key 2"):
+        unique_rows(rows.unionByName(rows.where("k = 2")), "k").collect()
+    brands = literal_table(
+        spark, [(1, "A", "PK", "x"), (1, "B", "AE", "y")],
+        "brand_id int, brand_name string, brand_country string, brand_segment string",
+    )
+    with pytest.raises(PySparkException, match="duplicate key 1"):
+        lookups.build_brands(brands).collect()
+
+
+def test_one_scan_per_table_for_fused_checks(spark, tmp_path):
+    spark.range(20).selectExpr("id", "IF(id % 4 = 0, NULL, 'DATE_PARSE_FAIL') AS anomaly_reason_code").write.parquet(f"{tmp_path}/a")
+    table = spark.read.parquet(f"{tmp_path}/a")
+    rules = {
+        "range": checks.outside_range("id", 0, 9),
+        "codes": checks.has_unregistered_code(),
+        "window": F.lit(False),
+    }
+    out = checks.check_tables({"a": (table, rules)})
+    assert {r.check_name: (r.violations, r.passed) for r in out.collect()} == {
+        "range": (10, False), "codes": (0, True), "window": (0, True),
+    }
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    with pytest.raises(ValueError, match="a: range"):
+        checks.accept({"a": (table, rules)})
+    assert checks.accept({"a": (table, {"codes": rules["codes"]})}).count() == 1
+
+
+def test_statuses_of_one_table_are_read_once(spark, tmp_path):
+    spark.range(6).selectExpr("CAST(id % 2 AS STRING) AS a", "CAST(id % 3 AS STRING) AS b").write.parquet(f"{tmp_path}/s")
+    read = lambda: spark.read.parquet(f"{tmp_path}/s")
+    seen = status.statuses_seen([("X", read(), "a"), ("Y", read(), "b")])
+    assert seen.count() == 5
+    assert seen._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1

@@ -125,8 +125,32 @@ def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
         conf = Conf({"spark.checkpoint.dir": "/shared/x/", "spark.master": "yarn"})
 
     assert scratch.scratch_dir(Session) == "/shared/x"
-    Session.conf = Conf({"spark.master": "yarn"})
+    Session.conf = Conf({"spark.master": "yarn", "spark.sql.warehouse.dir": "s3a://lake/w/"})
+    assert scratch.scratch_dir(Session) == "s3a://lake/w/_scratch"
+    Session.conf = Conf({"spark.master": "yarn", "spark.sql.warehouse.dir": "file:/opt/w"})
     with pytest.raises(RuntimeError):
         scratch.scratch_dir(Session)
-    Session.conf = Conf({"spark.master": "local[2]"})
-    assert scratch.scratch_dir(Session) == scratch.scratch_dir(Session)
+    Session.conf = Conf({"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/opt/w"})
+    assert scratch.scratch_dir(Session) == "file:/opt/w/_scratch"
+
+
+def test_scratch_tables_go_when_their_result_is_written(spark):
+    with scratch.scratch_tables(spark):
+        path = scratch.new_scratch(spark, "gone")
+        spark.range(5).write.parquet(path)
+        assert scratch.stored(spark.range(3), "x").count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_braces_in_sql_text(spark, layers):
+    layers.write_silver(spark.createDataFrame([("A", "{x}"), ("BB", "y")], "s string, t string"), "braces")
+    assert layers.read_silver("braces", where="s rlike '^[A-Z]{1}$'").count() == 1
+    assert layers.read_silver("braces", select="t, '{x}' AS c", where="t = '{x}'").first() == ("{x}", "{x}")
+
+
+def test_partitioned_write_makes_few_files(spark, layers):
+    rows = spark.range(0, 4000, 1, 40).selectExpr("id", "id % 50 AS day")
+    assert layers.write_silver(rows, "days", partition_by=["day"]) == 4000
+    files = layers.read_silver("days").select(F.input_file_name()).distinct().count()
+    assert 50 <= files <= 60
