@@ -62,6 +62,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shares(df: DataFrame, size_mb: float = 32, least: int = 64) -> int:
     """How many parts the input's file size asks for; grows with the data, no upper limit."""
     try:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from assayline.llm.blocks import LOWER, byte_rows, map_arrow, slices, stored, windows_of, words_of
+from assayline.llm.blocks import LOWER, byte_rows, free_name, map_arrow, slices, stored, windows_of, words_of
 
 #: Window length in words.
 WINDOW = 10
@@ -136,26 +136,27 @@ def find_items(
     item_id: str = "item_id",
     item_text: str = "text",
     block_words: int = BLOCK_WORDS,
+    out_col: str = LEAK,
 ) -> DataFrame:
-    """``docs`` with one column ``leak``: n_words, n_hit, item_ids (sorted), hit spans (code points).
+    """``docs`` with one column ``out_col``: n_words, n_hit, item_ids (sorted), hit spans (code points).
 
     NULL and empty texts have no words and no hits; NULL items and items without
     words match nothing; repeated rows are marked alike. Beyond ``block_words``
     the items are dealt over several rounds, whose marks are merged per document.
     """
     blocks = _item_blocks(items, item_id, item_text, block_words)
-    out, later = docs.drop(LEAK), False
+    out, later = docs.drop(out_col), False
     for block in blocks:
         # a further round starts from a written table: one broadcast is alive at a time
-        out = _round(stored(out, "leaks") if later else out, text_col, ItemWindows(*block), later)
+        out = _round(stored(out, "leaks") if later else out, text_col, ItemWindows(*block), later, out_col)
         later = True
     return out
 
 
-def _round(docs: DataFrame, text_col: str, items: ItemWindows, later: bool) -> DataFrame:
+def _round(docs: DataFrame, text_col: str, items: ItemWindows, later: bool, out_col: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
-    names = [c for c in docs.columns if c != LEAK]
-    schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL(f"{LEAK} {LEAK_TYPE}").fields)
+    names = [c for c in docs.columns if c != out_col]
+    schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL(f"`{out_col}` {LEAK_TYPE}").fields)
 
     def run(batches):
         for batch in batches:
@@ -163,10 +164,10 @@ def _round(docs: DataFrame, text_col: str, items: ItemWindows, later: bool) -> D
                 column = part.column(text_col)
                 rows = _marks(shared.value, column)
                 if later:
-                    before = part.column(LEAK).to_pylist()
+                    before = part.column(out_col).to_pylist()
                     rows = [_merged(a, b, column, i) for i, (a, b) in enumerate(zip(before, rows))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in names] + [pa.array(rows, LEAK_ARROW)], names=[*names, LEAK]
+                    [part.column(c) for c in names] + [pa.array(rows, LEAK_ARROW)], names=[*names, out_col]
                 )
 
     return map_arrow(docs, run, schema)
@@ -205,14 +206,15 @@ def remove_hits(docs: DataFrame, items: DataFrame, drop_share: float = 0.5, text
     A document with more than ``drop_share`` of its words hit is removed whole;
     otherwise only the hit spans go. A NULL text stays NULL.
     """
-    marked = find_items(docs, items, text_col)
-    marked = marked.where(F.col("leak.n_hit") <= F.lit(drop_share) * F.col("leak.n_words"))
+    mark = free_name(docs, LEAK)
+    marked = find_items(docs, items, text_col, out_col=mark)
+    marked = marked.where(F.col(f"{mark}.n_hit") <= F.lit(drop_share) * F.col(f"{mark}.n_words"))
     names = docs.columns
     schema = docs.schema
 
     def run(batches):
         for batch in batches:
-            texts, leaks = batch.column(text_col).to_pylist(), batch.column("leak")
+            texts, leaks = batch.column(text_col).to_pylist(), batch.column(mark)
             spans = pc.struct_field(leaks, "spans").to_pylist()
             clean = pa.array([cut_spans(t, s) for t, s in zip(texts, spans)], batch.column(text_col).type)
             yield pa.RecordBatch.from_arrays(

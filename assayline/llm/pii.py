@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from assayline.llm.blocks import map_arrow, slices
+from assayline.llm.blocks import free_name, map_arrow, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -304,15 +304,15 @@ SPAN = "array<struct<kind:string,start:int,end:int>>"
 _SPAN_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
-def find_pii(docs: DataFrame, field: SkipChain, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``pii``: base spans and all spans (kind, start, end in code points, end exclusive).
+def find_pii(docs: DataFrame, field: SkipChain, text_col: str = "text", out_col: str = "pii") -> DataFrame:
+    """``docs`` with ``out_col``: base spans and all spans (kind, start, end in code points, end exclusive).
 
     NULL and empty texts have none; repeated rows are marked alike; an own column
-    named ``pii`` is replaced. Spans of different kinds may overlap.
+    of that name is replaced. Spans of different kinds may overlap.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    names = [c for c in docs.columns if c != "pii"]
-    schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL(f"pii struct<base:{SPAN},spans:{SPAN}>").fields)
+    names = [c for c in docs.columns if c != out_col]
+    schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL(f"`{out_col}` struct<base:{SPAN},spans:{SPAN}>").fields)
 
     def run(batches):
         for batch in batches:
@@ -323,7 +323,7 @@ def find_pii(docs: DataFrame, field: SkipChain, text_col: str = "text") -> DataF
                     for i in (0, 1)
                 ]
                 pii = pa.StructArray.from_arrays(columns, ["base", "spans"])
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [pii], names=[*names, "pii"])
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [pii], names=[*names, out_col])
 
     return map_arrow(docs, run, schema)
 
@@ -342,12 +342,13 @@ def redact(text: str | None, spans) -> str | None:
 
 def redact_all(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with personal data replaced, same columns; a NULL text stays NULL."""
-    marked = find_pii(docs, train_field(docs, id_col, text_col), text_col)
+    mark = free_name(docs, "pii")
+    marked = find_pii(docs, train_field(docs, id_col, text_col), text_col, mark)
     names = docs.columns
 
     def run(batches):
         for batch in batches:
-            spans = pc.struct_field(batch.column("pii"), "spans").to_pylist()
+            spans = pc.struct_field(batch.column(mark), "spans").to_pylist()
             texts = [redact(t, s) for t, s in zip(batch.column(text_col).to_pylist(), spans)]
             clean = pa.array(texts, batch.column(text_col).type)
             yield pa.RecordBatch.from_arrays([clean if c == text_col else batch.column(c) for c in names], names=names)
