@@ -33,7 +33,7 @@ LEXICON_WORDS = 300_000
 #: Distinct pieces between spaces that a task counts before it passes the counts on.
 COUNT_PIECES = 250_000
 #: Ids of pieces, and of merged words, that a worker keeps for later batches at most.
-KEEP_PIECES = 150_000
+KEEP_PIECES = 200_000
 #: Up to this many bytes a word's merges are found by scanning, beyond by a heap.
 LONG_WORD = 64
 
@@ -255,7 +255,8 @@ class Codec:
 
     def _ids(self, strings: list[str]) -> list[bytes]:
         """Ids of whole strings: words from the lexicon, else merged."""
-        rows = [self.split(s) for s in strings]
+        # letters after a space are one word of the pattern
+        rows = [(s,) if s[1:].isalpha() and s[0] == " " else self.split(s) for s in strings]
         words = list({w for row in rows for w in row})
         raw = [w.encode() for w in words]
         known: dict[str, bytes] = {}
@@ -266,7 +267,7 @@ class Codec:
             if ids is None:
                 ids = self.merged[data] = np.array(self.vocabulary.merge(data), "<u4").tobytes()
             known[word] = ids
-        return [b"".join([known[w] for w in row]) for row in rows]
+        return [known[row[0]] if len(row) == 1 else b"".join([known[w] for w in row]) for row in rows]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers; special tokens' strings become their ids."""
@@ -318,8 +319,11 @@ def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
         def flush():
             totals: Counter = Counter()
             for piece, n in pieces.items():
-                for word in split(f" {piece}"):
-                    totals[word] += n
+                if piece.isalpha():  # one word of the pattern
+                    totals[f" {piece}"] += n
+                else:
+                    for word in split(f" {piece}"):
+                        totals[word] += n
             pieces.clear()
             words, counts = zip(*totals.items()) if totals else ((), ())
             return pa.RecordBatch.from_arrays(
@@ -369,9 +373,13 @@ def _codec(vocabulary, lexicon) -> Codec:
     return _CODECS[key]
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes | None = None, decoded: str | None = None
+) -> DataFrame:
     """``docs`` with ``token_ids``: the ids of the whole text, little-endian unsigned 32-bit integers.
 
+    With ``decoded`` the ids are also decoded again, into a column of that name.
+
     ``path`` is a byte-level BPE file in the tokenizers library's format. NULL and
     empty texts have no ids; strings of special tokens in a text become their ids;
     repeated rows are encoded alike; an own column named ``token_ids`` is replaced.
@@ -380,17 +388,19 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes |
     vocabulary = Vocabulary(path)
     packed = train_lexicon(docs, vocabulary, text_col) if lexicon is None else lexicon
     shared, mapped = context.broadcast(vocabulary), context.broadcast(packed)
-    names = [c for c in docs.columns if c != "token_ids"]
-    schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL("token_ids binary").fields)
+    names = [c for c in docs.columns if c not in ("token_ids", decoded)]
+    made = "token_ids binary" + (f", {decoded} string" if decoded else "")
+    schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL(made).fields)
 
     def run(batches):
         codec = _codec(shared, mapped)
         for batch in batches:
             for part in slices(batch, text_col):
                 ids = codec.encode([t or "" for t in part.column(text_col).to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in names] + [pa.array(ids, pa.binary())], names=[*names, "token_ids"]
-                )
+                columns = [part.column(c) for c in names] + [pa.array(ids, pa.binary())]
+                if decoded:
+                    columns.append(pa.array(map(codec.decode, ids), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         # workers live on for tasks of other kinds
         codec.forget()
 
@@ -417,7 +427,7 @@ def decode(docs: DataFrame, path: str, ids_col: str = "token_ids", out_col: str
 
 def digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded text of every document, and the ids if asked."""
-    coded = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    coded = encode(docs.select("doc_id", "text"), path, decoded="decoded")
     return coded.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
