@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -94,7 +94,7 @@ def byte_rows(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES // 2) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with at most ``limit`` bytes of text (or one row)."""
     lengths = np.diff(byte_rows(batch.column(column))[1])
     start = total = 0
