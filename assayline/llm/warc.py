@@ -149,11 +149,13 @@ def range_cuts(keys: DataFrame, target: int) -> list[int]:
         cell, again = F.lit(None).cast("struct<lo:long,hi:long>"), []
         for a, b in spans:
             width = max(1, -(-(b - a + 1) // max(1, BINS // len(spans))))
-            lo = F.lit(a) + F.floor((F.col("page_id") - F.lit(a)) / F.lit(width)) * width
-            cell = F.when(
-                F.col("page_id").between(a, b),
-                F.struct(lo.cast("long").alias("lo"), F.least(lo + (width - 1), F.lit(b)).cast("long").alias("hi")),
-            ).otherwise(cell)
+            # in decimals: ids may be further apart than a long holds
+            number = lambda n: f"CAST('{n}' AS DECIMAL(20,0))"
+            place = f"(CAST(page_id AS DECIMAL(20,0)) - {number(a)}) div {number(width)}"
+            lo = f"{number(a)} + CAST({place} AS DECIMAL(10,0)) * {number(width)}"
+            hi = f"least({lo} + {number(width - 1)}, {number(b)})"
+            own = F.expr(f"named_struct('lo', CAST({lo} AS BIGINT), 'hi', CAST({hi} AS BIGINT))")
+            cell = F.when(F.col("page_id").between(a, b), own).otherwise(cell)
         sums = keys.select(cell.alias("cell"), "size").where("cell IS NOT NULL").groupBy("cell").agg(F.sum("size").alias("n"))
         for row in sums.collect():
             lo, hi = row["cell"]["lo"], row["cell"]["hi"]
