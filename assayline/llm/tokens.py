@@ -29,7 +29,7 @@ from assayline.llm.blocks import map_arrow, slices, stored
 #: Fixed: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words compiled into the lexicon at most: the most frequent of all documents.
-LEXICON_WORDS = 300_000
+LEXICON_WORDS = 150_000
 #: Distinct pieces between spaces that a task counts before it passes the counts on.
 COUNT_PIECES = 250_000
 #: Ids of pieces, and of merged words, that a worker keeps for later batches at most.
@@ -116,8 +116,8 @@ class Vocabulary:
         return [p for p, here in zip(parts, alive) if here]
 
 
-def compile_lexicon(entries: dict[bytes, list[int]]) -> dict[str, np.ndarray]:
-    """The minimal acyclic transducer of sorted words, as flat arrays.
+def compile_lexicon(entries: dict[bytes, bytes]) -> dict[str, np.ndarray]:
+    """The minimal acyclic transducer of words with their ids (as ``Codec.encode`` gives them), as flat arrays.
 
     Built from the right: states are merged when they have equal finality and arcs
     (label, target, number of words below). A word's place in the sorted list is
@@ -168,8 +168,8 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> dict[str, np.ndarray]:
         "skipped": np.array(skipped, np.int32),
         "final": np.array([s[0] for s in states], np.uint8),
         "root": np.array([root], np.int32),
-        "id_first": np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int64),
-        "ids": np.array([x for i in ids for x in i], "<u4"),
+        "id_first": np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int64),
+        "ids": np.frombuffer(b"".join(ids), "<u4"),
     }
 
 
@@ -357,8 +357,9 @@ def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
             ids = [np.array(shared.value.merge(w.encode()), "<u4").tobytes() for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
 
-    top = map_arrow(counts.where(step >= least).select("word"), merge, "word string, ids binary").collect()
-    return pack(compile_lexicon({row.word.encode(): np.frombuffer(row.ids, "<u4").tolist() for row in top}))
+    top = map_arrow(counts.where(step >= least).select("word"), merge, "word string, ids binary").toArrow()
+    words = top.column("word").cast(pa.binary())
+    return pack(compile_lexicon({w.as_py(): i.as_py() for w, i in zip(words, top.column("ids"))}))
 
 
 _CODECS: dict[tuple, Codec] = {}
