@@ -148,7 +148,8 @@ def runs_of(chunk: Chunk) -> Runs:
     doc = np.searchsorted(offsets, start, "right") - 1
     next_start = np.append(start[1:], len(valid))
     count = np.minimum(next_start, offsets[doc] + sizes[doc] - LEAST + 1) - start
-    runs = Runs(start, count, doc, low[start], none, sums, inverse)
+    # smallest hashes lie near 0; spread them again over all bits
+    runs = Runs(start, count, doc, mix(low[start] + np.uint64(1)), none, sums, inverse)
     runs.whole = runs.hashes(start, count + LEAST - 1)
     return runs
 
