@@ -85,6 +85,76 @@ class Vocabulary:
                 ranks[i - 1] = get((parts[i - 1], parts[i]), none)
         return parts
 
+    def pair_table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted pairs (first id * 2**32 + second id), the rank of each, and the joined id by rank."""
+        if not hasattr(self, "_table"):
+            key = np.array([a << 32 | b for a, b in self.ranks], np.int64)
+            rank = np.array(list(self.ranks.values()), np.int64)
+            joined = np.zeros(len(rank), np.int64)
+            joined[rank] = [self.joined[p] for p in self.ranks]
+            order = np.argsort(key)
+            self._table = key[order], rank[order], joined
+        return self._table
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """Ids of many words as little-endian unsigned 32-bit integers; the short ones are merged side by side.
+
+        A round joins, in every word, the leftmost pair of the lowest rank; words
+        without a pair that joins are done.
+        """
+        out: list[bytes] = [b""] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            if len(word) > LONG_WORD:
+                out[i] = np.array(self._merge_long(word), "<u4").tobytes()
+            else:
+                by_length.setdefault((len(word) + 3) // 4, []).append(i)
+        keys, ranks, joined = self.pair_table()
+        none = len(ranks)
+        single = np.array(self.single, np.int64)
+
+        def rank_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            pair = left << 32 | right
+            at = np.minimum(np.searchsorted(keys, pair), none - 1)
+            return np.where((keys[at] == pair) & (left >= 0) & (right >= 0), ranks[at], none)
+
+        for places in by_length.values():
+            width = max(len(words[i]) for i in places)
+            n = len(places)
+            sizes = np.array([len(words[i]) for i in places])
+            raw = np.zeros((n, width), np.uint8)
+            inside = np.arange(width) < sizes[:, None]
+            raw[inside] = np.frombuffer(b"".join([words[i] for i in places]), np.uint8)
+            parts = np.where(inside, single[raw], -1)
+            order = np.full((n, width), none)
+            if width > 1 and none:
+                order[:, :-1] = rank_of(parts[:, :-1], parts[:, 1:])
+            live = np.arange(n)
+            while len(live):
+                best = order[live].argmin(1)
+                rank = order[live, best]
+                live, best, rank = live[rank < none], best[rank < none], rank[rank < none]
+                if not len(live):
+                    break
+                # close the gap that the second part leaves
+                shift = np.arange(width) + (np.arange(width) > best[:, None])
+                padded = np.pad(parts[live], ((0, 0), (0, 1)), constant_values=-1)
+                parts[live] = np.take_along_axis(padded, shift, 1)
+                parts[live, best] = joined[rank]
+                padded = np.pad(order[live], ((0, 0), (0, 1)), constant_values=none)
+                order[live] = np.take_along_axis(padded, shift, 1)
+                after = np.where(best + 1 < width, parts[live, np.minimum(best + 1, width - 1)], -1)
+                order[live, best] = rank_of(parts[live, best], after)
+                left = best > 0
+                rows, at = live[left], best[left] - 1
+                order[rows, at] = rank_of(parts[rows, at], parts[rows, at + 1])
+            kept = parts >= 0
+            flat = parts[kept].astype("<u4").tobytes()
+            ends = (4 * np.cumsum(kept.sum(1))).tolist()
+            for i, a, b in zip(places, [0, *ends], ends):
+                out[i] = flat[a:b]
+        return out
+
     def _merge_long(self, word: bytes) -> list[int]:
         """The same over a linked list and a heap: n log n for runs without a break."""
         import heapq
@@ -228,6 +298,15 @@ class Lexicon:
             step += 1
         return out
 
+    def ids_of(self, places: np.ndarray) -> list[bytes | None]:
+        """Ids at many places, None for words not held."""
+        first, data = self.arrays["id_first"], memoryview(self.arrays["ids"]).cast("B")
+        at = np.maximum(places, 0)
+        if not len(first) - 1:
+            return [None] * len(places)
+        spans = zip(places.tolist(), (4 * first[at]).tolist(), (4 * first[at + 1]).tolist())
+        return [bytes(data[a:b]) if p >= 0 else None for p, a, b in spans]
+
     def ids(self, place: int) -> bytes:
         first = self.arrays["id_first"]
         return self.arrays["ids"][first[place] : first[place + 1]].tobytes()
@@ -259,14 +338,13 @@ class Codec:
         rows = [(s,) if s[1:].isalpha() and s[0] == " " else self.split(s) for s in strings]
         words = list({w for row in rows for w in row})
         raw = [w.encode() for w in words]
-        known: dict[str, bytes] = {}
         if len(self.merged) > KEEP_PIECES:
             self.merged.clear()
-        for word, data, place in zip(words, raw, self.lexicon.find(raw).tolist()):
-            ids = self.lexicon.ids(place) if place >= 0 else self.merged.get(data)
-            if ids is None:
-                ids = self.merged[data] = np.array(self.vocabulary.merge(data), "<u4").tobytes()
-            known[word] = ids
+        known = dict(zip(words, self.lexicon.ids_of(self.lexicon.find(raw))))
+        rare = [(w, data) for w, data in zip(words, raw) if known[w] is None]
+        new = [data for _, data in rare if data not in self.merged]
+        self.merged.update(zip(new, self.vocabulary.merge_many(new)))
+        known.update((w, self.merged[data]) for w, data in rare)
         return [known[row[0]] if len(row) == 1 else b"".join([known[w] for w in row]) for row in rows]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -354,7 +432,7 @@ def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
 
     def merge(batches):
         for batch in batches:
-            ids = [np.array(shared.value.merge(w.encode()), "<u4").tobytes() for w in batch.column(0).to_pylist()]
+            ids = shared.value.merge_many([w.encode() for w in batch.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
 
     top = map_arrow(counts.where(step >= least).select("word"), merge, "word string, ids binary").toArrow()
