@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -137,26 +136,33 @@ def find_items(
     item_text: str = "text",
     block_words: int = BLOCK_WORDS,
     out_col: str = LEAK,
+    cut_above: float | None = None,
 ) -> DataFrame:
     """``docs`` with one column ``out_col``: n_words, n_hit, item_ids (sorted), hit spans (code points).
 
     NULL and empty texts have no words and no hits; NULL items and items without
     words match nothing; repeated rows are marked alike. Beyond ``block_words``
     the items are dealt over several rounds, whose marks are merged per document.
+    With ``cut_above`` there is no such column: documents with a larger share of hit
+    words go, and the others lose their hit spans.
     """
     blocks = _item_blocks(items, item_id, item_text, block_words)
-    out, later = docs.drop(out_col), False
-    for block in blocks:
+    out, later, block = docs.drop(out_col), False, next(blocks)
+    while block is not None:
+        following = next(blocks, None)
+        # the last round cuts, if that is asked
+        share = cut_above if following is None else None
         # a further round starts from a written table: one broadcast is alive at a time
-        out = _round(stored(out, "leaks") if later else out, text_col, ItemWindows(*block), later, out_col)
-        later = True
+        out = _round(stored(out, "leaks") if later else out, text_col, ItemWindows(*block), later, out_col, share)
+        later, block = True, following
     return out
 
 
-def _round(docs: DataFrame, text_col: str, items: ItemWindows, later: bool, out_col: str) -> DataFrame:
+def _round(docs: DataFrame, text_col: str, items: ItemWindows, later: bool, out_col: str, cut_above: float | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
     names = [c for c in docs.columns if c != out_col]
-    schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL(f"`{out_col}` {LEAK_TYPE}").fields)
+    made = StructType.fromDDL(f"`{out_col}` {LEAK_TYPE}").fields if cut_above is None else []
+    schema = StructType([docs.schema[c] for c in names] + made)
 
     def run(batches):
         for batch in batches:
@@ -166,9 +172,14 @@ def _round(docs: DataFrame, text_col: str, items: ItemWindows, later: bool, out_
                 if later:
                     before = part.column(out_col).to_pylist()
                     rows = [_merged(a, b, column, i) for i, (a, b) in enumerate(zip(before, rows))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in names] + [pa.array(rows, LEAK_ARROW)], names=[*names, out_col]
-                )
+                if cut_above is None:
+                    columns = [part.column(c) for c in names] + [pa.array(rows, LEAK_ARROW)]
+                else:
+                    clean = [cut_spans(t, r["spans"]) for t, r in zip(column.to_pylist(), rows)]
+                    stays = pa.array([r["n_hit"] <= cut_above * r["n_words"] for r in rows], pa.bool_())
+                    columns = [pa.array(clean, column.type) if c == text_col else part.column(c) for c in names]
+                    columns = [c.filter(stays) for c in columns]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return map_arrow(docs, run, schema)
 
@@ -206,22 +217,7 @@ def remove_hits(docs: DataFrame, items: DataFrame, drop_share: float = 0.5, text
     A document with more than ``drop_share`` of its words hit is removed whole;
     otherwise only the hit spans go. A NULL text stays NULL.
     """
-    mark = free_name(docs, LEAK)
-    marked = find_items(docs, items, text_col, out_col=mark)
-    marked = marked.where(F.col(f"{mark}.n_hit") <= F.lit(drop_share) * F.col(f"{mark}.n_words"))
-    names = docs.columns
-    schema = docs.schema
-
-    def run(batches):
-        for batch in batches:
-            texts, leaks = batch.column(text_col).to_pylist(), batch.column(mark)
-            spans = pc.struct_field(leaks, "spans").to_pylist()
-            clean = pa.array([cut_spans(t, s) for t, s in zip(texts, spans)], batch.column(text_col).type)
-            yield pa.RecordBatch.from_arrays(
-                [clean if c == text_col else batch.column(c) for c in names], names=names
-            )
-
-    return map_arrow(marked, run, schema)
+    return find_items(docs, items, text_col, out_col=free_name(docs, LEAK), cut_above=drop_share)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,12 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from assayline.llm.blocks import free_name, map_arrow, slices
+from assayline.llm.blocks import map_arrow, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -342,18 +341,19 @@ def redact(text: str | None, spans) -> str | None:
 
 def redact_all(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with personal data replaced, same columns; a NULL text stays NULL."""
-    mark = free_name(docs, "pii")
-    marked = find_pii(docs, train_field(docs, id_col, text_col), text_col, mark)
+    shared = docs.sparkSession.sparkContext.broadcast(train_field(docs, id_col, text_col))
     names = docs.columns
 
     def run(batches):
         for batch in batches:
-            spans = pc.struct_field(batch.column(mark), "spans").to_pylist()
-            texts = [redact(t, s) for t, s in zip(batch.column(text_col).to_pylist(), spans)]
-            clean = pa.array(texts, batch.column(text_col).type)
-            yield pa.RecordBatch.from_arrays([clean if c == text_col else batch.column(c) for c in names], names=names)
+            for part in slices(batch, text_col):
+                texts = part.column(text_col).to_pylist()
+                found = find_spans([t or "" for t in texts], shared.value)
+                clean = [redact(t, [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in f[1]]) for t, f in zip(texts, found)]
+                column = pa.array(clean, part.column(text_col).type)
+                yield pa.RecordBatch.from_arrays([column if c == text_col else part.column(c) for c in names], names=names)
 
-    return map_arrow(marked, run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def op4_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Words compiled into the lexicon at most: the most frequent of all documents.
 LEXICON_WORDS = 150_000
 #: Distinct pieces between spaces that a task counts before it passes the counts on.
-COUNT_PIECES = 250_000
+COUNT_PIECES = 150_000
 #: Ids of pieces, and of merged words, that a worker keeps for later batches at most.
 KEEP_PIECES = 200_000
 #: Up to this many bytes a word's merges are found by scanning, beyond by a heap.
