@@ -4,8 +4,9 @@ Tokens with a digit or an at sign are the variables of the field; all other toke
 can only be "none", which cuts the chain exactly there. Neighbouring variables are
 linked (chain), and so are repeated or similar ones anywhere in the document (skip):
 equal tokens, equal digit strings, equal names before the at sign. Repeats are linked
-one to the next, so a token repeated n times has n - 1 links. Loopy message passing
-makes the labels of a document consistent; tokens inside base spans are evidence.
+one to the next, so a token repeated n times has n - 1 links, and to the evidence among
+them, however far off (one link a label). Loopy message passing makes the labels of a
+document consistent; tokens inside base spans are evidence.
 
 The weights are trained here, by pseudo-likelihood, on a bounded sample of documents
 whose labels are their base spans (without the checks that made them spans, so that
@@ -15,7 +16,7 @@ form and context decide). Every whole text is then read where it lies: no shuffl
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 #: Documents that the weights are trained on at most (those with the smallest hash of the id), and tokens of each.
 TRAIN_DOCS, TRAIN_TOKENS = 4_000, 200
-#: Rounds of message passing, and the belief from which a token is a find of its own.
-ROUNDS, SURE = 10, 0.8
+#: The belief from which a token is a find of its own, and the change of a message that still counts.
+SURE, STILL = 0.8, 1e-6
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -132,12 +133,16 @@ def keys_of(token: str) -> list[str]:
 
 @dataclass
 class Graph:
-    """Variables of one or more documents: features, evidence (-1: none), chain and skip links."""
+    """Variables of one or more documents: features, evidence (-1: none), chain and skip links.
+
+    ``far`` are (variable, label) for evidence with a key of the variable that no link joins to it.
+    """
 
     rows: list
     seen: list
     chain: list
     skip: list
+    far: list = field(default_factory=list)
 
     @classmethod
     def empty(cls) -> Graph:
@@ -147,6 +152,7 @@ class Graph:
         """Append a document's variables; the label of a span that a token overlaps is its evidence."""
         tokens = variables(text)[:most]
         first, k, latest = len(self.rows), 0, {}
+        linked, labels, keyed = len(self.skip), {}, []
         near = [0 <= b - a <= 3 for (_, a), (b, _) in zip(tokens, tokens[1:])]
         by_end = sorted(spans, key=lambda s: s[2])
         for i, (start, end) in enumerate(tokens):
@@ -160,10 +166,20 @@ class Graph:
             at = first + i
             if left:
                 self.chain.append((at - 1, at))
-            for key in keys_of(token):
+            keys = keys_of(token)
+            for key in keys:
                 if latest.get(key, at) < at and (latest[key], at) not in self.skip[-3:]:
                     self.skip.append((latest[key], at))
                 latest[key] = at
+                if inside:
+                    labels.setdefault(key, set()).add(inside[1] + 1)
+            if keys and not inside:
+                keyed.append((at, keys))
+        if labels:
+            told = {(a, self.seen[b]) for pair in self.skip[linked:] for a, b in (pair, pair[::-1])}
+            for at, keys in keyed:
+                of_keys = {label for key in keys for label in labels.get(key, ())}
+                self.far += [(at, label) for label in sorted(of_keys) if (at, label) not in told]
         return tokens
 
     def matrix(self) -> np.ndarray:
@@ -177,6 +193,29 @@ def _pairs(links: list) -> np.ndarray:
     return np.array(links, np.int64).reshape(-1, 2)
 
 
+def _reach(n: int, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each link, how many links the longest way through its connected part has, and whether that has loops."""
+    up, depth, loops = list(range(n)), [0] * n, []
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    # links lead to later variables, so all ways to a variable are known when it is left
+    for a, b in links[np.lexsort((links[:, 0], links[:, 1]))].tolist():
+        depth[b] = max(depth[b], depth[a] + 1)
+        ra, rb = root(a), root(b)
+        up[max(ra, rb)] = min(ra, rb)
+        loops += [a] if ra == rb else []
+    part = np.array([root(a) for a in links[:, 0].tolist()], np.int64)
+    longest = np.zeros(n, np.int64)
+    ends = np.array(depth, np.int64)
+    np.maximum.at(longest, part, np.maximum(ends[links[:, 0]], ends[links[:, 1]]))
+    return longest[part], np.isin(part, [root(a) for a in loops])
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     x = np.exp(x - x.max(1, keepdims=True))
     return x / x.sum(1, keepdims=True)
@@ -213,14 +252,22 @@ class SkipChain:
         a, b = weights[N_FEATURES : N_FEATURES + k], weights[N_FEATURES + k :]
         return cls(weights[:N_FEATURES], (a + a.T) / 2, (b + b.T) / 2)
 
-    def beliefs(self, graph: Graph, use_evidence: bool = True, rounds: int = ROUNDS) -> np.ndarray:
-        """Label probabilities of each variable by loopy sum-product, damped."""
+    def beliefs(self, graph: Graph, use_evidence: bool = True) -> np.ndarray:
+        """Label probabilities of each variable by loopy sum-product until the messages stand still.
+
+        Messages are damped where there are loops and need about two rounds a link there; the
+        bound, which only loops that never settle reach, follows the longest way through a variable's own part of the
+        graph, so that documents beside each other do not change one another's labels.
+        """
         n = len(graph.rows)
         if not n:
             return np.zeros((0, len(LABELS)))
         own = graph.matrix() @ self.unary
         seen = np.array(graph.seen)
         if use_evidence:
+            # a link to evidence always carries the same message
+            far = _pairs(graph.far)
+            np.add.at(own, far[:, 0], self.skip[far[:, 1]])
             known = seen >= 0
             own[known] = -50.0
             own[known, seen[known]] = 0.0
@@ -229,19 +276,27 @@ class SkipChain:
         target = np.concatenate([chain[:, 1], skip[:, 1], chain[:, 0], skip[:, 0]])
         m = len(source) // 2
         kind = np.repeat([0, 1], [len(chain), len(skip)])
-        table = np.stack([self.chain, self.skip])[np.concatenate([kind, kind])]
+        kind = np.concatenate([kind, kind])
+        tables = np.stack([self.chain, self.skip])
         back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
         sent = np.zeros((2 * m, len(LABELS)))
-        for _ in range(rounds if m else 0):
-            total = own.copy()
-            np.add.at(total, target, sent)
-            out = total[source] - sent[back]
-            out = out[:, :, None] + table
+        longest, loops = _reach(n, np.concatenate([chain, skip]))
+        bound, pace = np.tile(100 + 4 * longest, 2), np.tile(np.where(loops, 0.5, 1.0)[:, None], (2, 1))
+        total, active, done = own.copy(), np.arange(2 * m), 0
+        while len(active):
+            # only messages whose grounds have changed are made again
+            out = total[source[active]] - sent[back[active]]
+            out = out[:, :, None] + tables[kind[active]]
             top = out.max(1)
             out = top + np.log(np.exp(out - top[:, None, :]).sum(1))
-            sent = 0.5 * sent + 0.5 * (out - out.max(1, keepdims=True))
-        total = own
-        np.add.at(total, target, sent)
+            step = pace[active] * (out - out.max(1, keepdims=True) - sent[active])
+            sent[active] += step
+            np.add.at(total, target[active], step)
+            moved = active[np.abs(step).max(1) > STILL]
+            again, stirred = np.zeros(2 * m, bool), np.zeros(n, bool)
+            again[moved] = stirred[target[moved]] = True
+            done += 1
+            active = np.flatnonzero((again | stirred[source]) & (done < bound))
         return _softmax(total)
 
 

@@ -274,6 +274,39 @@ def test_skip_links_spread_labels():
     assert [text[s:e] for s, k, e in spans if (s, k, e) not in base] == ["1234567"]
 
 
+@pytest.mark.parametrize("n", [1, 50, 500])
+@pytest.mark.parametrize("evidence_last", [False, True])
+@pytest.mark.parametrize("prior", [0.0, 1.0])
+def test_evidence_reaches_all_repeats(n, evidence_last, prior):
+    field = pii.SkipChain(np.zeros((pii.N_FEATURES, 5)), np.zeros((5, 5)), 6 * np.eye(5))
+    field.unary[0, 0] = prior
+    cells = ["491701234567 words"] * n
+    cells.insert(n if evidence_last else 0, "+491701234567 words")
+    text = " and ".join(cells)
+    # another document beside it does not change it
+    (base, spans), _ = pii.find_spans([text, "at 12:30 " * 40], field)
+    assert len(base) == 1 and len(spans) == n + 1 and {k for _, k, _ in spans} == {3}
+    assert "1234567" not in pii.redact(text, [{"kind": "phone", "start": s, "end": e} for s, _, e in spans])
+
+
+def test_beliefs_are_exact_on_a_chain():
+    """Messages run until they stand still: forward and backward sums give the same beliefs."""
+    rng = np.random.default_rng(4)
+    for n in (2, 12, 60, 200):
+        rows, links = [[int(i)] for i in rng.integers(0, pii.N_FEATURES, n)], [(i, i + 1) for i in range(n - 1)]
+        field = pii.SkipChain(rng.normal(0, 0.1, (pii.N_FEATURES, 5)), np.zeros((5, 5)), 8 * np.eye(5))
+        graph = pii.Graph(rows, [3] + [-1] * (n - 1), [], links)
+        own, table = np.exp([field.unary[r[0]] for r in rows]), np.exp(field.skip)
+        own[0] = np.eye(5)[3]
+        ahead, behind = [own[0]], [np.ones(5)]
+        for i in range(1, n):
+            ahead.append(own[i] * (ahead[-1] / ahead[-1].sum() @ table))
+            behind.append(table @ (own[n - i] * behind[-1] / behind[-1].sum()))
+        exact = np.array(ahead) * np.array(behind[::-1])
+        exact /= exact.sum(1, keepdims=True)
+        assert np.abs(field.beliefs(graph) - exact).max() < 1e-3
+
+
 def test_redact(docs, empty):
     out = pii.redact_all(docs)
     assert out.schema == docs.schema and out.count() == docs.count()
