@@ -41,8 +41,9 @@ class ItemWindows:
 
     def __init__(self, ids: list, texts: list[str | None], window: int = WINDOW):
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        keep = [(i, t) for i, t in zip(ids, texts) if i is not None and t]
-        self.item_ids = np.array([i for i, _ in keep], np.int64)
+        keep = [(i, t) for i, t in zip(ids, texts) if t]
+        # an item without an id hits like any other, and is not listed
+        self.item_ids = [i for i, _ in keep]
         data, offsets = byte_rows(pa.array([t for _, t in keep], pa.string()))
         data = LOWER[data]
         words = words_of(data, offsets, ITEM_WORDS)
@@ -109,7 +110,7 @@ def _marks(items: ItemWindows, column: pa.Array) -> list[dict]:
             }
             for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())
         ]
-        ids = sorted(int(items.item_ids[i]) for i in found[doc])
+        ids = sorted({items.item_ids[i] for i in found[doc]} - {None})
         out.append({"n_words": n, "n_hit": int(mask.sum()), "item_ids": ids, "spans": spans})
     return out
 
@@ -140,8 +141,8 @@ def find_items(
 ) -> DataFrame:
     """``docs`` with one column ``out_col``: n_words, n_hit, item_ids (sorted), hit spans (code points).
 
-    NULL and empty texts have no words and no hits; NULL items and items without
-    words match nothing; repeated rows are marked alike. Beyond ``block_words``
+    NULL and empty texts have no words and no hits; items without words match nothing;
+    items without an id hit but are not listed, and a repeated id is listed once; repeated rows are marked alike. Beyond ``block_words``
     the items are dealt over several rounds, whose marks are merged per document.
     With ``cut_above`` there is no such column: documents with a larger share of hit
     words go, and the others lose their hit spans.

@@ -317,6 +317,16 @@ def test_redact(docs, empty):
 
 # -- 5: decontamination
 
+def test_items_without_id_and_repeated_ids(spark):
+    texts = ["alpha beta gamma delta", "one two three four", "red green blue"]
+    items = spark.createDataFrame([(None, texts[0]), (7, texts[1]), (7, texts[2])], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {texts[0]} y"), (2, f"{texts[1]} and {texts[2]}")], "doc_id long, text string")
+    for block_words in (decontamination.BLOCK_WORDS, 1):
+        got = {r.doc_id: r.leak for r in decontamination.find_items(docs, items, block_words=block_words).collect()}
+        assert [(got[i].n_hit, got[i].item_ids) for i in (1, 2)] == [(4, []), (7, [7])]
+    assert {r.text for r in decontamination.remove_hits(docs, items, drop_share=0.7).collect()} == {"x  y"}
+
+
 ITEM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
