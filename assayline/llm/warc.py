@@ -138,17 +138,22 @@ class _Roller:
 def range_cuts(keys: DataFrame, target: int) -> list[int]:
     """Upper ids (inclusive) of ranges with about ``target`` bytes, from exact sums of ``size`` by ``page_id``.
 
-    Sums are taken over ``BINS`` equal intervals; intervals heavier than the target are
-    summed again more finely until they are light or a single id.
+    Sums are taken over ``BINS`` equal intervals (or two for each target in all bytes, if
+    those are more); intervals heavier than the target are summed again more finely until
+    they are light or a single id, the heaviest first, those beyond a pass in a later one.
     """
-    edge = keys.where("page_id IS NOT NULL").agg(F.min("page_id").alias("a"), F.max("page_id").alias("b")).first()
+    edge = keys.where("page_id IS NOT NULL").agg(F.min("page_id").alias("a"), F.max("page_id").alias("b"), F.sum("size").alias("n")).first()
     if edge["a"] is None:
         return []
-    spans, light = [(int(edge["a"]), int(edge["b"]))], []
-    while spans:
-        cell, again = F.lit(None).cast("struct<lo:long,hi:long>"), []
-        for a, b in spans:
-            width = max(1, -(-(b - a + 1) // max(1, BINS // len(spans))))
+    bins = max(BINS, -(-2 * int(edge["n"]) // target))
+    heavy, light = [(int(edge["a"]), int(edge["b"]), int(edge["n"]))], []
+    while heavy:
+        # a pass asks for about as many intervals as the first; each span is a branch of its expression
+        heavy.sort(key=lambda x: -x[2])
+        spans, heavy = heavy[: BINS // 8], heavy[BINS // 8 :]
+        cell = F.lit(None).cast("struct<lo:long,hi:long>")
+        for a, b, _ in spans:
+            width = max(1, -(-(b - a + 1) // max(2, bins // len(spans))))
             # in decimals: ids may be further apart than a long holds
             number = lambda n: f"CAST('{n}' AS DECIMAL(20,0))"
             place = f"(CAST(page_id AS DECIMAL(20,0)) - {number(a)}) div {number(width)}"
@@ -159,11 +164,7 @@ def range_cuts(keys: DataFrame, target: int) -> list[int]:
         sums = keys.select(cell.alias("cell"), "size").where("cell IS NOT NULL").groupBy("cell").agg(F.sum("size").alias("n"))
         for row in sums.collect():
             lo, hi = row["cell"]["lo"], row["cell"]["hi"]
-            (again if row["n"] > target and hi > lo else light).append((lo, hi, row["n"]))
-        # at most BINS intervals a pass; the heaviest go first
-        again.sort(key=lambda x: -x[2])
-        light += again[BINS // 8 :]
-        spans = [(lo, hi) for lo, hi, _ in again[: BINS // 8]]
+            (heavy if row["n"] > target and hi > lo else light).append((lo, hi, row["n"]))
     cuts, held = [], 0
     for lo, hi, n in sorted(light):
         if held and held + n > target:

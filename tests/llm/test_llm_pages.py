@@ -105,6 +105,17 @@ def test_range_cuts(spark):
     assert warc.range_cuts(keys.limit(0), 100) == []
 
 
+def test_range_cuts_leave_nothing_heavy(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BINS", 16)
+    even = np.arange(400)
+    # more heavy intervals than a pass takes: six runs of ids, far apart
+    skewed = np.concatenate([k * 10**6 + np.arange(30) for k in range(6)])
+    for ids in (even, skewed):
+        keys = spark.createDataFrame([(int(i), 10) for i in ids], "page_id long, size long").coalesce(1)
+        cuts = warc.range_cuts(keys, 100)
+        assert np.bincount(np.searchsorted(cuts, ids, "left")).max() * 10 <= 100
+
+
 def test_no_pages(spark, pages, tmp_path):
     folder = folder_of(tmp_path, "e")
     assert warc.read_warc(warc.write_warc(pages.limit(0), folder), folder).collect() == []
