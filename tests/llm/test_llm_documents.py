@@ -193,6 +193,13 @@ def test_units_by_hand():
     assert found[0][2] == found[1][2] != found[2][2]
 
 
+def test_whole_lines_of_any_length():
+    text = "All rights reserved.\n\none two three. four\nALL rights  reserved."
+    found = substrings.units_of(text, "line", min_words=1)
+    assert [text[s:e] for s, e, _ in found] == ["All rights reserved.", "one two three. four", "ALL rights  reserved."]
+    assert found[0][2] == found[2][2] != found[1][2]
+
+
 def test_units_repeated_rows(docs, empty):
     got = substrings.repeated_units(docs).where("doc_id IS NULL").collect()
     assert sorted(r.n_removed for r in got) == [0, 1]
