@@ -245,15 +245,31 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
+def open_entries(places: dict[int, list[tuple[int, int]]], a: int, smallest: int, left: int):
+    """(size, set) of entries that a set of ``a`` shingles, ``left`` of them from the probing place on, may link to."""
+    least = least_shared(a, smallest)
+    if left < least:
+        return
+    for j, block in places.items():
+        # what both have from their places on; larger sets need more
+        most = min(j, left)
+        if most < least:
+            continue
+        for size, y in block[bisect_left(block, (smallest,)) :]:
+            if least_shared(a, size) > most:
+                break
+            yield size, y
+
+
 def link_sets(n: list[int], tokens: list[np.ndarray], labels: list) -> list[int]:
     """Root of each set after joining all linked ones (sets with equal labels are joined already).
 
     Sets come by size; a set probes the lists of its first shingles. A list is kept in
-    blocks, one for each component at the time of entry, ordered by size:
+    blocks, one for each component at the time of entry and place in the set, ordered by size:
 
-    * index skipping: a block of the set's own component is passed over whole, as are
-      the entries that are too small, and those whose place in their set (or the probing
-      place) leaves too few shingles to share;
+    * index skipping: the blocks of the set's own component are passed over whole, as is
+      a block whose place (or the probing place) leaves too few shingles to share; in
+      the others so are the entries that are too small, and those too large for the place;
     * answer skipping: an entry that was joined to a highly similar set (its base) keeps
       its differences from it. Once the overlap with the base is known, the entry's
       overlap is bounded by it, and if need be made from it by the differences alone.
@@ -261,7 +277,7 @@ def link_sets(n: list[int], tokens: list[np.ndarray], labels: list) -> list[int]
     forest = _Forest(labels)
     ordered = [np.sort(t) for t in tokens]
     base: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}  # set -> (base, own more, base's more)
-    lists: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
+    lists: dict[int, dict[int, dict[int, list[tuple[int, int]]]]] = {}
     for x in sorted(range(len(n)), key=lambda i: (n[i], i)):
         a, mine = n[x], ordered[x]
         alone = a - len(mine)
@@ -270,12 +286,12 @@ def link_sets(n: list[int], tokens: list[np.ndarray], labels: list) -> list[int]
         smallest = least_shared(a)
         prefix = tokens[x][: prefix_length(a, alone)].tolist()
         for i, token in enumerate(prefix):
-            for root, block in lists.get(token, {}).items():
+            for root, places in lists.get(token, {}).items():
                 if forest.root(root) == forest.root(x):
                     continue
-                for size, j, y in block[bisect_left(block, (smallest,)) :]:
+                for size, y in open_entries(places, a, smallest, a - alone - i):
                     need = least_shared(a, size)
-                    if y in checked or a - alone - i < need or j < need:
+                    if y in checked:
                         continue
                     checked.add(y)
                     from_base = base.get(y)
@@ -298,7 +314,7 @@ def link_sets(n: list[int], tokens: list[np.ndarray], labels: list) -> list[int]
         root = forest.root(x)
         for i, token in enumerate(prefix):
             # what the set has from this place on
-            lists.setdefault(token, {}).setdefault(root, []).append((a, len(mine) - i, x))
+            lists.setdefault(token, {}).setdefault(root, {}).setdefault(len(mine) - i, []).append((a, x))
     return [forest.root(i) for i in range(len(n))]
 
 

@@ -122,6 +122,17 @@ def test_link_sets_skips_but_loses_nothing():
     assert same(roots) == same([root(i) for i in range(len(sets))])
 
 
+def test_blocks_are_skipped_by_place():
+    class Unread(list):
+        def __getitem__(self, _):
+            raise AssertionError("a block without enough shingles left was read")
+
+    places = {40: Unread([(100, 1)]), 90: [(70, 2), (80, 3), (100, 4), (110, 5)]}
+    # 100 and 80 share 80 at least, 100 and 100 share 89, 100 and 110 share 94
+    assert list(ngram_join.open_entries(places, 100, 80, 95)) == [(80, 3), (100, 4)]
+    assert list(ngram_join.open_entries({90: Unread([(100, 1)])}, 100, 80, 79)) == []
+
+
 # -- 2: sharding
 
 @pytest.mark.parametrize("zoom", [16_384, 8])
