@@ -36,7 +36,7 @@ def test_sql(spark, name):
 
 def test_registered():
     names = set(entry_point.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {re.match(r"op\d+_", n)[0] for n in names if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} <= {re.match(r"op\d+_", n)[0] for n in names if n.startswith("op")}
     assert "pipeline" in names
 
 
@@ -201,6 +201,8 @@ def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    turns = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame([], turns).write.parquet(f"{tmp_path}/conversations.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
     for name, query in catalog.QUERIES.items():
         assert query(spark, str(tmp_path)).collect() == [], name
