@@ -419,7 +419,7 @@ def repaired(rows: DataFrame, gone_col: str | None = None) -> DataFrame:
     def choose(batches):
         yield from _batches(_groups(_rows(batches), _chosen_rows), chosen_schema, 4 << 20, lambda r: 200 + len(r["audit"]))
 
-    matrices = parts.select("conv", "place", "facts", "ways").repartition(shares(parts), "conv")
+    matrices = parts.select("conv", "place", "facts", "ways").repartition("conv")
     choices = map_arrow(matrices.sortWithinPartitions("conv", "place"), choose, choice)
 
     done = StructType([schema["conv"], *StructType.fromDDL(f"place long, messages {MESSAGES}, totals {TOTALS}").fields])
@@ -488,7 +488,7 @@ def digests(pieces: DataFrame) -> DataFrame:
 
         yield from _batches(each(), made, 4 << 20, lambda r: 200 + len(r["totals"]["audit"]))
 
-    ordered = parts.repartition(shares(parts), "conv_id").sortWithinPartitions("conv_id", "place")
+    ordered = parts.repartition("conv_id").sortWithinPartitions("conv_id", "place")
     return whole.unionByName(map_arrow(ordered, hashed, schema))
 
 
