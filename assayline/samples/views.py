@@ -131,6 +131,21 @@ SELECT o_orderkey,
             WHEN o_orderkey % 3 = 0 THEN 'CLEAN' ELSE 'FLAGGED_ANOMALY' END AS data_quality_status,
        CASE WHEN o_orderkey % 3 = 0 THEN 'CONFIRMED' ELSE 'UNRELIABLE' END AS metric_certainty_level
 FROM {orders}""",
+    # three snapshots: names and prices change and change back, products are missing and come back
+    "product_days": """
+SELECT DATE '1996-01-01' AS day, 'SKU-' || CAST(p_partkey AS STRING) AS sku, p_name AS product_name,
+       p_brand AS brand_id, p_retailprice AS rrp
+FROM {part} WHERE p_partkey % 13 <> 0
+UNION ALL
+SELECT DATE '1998-01-01', 'SKU-' || CAST(p_partkey AS STRING),
+       CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 7 = 1 THEN upper(p_name) ELSE p_name END,
+       p_brand, CASE WHEN p_partkey % 5 = 0 THEN p_retailprice + 10 ELSE p_retailprice END
+FROM {part} WHERE p_partkey % 17 <> 0
+UNION ALL
+SELECT DATE '2000-01-01', 'SKU-' || CAST(p_partkey AS STRING), CASE WHEN p_partkey % 14 = 0 THEN NULL ELSE p_name END,
+       CASE WHEN p_partkey % 3 = 0 THEN lower(p_brand) ELSE p_brand END,
+       CASE WHEN p_partkey % 10 = 0 THEN p_retailprice + 10 ELSE p_retailprice END
+FROM {part} WHERE p_partkey % 19 <> 0""",
     # literal mapping rows: fixed values
     "status_map": """
 SELECT source_system, raw_code, canonical_status, CAST(1.0 AS DOUBLE) AS mapping_confidence
