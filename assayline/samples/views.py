@@ -146,6 +146,34 @@ SELECT DATE '2000-01-01', 'SKU-' || CAST(p_partkey AS STRING), CASE WHEN p_partk
        CASE WHEN p_partkey % 3 = 0 THEN lower(p_brand) ELSE p_brand END,
        CASE WHEN p_partkey % 10 = 0 THEN p_retailprice + 10 ELSE p_retailprice END
 FROM {part} WHERE p_partkey % 19 <> 0""",
+    # customer records of several systems: shared and shifted contacts, blanks, one address that many give
+    "contacts": """
+SELECT c_custkey AS record_id,
+       CASE WHEN c_custkey % 23 = 0 THEN 'shop@example.org' WHEN c_custkey % 6 >= 4 THEN NULL
+            WHEN c_custkey % 29 = 0 THEN '  '
+            ELSE 'c' || CAST(CAST(floor(c_custkey / 3) AS BIGINT) AS STRING) || '@example.org' END AS email,
+       CASE WHEN c_custkey % 24 < 9 THEN '+1' || CAST(CAST(floor((c_custkey + 1) / 4) AS BIGINT) AS STRING) END AS phone,
+       CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END AS full_name,
+       c_mktsegment AS segment
+FROM {customer}""",
+    # what happens to an order, from its dates and keys; some of it too early, too late or never
+    "order_log": """
+SELECT o_orderkey AS order_key, 'ordered' AS event, CAST(o_orderdate AS DATE) AS day FROM {orders}
+UNION ALL SELECT o_orderkey, 'payment', CAST(o_orderdate AS DATE) + CAST(o_orderkey % 6 AS INT) FROM {orders}
+UNION ALL SELECT o_orderkey, 'cancelled', CAST(o_orderdate AS DATE) + 3 FROM {orders} WHERE o_orderstatus = 'P' AND o_orderkey % 7 < 2
+UNION ALL SELECT o_orderkey, 'bopis', CAST(o_orderdate AS DATE) FROM {orders} WHERE o_orderpriority = '5-LOW'
+UNION ALL SELECT o_orderkey, 'picked_up', CAST(o_orderdate AS DATE) + 2 FROM {orders} WHERE o_orderkey % 4 <> 0
+UNION ALL SELECT l_orderkey, 'shipped', CAST(l_shipdate AS DATE) FROM {lineitem}
+UNION ALL SELECT l_orderkey, 'delivered', CASE WHEN l_partkey % 40 = 3 THEN NULL
+       ELSE CAST(l_shipdate AS DATE) + CAST(l_partkey % 19 - 1 AS INT) END FROM {lineitem} WHERE l_orderkey % 5 <> 0
+UNION ALL SELECT l_orderkey, 'review', CAST(l_shipdate AS DATE) + CAST(l_suppkey % 30 AS INT) FROM {lineitem} WHERE l_linenumber = 1""",
+    # delays of couriers in days, two of them by clocks that are off
+    "deliveries": """
+SELECT l_orderkey, l_linenumber, 'C' || CAST(l_suppkey % 30 AS STRING) AS courier,
+       CASE WHEN l_orderkey % 50 = 0 THEN NULL
+            ELSE CAST(l_partkey % 7 + l_linenumber % 3 + CASE l_suppkey % 30 WHEN 7 THEN 40 WHEN 13 THEN -30 ELSE l_suppkey % 30 % 2 END AS BIGINT)
+       END AS delay_days
+FROM {lineitem}""",
     # literal mapping rows: fixed values
     "status_map": """
 SELECT source_system, raw_code, canonical_status, CAST(1.0 AS DOUBLE) AS mapping_confidence
@@ -187,6 +215,7 @@ def view_sql(name: str) -> str:
 def with_views(query: str, *names: str) -> str:
     """``query`` with the named views (``v_<name>``) in front of it."""
     parts = ",\n".join(f"v_{n} AS ({view_sql(n)})" for n in names)
-    if query.lstrip().upper().startswith("WITH "):
-        return f"WITH {parts},\n{query.lstrip()[5:]}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if query.lstrip().upper().startswith(start):
+            return f"{start}{parts},\n{query.lstrip()[len(start):]}"
     return f"WITH {parts}\n{query}"

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from assayline.operators.sessions import GAP, sessions
 from assayline.sources.tables import Medallion, lower_names
 
 
@@ -40,3 +41,23 @@ def append_silver(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def append_sessions(
+    layers: Medallion,
+    events: DataFrame,
+    user: str,
+    time: str,
+    table: str,
+    checkpoint: str,
+    gap: str = GAP,
+    watermark: str = "1 hour",
+) -> StreamingQuery:
+    """Append the sessions of a stream of events that are over, then stop.
+
+    A session is over when the watermark, the latest event time seen less ``watermark``,
+    has passed its last event by the gap; until then it is state in the checkpoint. Events
+    that come later than that are not counted, so sessions are those of a batch over all
+    events in time.
+    """
+    return append_silver(layers, events, lambda df: sessions(df, user, time, gap, watermark), table, checkpoint)
