@@ -193,7 +193,8 @@ def match_rows(
 
 PAIRS_PER_TASK = 20_000_000
 MOST_CELLS = 250_000  # a cell has at least this fraction of all pairs, so no more grams than this need a grid
-PLACED_UP_TO = 100  # longer texts are indexed without places, or they would have too many
+PLACED_UP_TO = 100  # pieces of longer texts are filed by a run of places, or shorter texts would have too many
+RUN = 32  # places of such a run
 
 
 def _edits(length: str, percent: int) -> str:
@@ -206,87 +207,127 @@ def _piece(length: str, percent: int) -> str:
     return f"({length} div ({_edits(length, percent)} + 1))"
 
 
-def _gram(i: str, p: str, size: str) -> str:
-    return f"named_struct('i', {i}, 'p', {p}, 'gram', substring(t, int(1 + {p}), int({size})))"
+def _exploded(df: DataFrame, name: str, low: str, high: str) -> DataFrame:
+    """A row for every whole number from ``low`` to ``high``; none if there is none."""
+    df = df.withColumns({"__low": F.expr(low), "__high": F.expr(high)}).where("__low <= __high")
+    return df.withColumn(name, F.explode(F.sequence("__low", "__high"))).drop("__low", "__high")
 
 
-def _unplaced(p: str, size: str) -> str:
-    return f"named_struct('i', -1L, 'p', -1L, 'gram', substring(t, int(1 + {p}), int({size})))"
+_KEEP = ["id", "n", "c1", "c2", "c3"]
 
 
-def _pieces(percent: int) -> Column:
-    """Disjoint pieces of the text, one more than the edits it may undergo."""
-    size = _piece("n", percent)
-    numbers = f"sequence(0L, {_edits('n', percent)})"
-    return F.expr(
-        f"CASE WHEN n <= {PLACED_UP_TO} "
-        f"THEN transform({numbers}, i -> {_gram('i', f'(i * {size})', size)}) "
-        f"ELSE array_distinct(transform({numbers}, i -> {_unplaced(f'(i * {size})', size)})) END"
-    )
+def _filed(df: DataFrame, role: str, place: Sequence[str]) -> DataFrame:
+    """Index rows: the gram of ``q`` characters at ``p`` with all it must agree in, as one number.
+
+    Two files of one number only make a candidate more, which is compared like any other.
+    """
+    gram = F.expr("substring(t, int(p + 1), int(q))")
+    return df.select(*_KEEP, F.col("p").cast("int").alias("p"), "i", F.xxhash64("block", F.lit(role), *place, gram).alias("key"))
 
 
-def _grams(percent: int) -> Column:
-    """Substrings of the text that could be piece ``i`` of a longer (or equal) text.
+def _pieces(texts: DataFrame, percent: int, role: str, far: bool = True) -> DataFrame:
+    """Index rows of the text as the longer one: disjoint pieces, one more than the edits it may undergo.
 
-    Piece ``i`` starts at ``i * q`` there and may have moved by at most ``i``
-    places, and by no more than the edits left for what follows it.
+    ``far``: whether there are texts beyond ``PLACED_UP_TO`` at all.
     """
+    cut = texts.withColumns({"k": F.expr(_edits("n", percent)), "q": F.expr(_piece("n", percent))})
+    cut = _exploded(cut, "i", "0L", "k").withColumn("p", F.expr("i * q")).withColumn("i", F.col("i").cast("int"))
+    short = _filed(cut.where(f"n <= {PLACED_UP_TO}"), role, ["k", "q", "i"])
+    if not far:
+        return short
+    long = cut.where(f"n > {PLACED_UP_TO}").withColumn("run", F.expr(f"p div {RUN}"))
+    return short.unionByName(_filed(long, role, ["q", "run"]))
+
+
+def _grams(texts: DataFrame, percent: int, role: str, far: bool = True) -> DataFrame:
+    """Index rows of the text as the shorter one: substrings that could be piece ``i`` of a longer (or equal) text.
+
+    A longer text of length m allows k edits and has pieces of q characters. Its piece i,
+    at ``i * q``, moved by at most i places, and so that what follows it differs by at
+    most ``k - i``. Lengths of one k and q are handled together, so k is part of the file:
+    texts meet only at lengths that allow their edits. Texts beyond ``PLACED_UP_TO`` have
+    too many such places; their pieces are filed by runs of places that cover them.
+    """
+    slack = 100 - percent
     most = f"((100 * n) div {percent})"  # the longest text this one can match
-    placed = f"least({most}, {PLACED_UP_TO}L)"
-    edits = _edits(placed, percent)
-    low, high = "greatest(0L, i * (q - 1))", f"least(n - q, i * q + least(i, {edits} - i))"
-
-    def sizes(shortest: str, longest: str) -> str:
-        """Piece sizes of texts with these lengths (none if the range is empty)."""
-        lengths = f"filter(sequence({shortest}, greatest({shortest}, {longest})), m -> m <= {longest})"
-        return f"filter(array_distinct(transform({lengths}, m -> {_piece('m', percent)})), q -> q <= n)"
-
-    return F.expr(
-        "concat("
-        f"flatten(transform({sizes('n', placed)}, q -> flatten(transform("
-        f"filter(sequence(0L, {edits}), i -> {low} <= {high}), "
-        f"i -> transform(sequence({low}, {high}), p -> {_gram('i', 'p', 'q')}))))), "
-        f"flatten(transform({sizes(f'greatest(n, {PLACED_UP_TO + 1}L)', most)}, "
-        f"q -> array_distinct(transform(sequence(0L, n - q), p -> {_unplaced('p', 'q')})))))"
-    )
-
-
-def _signatures(
-    texts: DataFrame, percent: int, longer: str, shorter: str, keep: Sequence[str] = ()
-) -> DataFrame:
-    """One row per (block, role, i, gram) of a text; a text plays both roles."""
-    roles = F.array(
-        F.struct(F.lit(longer).alias("role"), _pieces(percent).alias("grams")),
-        F.struct(F.lit(shorter).alias("role"), _grams(percent).alias("grams")),
-    )
-    return (
-        texts.withColumn("r", F.explode(roles))
-        .select("block", "t", "n", *keep, "r.role", F.explode("r.grams").alias("g"))
-        .select("block", "t", "n", *keep, "role", "g.i", "g.p", "g.gram")
+    top = f"least({most}, {PLACED_UP_TO}L)"
+
+    def length(k: str) -> str:
+        """The least length that allows k edits."""
+        return f"((100 * {k} + {slack - 1}) div {slack})"
+
+    rows = _exploded(texts.where(f"n <= {PLACED_UP_TO}"), "k", _edits("n", percent), _edits(top, percent))
+    rows = rows.withColumns({"a": F.expr(f"greatest(n, {length('k')})"), "b": F.expr(f"least({top}, {length('(k + 1)')} - 1)")})
+    rows = _exploded(rows, "q", "a div (k + 1)", "least(n, b div (k + 1))")
+    rows = rows.withColumns({"a": F.expr("greatest(a, q * (k + 1))"), "b": F.expr("least(b, q * (k + 1) + k)")})
+    rows = _exploded(rows.where("a <= b"), "i", "0L", "k")
+    low = "greatest(0L, i * q - i, i * q + n - b - (k - i))"
+    high = "least(n - q, i * q + i, i * q + n - a + (k - i))"
+    rows = _exploded(rows, "p", low, high).withColumn("i", F.col("i").cast("int"))
+    placed = _filed(rows, role, ["k", "q", "i"])
+    if not far:
+        return placed
+
+    long = texts.where(f"{most} > {PLACED_UP_TO}").withColumn("k", F.expr(_edits(most, percent)))
+    lengths = f"sequence(greatest(n, {PLACED_UP_TO + 1}L), {most})"
+    sizes = F.expr(f"array_distinct(transform({lengths}, m -> {_piece('m', percent)}))")
+    long = _exploded(long.withColumn("q", F.explode(sizes)), "p", "0L", "n - q")
+    # a piece of the longer text lies at most half its edits before, and half of edits and lengths behind
+    before, behind = "greatest(0L, p - (k + 1) div 2)", f"p + (k + {most} - n + 1) div 2"
+    long = _exploded(long, "run", f"{before} div {RUN}", f"({behind}) div {RUN}")
+    return placed.unionByName(_filed(long.withColumn("i", F.lit(-1)), role, ["q", "run"]))
+
+
+def _signatures(texts: DataFrame, percent: int, longer: str, shorter: str, far: bool = True) -> DataFrame:
+    """Index rows of texts (id, block, t, n, c1, c2, c3) in both roles; ``i`` is -1 where only the other side knows it."""
+    return _pieces(texts, percent, longer, far).withColumn("role", F.lit(longer)).unionByName(
+        _grams(texts, percent, shorter, far).withColumn("role", F.lit(shorter))
     )
 
 
 def _count_masks(text: str) -> Column:
     """Three 64-bit masks: characters (by code modulo 64) that occur at least once, twice, three times."""
-    code = F.transform(F.split(text, ""), lambda c: F.pmod(F.ascii(c), F.lit(64)))
-    places = F.sequence(F.lit(0), F.lit(63))
-
-    def mask(least: int) -> Column:
-        return F.aggregate(
-            places,
-            F.lit(0).cast("long"),
-            lambda m, b: F.when(
-                F.size(F.filter(code, lambda c: c == b)) >= least,
-                m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)),
-            ).otherwise(m),
+    none = F.lit(0).cast("long")
+    start = F.struct(none.alias("c1"), none.alias("c2"), none.alias("c3"))
+
+    def add(m: Column, c: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(64)))
+        return F.struct(
+            m["c1"].bitwiseOR(bit).alias("c1"),
+            m["c2"].bitwiseOR(m["c1"].bitwiseAND(bit)).alias("c2"),
+            m["c3"].bitwiseOR(m["c2"].bitwiseAND(bit)).alias("c3"),
         )
 
-    return F.array(mask(1), mask(2), mask(3))
+    return F.aggregate(F.split(text, ""), start, add)
 
 
 def _surplus(a: str, b: str) -> Column:
     """At least the characters that ``a`` has more often than ``b``: each takes an edit of its own."""
-    return F.expr(" + ".join(f"bit_count({a}[{i}] & ~{b}[{i}])" for i in range(3)))
+    return F.expr(" + ".join(f"bit_count({a}{i} & ~{b}{i})" for i in (1, 2, 3)))
+
+
+_PAIR_WORDS = 4
+
+
+def _pair_masks(text: str) -> Column:
+    """256 bits: the pairs of neighbouring characters, by a hash of each."""
+    chars, none = F.split(text, ""), F.lit(0).cast("long")
+    places = F.zip_with(
+        chars, F.slice(chars, 2, F.size(chars)), lambda c, d: F.when(d.isNotNull(), F.pmod(F.xxhash64(c, d), F.lit(64 * _PAIR_WORDS)))
+    )
+
+    def add(words: Column, place: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+        own = lambda i: F.when(F.floor(place / 64) == i, bit).otherwise(none)
+        return F.struct(*[words[f"g{i}"].bitwiseOR(own(i)).alias(f"g{i}") for i in range(_PAIR_WORDS)])
+
+    start = F.struct(*[none.alias(f"g{i}") for i in range(_PAIR_WORDS)])
+    return F.aggregate(F.filter(places, lambda p: p.isNotNull()), start, add)
+
+
+def _lost_pairs(a: str, b: str) -> Column:
+    """At least the pairs of neighbours that ``a`` has and ``b`` has not: an edit undoes two of them at most."""
+    return F.expr(" + ".join(f"bit_count({a}{i} & ~{b}{i})" for i in range(_PAIR_WORDS)))
 
 
 def _grid_sizes(left: DataFrame, right: DataFrame, keys: list[str], pairs_per_task: int) -> DataFrame | None:
@@ -306,16 +347,14 @@ def _grid_sizes(left: DataFrame, right: DataFrame, keys: list[str], pairs_per_ta
     return heavy.select(*keys, F.ceil(F.sqrt(F.col("load") / cell)).cast("long").alias("side")) if heavy.head(1) else None
 
 
-def _gram_join(
-    titles: DataFrame, names: DataFrame, total_pairs: int, pairs_per_task: int
-) -> DataFrame:
-    """Join on (block, role, i, gram), hot grams spread over a square grid of cells.
+def _gram_join(titles: DataFrame, names: DataFrame, total_pairs: int, pairs_per_task: int) -> DataFrame:
+    """Join index rows on their key, hot keys spread over a square grid of cells.
 
     A title goes to one grid row and all its columns, a name to one grid column
     and all its rows, so every pair meets in exactly one cell. The number of
     partitions follows the pairs, not the bytes, which say little about the work.
     """
-    keys = ["block", "role", "i", "gram"]
+    keys = ["key"]
     parts = max(titles.sparkSession.sparkContext.defaultParallelism, -(-total_pairs // pairs_per_task))
     hot = None
     if total_pairs > pairs_per_task:  # else no gram can be hot
@@ -333,9 +372,57 @@ def _gram_join(
             .repartition(parts, *keys, "gx", "gy")
         )
 
-    return laid_out(titles, "gx", "gy", "t").join(
-        laid_out(names, "gy", "gx", "name"), [*keys, "gx", "gy"]
+    return laid_out(titles, "gx", "gy", "id").join(laid_out(names, "gy", "gx", "name"), [*keys, "gx", "gy"])
+
+
+def candidates(
+    titles: DataFrame,
+    names: DataFrame,
+    percent: int = FUZZY_PERCENT,
+    pairs_per_task: int = PAIRS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Pairs of a title and a name whose distance has to be taken: block, t, n, name_t, name_n, sku, each pair once.
+
+    Titles that equal a name are left out. The index holds numbers, places and counts of
+    characters, no texts. Pairs that an index entry brings together are made distinct and
+    only then meet their texts, whose pairs of neighbouring characters are compared first.
+    """
+    length, number = F.char_length("t").cast("long"), F.monotonically_increasing_id()
+    sizes = [df.agg(F.count(F.lit(1)).alias("n"), F.ifnull(F.max(length), F.lit(0)).alias("longest")) for df in (titles, names)]
+    (n_titles, longest), (n_names, longest_name) = sizes[0].unionAll(sizes[1]).collect()
+    total_pairs, far = n_titles * n_names, max(longest, longest_name) > PLACED_UP_TO
+    titles = titles.join(names.select("block", "t"), ["block", "t"], "left_anti")
+    marks = [length.alias("n"), _count_masks("t").alias("c"), _pair_masks("t").alias("g")]
+    titles = stored(titles.select(number.alias("id"), "block", "t", *marks), "titles")
+    names = stored(names.select(number.alias("name"), "block", "t", "sku", *marks), "names")
+
+    def index(texts: DataFrame, longer: str, shorter: str) -> DataFrame:
+        return _signatures(texts.select("id", "block", "t", "n", "c.*"), percent, longer, shorter, far)
+
+    ours = index(names.withColumnRenamed("name", "id"), "name", "title")
+    ours = ours.withColumnsRenamed({c: f"name_{c}" for c in [*_KEEP[1:], "p", "i", "role"]} | {"id": "name"})
+    allowed = F.expr(f"int({_edits('greatest(n, name_n)', percent)})")
+    # the longer text knows which piece it is; equal lengths meet as a longer title only
+    title_longer = F.col("role") == "title"
+    in_role = F.when(title_longer, F.col("n") >= F.col("name_n")).otherwise(F.col("n") < F.col("name_n"))
+    piece = F.when(title_longer, F.col("i")).otherwise(F.col("name_i"))
+    moved = F.col("p") - F.col("name_p")
+    behind = F.col("n") - F.col("name_n") - moved
+    near = _gram_join(index(titles, "title", "name"), ours, total_pairs, pairs_per_task).where(
+        (F.col("role") == F.col("name_role"))
+        & in_role
+        & (F.abs(F.col("n") - F.col("name_n")) <= allowed)
+        & (F.abs(moved) <= piece)
+        & (F.abs(behind) <= allowed - piece)
+        & (_surplus("c", "name_c") <= allowed)
+        & (_surplus("name_c", "c") <= allowed)
     )
+    theirs = names.select("name", F.col("t").alias("name_t"), F.col("n").alias("name_n"), "sku", F.col("g").alias("name_g"))
+    met = lookup_join(near.select("id", "name").distinct(), theirs, "name", "inner", ["id"], broadcast_bytes=broadcast_bytes)
+    met = lookup_join(met, titles.drop("c"), "id", "inner", ["name"], broadcast_bytes=broadcast_bytes)
+    lost = (_lost_pairs("g.g", "name_g.g") <= 2 * allowed) & (_lost_pairs("name_g.g", "g.g") <= 2 * allowed)
+    return met.where(lost).select("block", "t", "n", "name_t", "name_n", "sku")
 
 
 def best_titles(
@@ -343,6 +430,7 @@ def best_titles(
     names: DataFrame,
     percent: int = FUZZY_PERCENT,
     pairs_per_task: int = PAIRS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Best catalogue name for each distinct title of a block.
 
@@ -362,57 +450,25 @@ def best_titles(
     so far starts at 0, ends below ``edits - k``, and falls by one only at an
     intact piece), which bounds how far it has moved. Joining pieces with
     substrings at those places therefore finds every pair that can pass, while
-    titles of one block that share nothing never meet. Pairs whose character
-    counts alone need too many edits are dropped before the distance (in 64-bit
-    masks; nothing that can pass is lost). The edit distance is part of the join condition, so only passing pairs leave the join, and the
+    titles of one block that share nothing never meet. Pairs whose characters, or
+    pairs of neighbouring characters, alone need too many edits are dropped before
+    the distance (in bit masks; nothing that can pass is lost). Each pair left is compared once; the
     best one is kept by an aggregate that combines map-side.
     """
     if not 0 < percent <= 100:
         raise ValueError(f"percent must be in 1..100, not {percent}")
-    total_pairs = titles.count() * names.count()
-    length = F.char_length("t").cast("long")
-    titles = titles.select("block", "t", length.alias("n"), _count_masks("t").alias("c"))
-    names = names.select("block", "t", length.alias("n"), "sku", _count_masks("t").alias("c"))
-
-    equal = titles.join(names.drop("n", "c"), ["block", "t"]).select(
-        "block", "t", "sku", F.lit(0).alias("edits"), F.col("n").alias("longest")
+    equal = titles.join(names, ["block", "t"]).select(
+        "block", "t", "sku", F.lit(0).alias("edits"), F.char_length("t").cast("long").alias("longest")
     )
-    rest = titles.join(names.select("block", "t"), ["block", "t"], "left_anti")
-
-    ours = _signatures(names, percent, "name", "title", keep=["sku", "c"])
-    ours = ours.withColumnsRenamed({"t": "name", "n": "name_n", "p": "name_p", "c": "name_c"})
+    if percent == 100:
+        return equal
+    met = candidates(titles, names, percent, pairs_per_task, broadcast_bytes)
     longest = F.greatest("n", "name_n")
     allowed = F.expr(f"int({_edits('greatest(n, name_n)', percent)})")
-    in_role = F.when(F.col("role") == "title", F.col("n") >= F.col("name_n")).otherwise(
-        F.col("n") < F.col("name_n")
-    )
-    # how much more text follows the shared piece in the title than in the name
-    behind = F.col("n") - F.col("p") - F.col("name_n") + F.col("name_p")
-    near = _gram_join(
-        _signatures(rest, percent, "title", "name", keep=["c"]), ours, total_pairs, pairs_per_task
-    ).where(
-        in_role
-        & (F.abs(F.col("n") - F.col("name_n")) <= allowed)
-        & ((F.col("i") < 0) | (F.abs(behind) <= allowed - F.col("i")))
-        & (_surplus("c", "name_c") <= allowed)
-        & (_surplus("name_c", "c") <= allowed)
-        & (F.call_function("levenshtein", F.col("t"), F.col("name"), allowed) >= 0)
-    )
-    edits = F.levenshtein("t", "name")
-    close = (
-        near.groupBy("block", "t")
-        .agg(
-            F.min(
-                F.struct(
-                    (edits / longest).alias("share"),
-                    "sku",
-                    edits.alias("edits"),
-                    longest.alias("longest"),
-                )
-            ).alias("best")
-        )
-        .select("block", "t", "best.sku", "best.edits", "best.longest")
-    )
+    edits = F.call_function("levenshtein", F.col("t"), F.col("name_t"), allowed)
+    near = met.withColumns({"edits": edits, "longest": longest}).where("edits >= 0")
+    best = F.min(F.struct((F.col("edits") / F.col("longest")).alias("share"), "sku", "edits", "longest")).alias("best")
+    close = near.groupBy("block", "t").agg(best).select("block", "t", "best.sku", "best.edits", "best.longest")
     return equal.unionByName(close)
 
 
@@ -425,6 +481,7 @@ def fuzzy_candidates(
     catalogue_block: str | None = None,
     percent: int = FUZZY_PERCENT,
     pairs_per_task: int = PAIRS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Best SKU per distinct (block, normalised title), as a stored table.
 
@@ -444,7 +501,7 @@ def fuzzy_candidates(
         .where("t != '' AND block IS NOT NULL")
         .distinct()
     )
-    best = best_titles(stored(titles, "titles"), stored(names, "names"), percent, pairs_per_task)
+    best = best_titles(stored(titles, "titles"), stored(names, "names"), percent, pairs_per_task, broadcast_bytes)
     return stored(best, "best")
 
 
@@ -466,7 +523,7 @@ def fuzzy_match(
     ``how='left'`` keeps listings without a match, with NULLs in both.
     """
     best = fuzzy_candidates(
-        catalogue, listings, block, title, name, catalogue_block, percent, pairs_per_task
+        catalogue, listings, block, title, name, catalogue_block, percent, pairs_per_task, broadcast_bytes
     )
     return attach_best(listings, best, block, title, how, broadcast_bytes)
 

@@ -409,3 +409,37 @@ GROUP BY sku HAVING count(*) > 1""",
 def duplicate_product_keys(t: Source) -> DataFrame:
     rows = t.v("catalogue").select("product_id", surrogate_key(F.col("sku")).alias("product_key"))
     return duplicate_keys(rows.unionByName(rows.where("product_id % 50 = 3")), "product_key")
+
+
+# names and titles that are all different: as many as there are products, compared within a brand
+_GROWN = f"""
+v_model AS (SELECT p_partkey, p_brand AS category_id,
+                   p_name || ' ' || p_type || ' m' || CAST(p_partkey * 7919 % 10007 AS VARCHAR) || 'x' || CAST(p_partkey AS VARCHAR) AS name
+            FROM part),
+v_catalogue AS (SELECT p_partkey AS sku, name AS product_name, category_id FROM v_model),
+v_listings AS (SELECT p_partkey AS listing_id, category_id,
+                      CASE p_partkey % 4 WHEN 0 THEN replace(name, 'e', '') WHEN 1 THEN upper(name) || ' new'
+                           WHEN 2 THEN substr(name, 4) ELSE reverse(name) END AS seller_product_title
+               FROM v_model)"""
+
+
+@query(
+    f"""WITH {_GROWN}, {_fuzzy(70, "SELECT * FROM v_listings")}
+SELECT listing_id, b.sku, CASE WHEN m > 0 THEN least((m - d) / m, 0.99) END AS match_confidence
+FROM v_alone a JOIN v_best b ON a.category_id = b.category_id AND {_sorted('seller_product_title')} = b.t"""
+)
+def fuzzy_growing_titles(t: Source) -> DataFrame:
+    """A catalogue in which every name and every title is its own: the work of the join grows with the data."""
+    code = F.concat(F.lit(" m"), (F.col("p_partkey") * 7919 % 10007).cast("string"), F.lit("x"), F.col("p_partkey").cast("string"))
+    name = F.concat("p_name", F.lit(" "), "p_type", code)
+    models = t.part.select(F.col("p_partkey").alias("sku"), name.alias("product_name"), F.col("p_brand").alias("category_id"))
+    kind, text = F.col("sku") % 4, F.col("product_name")
+    title = (
+        F.when(kind == 0, F.replace(text, F.lit("e"), F.lit("")))
+        .when(kind == 1, F.concat(F.upper(text), F.lit(" new")))
+        .when(kind == 2, F.substring(text, 4, 1000))
+        .otherwise(F.reverse(text))
+    )
+    listings = models.select(F.col("sku").alias("listing_id"), "category_id", title.alias("seller_product_name"))
+    matched = matching.fuzzy_match(models, listings, block="category_id")
+    return matched.select("listing_id", "sku", "match_confidence")

@@ -96,6 +96,48 @@ def test_long_texts(spark):
     assert got == want and len(want) > 12
 
 
+def test_long_random_texts(spark):
+    """Lengths around the border of placed pieces, edits of all kinds, at several thresholds."""
+    rng = random.Random(9)
+
+    def edited(text, edits):
+        out = list(text)
+        for _ in range(edits):
+            at = rng.randrange(len(out))
+            out[at : at + 1] = rng.choice([[], [rng.choice("abcé")], [out[at], rng.choice("abc")]])
+        return "".join(out) or "a"
+
+    seeds = ["".join(rng.choices("abcd ", k=k)).strip() + "x" for k in range(70, 170, 4)]
+    names = sorted({(1, s, f"S{i}") for i, s in enumerate(seeds)})
+    titles = sorted({(1, edited(s, rng.choice([1, len(s) // 6, len(s) // 4, len(s) // 3]))) for s in seeds for _ in range(3)})
+    a = literal_table(spark, titles, "block int, t string")
+    b = literal_table(spark, names, "block int, t string, sku string")
+    for percent in (60, 75, 90):
+        got = {(r.block, r.t): (r.sku, r.edits, r.longest) for r in matching.best_titles(a, b, percent).collect()}
+        assert got == brute_force(titles, names, percent) and got
+
+
+def test_masks_lose_nothing(spark):
+    """The surplus of characters and the lost pairs of neighbours never exceed what the distance allows."""
+    texts = random_texts(60, 5) + ["é🙂" * 9, "a" * 200, "ab" * 70, "b"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    one = df.select("t", matching._count_masks("t").alias("c"), matching._pair_masks("t").alias("g")).select("t", "c.*", "g.*")
+    other = one.toDF(*[f"name_{c}" for c in one.columns])
+    both = one.crossJoin(other).select(
+        "t", "name_t", matching._surplus("c", "name_c").alias("s"), matching._lost_pairs("g", "name_g").alias("l")
+    )
+    for r in both.collect():
+        edits = levenshtein(r.t, r.name_t)
+        assert r.s <= edits and r.l <= 2 * edits
+
+
+def test_each_pair_is_compared_once(spark):
+    a = literal_table(spark, [(1, f"blue round lamp {i:03d}") for i in range(40)], "block int, t string")
+    b = literal_table(spark, [(1, f"blue round lamp x{i:02d}", f"S{i}") for i in range(40)], "block int, t string, sku string")
+    pairs = matching.candidates(a, b, 70)
+    assert pairs.count() == pairs.select("t", "name_t").distinct().count() == 1600
+
+
 def test_hot_grams_are_laid_out_on_a_grid(spark):
     a = literal_table(
         spark, [(1, f"common {i:03d}") for i in range(60)], "block int, t string"
@@ -105,11 +147,14 @@ def test_hot_grams_are_laid_out_on_a_grid(spark):
         [(1, f"common x{i:02d}", f"S{i}") for i in range(60)],
         "block int, t string, sku string",
     )
-    left = matching._signatures(a.withColumn("n", F.char_length("t").cast("long")), 70, "title", "name")
-    right = matching._signatures(
-        b.drop("sku").withColumn("n", F.char_length("t").cast("long")), 70, "name", "title"
-    )
-    sizes = matching._grid_sizes(left, right, ["block", "role", "i", "gram"], 100)
+    sized = [
+        df.select(F.monotonically_increasing_id().alias("id"), "block", "t", F.char_length("t").cast("long").alias("n"),
+                  matching._count_masks("t").alias("c")).select("*", "c.*")
+        for df in (a, b)
+    ]
+    left = matching._signatures(sized[0], 70, "title", "name")
+    right = matching._signatures(sized[1], 70, "name", "title")
+    sizes = matching._grid_sizes(left, right, ["key"], 100)
     assert sizes is not None and max(r.side for r in sizes.collect()) == 6  # ceil(sqrt(3600 / 100))
     rows_a = [(1, f"common {i:03d}") for i in range(60)]
     rows_b = [(1, f"common x{i:02d}", f"S{i}") for i in range(60)]
