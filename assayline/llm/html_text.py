@@ -39,8 +39,9 @@ INLINE = frozenset(
     "sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN_ELEMENTS = frozenset("noscript template svg math select object audio video canvas datalist".split())
+RAW = frozenset("script style textarea title iframe noembed noframes".split())
+#: Drawings, form choices and what is not part of the page; fallback texts, formulas and the like are text.
+HIDDEN_ELEMENTS = frozenset("template svg select datalist".split())
 #: An open element that a new one of the same kind ends.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -108,6 +109,12 @@ def blocks_of(page: str) -> list[Block]:
                 while stack[-1][0] != name:
                     pop()
                 pop()
+        elif name == "xmp":  # text as it stands, without tags and character references
+            end = re.compile(r"</xmp\b[^>]*>", re.IGNORECASE).search(page, at)
+            if not hidden:
+                parts.append((page[at : end.start()] if end else page[at:]).replace("&", "&amp;"))
+                flush()
+            at = end.end() if end else n
         elif name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else n

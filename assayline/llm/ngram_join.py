@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayline.llm.blocks import LOWER, SPACED, map_arrow, mix, shares, stored, windows_of, words_of
+from assayline.llm.blocks import LOWER, SPACED, free_name, map_arrow, mix, shares, stored, windows_of, words_of
 from assayline.llm.chunks import Chunk, answers_of, ask, bucket_count, pack_chunks, read_chunk, starts_of
 from assayline.llm.components import components
 
@@ -426,6 +426,18 @@ def _family_links(members: DataFrame, task_tokens: int) -> DataFrame:
     return found if links is None else found.unionByName(links)
 
 
+def _told_apart(docs: DataFrame, id_col: str) -> bool:
+    """Whether every row has an id of its own."""
+    ids = docs.groupBy(F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    return not ids.where("id IS NULL OR n > 1").head(1)
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, written once, with a number of its own for every row, and the number's column."""
+    name = free_name(docs, "row")
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def join_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", task_tokens: int = TASK_TOKENS
 ) -> DataFrame:
@@ -434,9 +446,21 @@ def join_documents(
     Documents link when 5 * shared >= 4 * union of their distinct shingles (A-Z in lower
     case, words end at ASCII white space). component_id is the smallest doc_id reachable
     by links, itself included. NULL, empty and blank texts have no shingles and are
-    their own component; rows with equal sets are linked; rows with a NULL id are
-    linked as a last id, and without a partner stay NULL.
+    their own component; rows with equal sets are linked. Every row is a document, also
+    where ids are NULL or repeated: such rows are linked by their texts only, and a
+    component without any id has a NULL one.
     """
+    if _told_apart(docs, id_col):
+        return _joined(docs, id_col, text_col, task_tokens)
+    rows, number = _numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+    found = _joined(rows, number, "text", task_tokens).withColumnsRenamed({"doc_id": number, "component_id": "component"})
+    met = stored(found.join(rows.select(number, "doc_id"), number), "numbered")
+    least = met.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return met.join(least, "component").select("doc_id", "n_shingles", "component_id")
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, task_tokens: int) -> DataFrame:
+    """``join_documents`` where every row has an id of its own."""
     buckets = bucket_count(docs)
     questions = Questions(min(64, (shares(docs, 1, 1) << 22).bit_length() + 10))
     chunks = pack_chunks(docs, id_col, text_col)
@@ -500,24 +524,30 @@ def join_documents(
     links = _family_links(stored(members, "members"), task_tokens)
     linked = components(links, "a", "b")
     # from the documents that stand for their sets to all rows
-    last = F.lit((1 << 63) - 1)
-    classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min(F.coalesce("doc_id", last)).alias("node"))
+    classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node"))
     classes = classes.join(linked, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    out = rows.join(classes, "digest", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    return out.select(
-        "doc_id", "n_shingles", F.when(F.col("component") != last, F.col("component")).alias("component_id")
-    )
+    out = rows.join(classes, "digest", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component (the smallest id), same columns.
+    """``docs`` with one row of each component, same columns.
 
-    Of rows with that id one stays (the first by its text); rows without an id all stay.
+    The row of the smallest id stays, rows without an id come last; of rows with one id
+    the one of the first text. Rows without shingles all stay, as do rows of one id whose
+    texts are not linked.
     """
-    found = join_documents(docs, id_col, text_col)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(first, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    if _told_apart(docs, id_col):
+        found = _joined(docs, id_col, text_col, TASK_TOKENS)
+        first = found.where("doc_id = component_id").select(F.col("doc_id").alias(id_col))
+        return docs.join(first, id_col, "left_semi").select(*docs.columns)
+    rows, number = _numbered(docs)
+    found = _joined(rows.select(number, text_col), number, text_col, TASK_TOKENS)
+    groups = found.select(F.col("doc_id").alias(number), F.col("component_id").alias("__component"))
+    met = rows.select(number, F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(groups, number)
+    order = F.struct(F.col("__id").isNull(), "__id", "__text", number)
+    first = met.groupBy("__component").agg(F.min(order)[number].alias(number))
+    return rows.join(first.select(number), number, "left_semi").select(*docs.columns)
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators on documents against plain versions, with odd rows and empty tables."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -49,7 +50,6 @@ def plain_components(rows):
         for j, (_, b) in enumerate(sets[:i]):
             if a and b and 100 * len(a & b) >= 80 * len(a | b):
                 up[max(root(i), root(j))] = min(root(i), root(j))
-    # rows with one id are one node
     least = {}
     for i in range(len(sets)):
         least[root(i)] = min(least.get(root(i), TOP), sets[i][0])
@@ -88,8 +88,19 @@ def test_keep_one(docs):
     assert kept.columns == docs.columns
     expected = {i for i, _, c in plain_components(ROWS) if i == c}
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted(expected)
-    assert ids.count(None) == 2
+    assert set(ids) == expected | {None} and ids.count(None) == 1  # two equal texts without an id
+
+
+def test_ids_do_not_link(spark):
+    """Rows without an id, or of one id, are linked by their texts only; no text is lost."""
+    a, b, c, d = (llm_rows.sentence(random.Random(s), 60) for s in range(4))
+    near = lambda t: t.rsplit(" ", 1)[0] + " other"
+    rows = [(1, a), (2, b), (None, near(a)), (None, near(b)), (3, c), (3, d), (5, near(c)), (4, near(d)), (None, "x y z a b c"), (7, None), (7, None)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], llm_rows.SCHEMA).repartition(3)
+    got = sorted(((r.doc_id, r.component_id) for r in ngram_join.join_documents(docs).collect()), key=repr)
+    assert got == sorted([(1, 1), (2, 2), (None, 1), (None, 2), (3, 3), (3, 3), (5, 3), (4, 3), (None, None), (7, 7), (7, 7)], key=repr)
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(docs).collect()), key=repr)
+    assert kept == sorted([(1, a), (2, b), (3, c), (3, d), (None, "x y z a b c"), (7, None), (7, None)], key=repr)
 
 
 def test_link_sets_skips_but_loses_nothing():

@@ -213,3 +213,12 @@ def test_lstm_gradient():
         down = loss()
         weights[at] = keep
         assert abs((up - down) / 2e-5 - grad[at]) < 1e-5
+
+
+def test_fallbacks_and_formulas_are_text():
+    page = (
+        "<article><p>a <math><mi>x</mi></math> b</p><object><p>fallback</p></object><noscript>plain</noscript>"
+        "<xmp>c <b> &amp; d</xmp><svg><text>s</text></svg><select><option>o</option></select><p>end</p></article>"
+    )
+    assert " ".join(text for _, text, _ in html_text.blocks_of(page)) == "a x b fallback plain c <b> &amp; d end"
+    assert html_text.blocks_of("<xmp>never closed")[0][1] == "never closed"
