@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from assayline.sources.scratch import scratch_dir
+
 SLICE_BYTES = 1 << 20
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -28,13 +30,10 @@ _POWERS: dict[int, np.ndarray] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Where it is unset, a folder below the warehouse directory is used, which
-    all executors share as well; a machine-local folder is never chosen.
+    Where it is unset, a folder below the warehouse directory is used; on a cluster
+    whose warehouse is a machine-local folder that is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @functools.cache
