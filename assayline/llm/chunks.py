@@ -2,14 +2,17 @@
 
 A chunk is a run of whole documents (about ``SLICE_BYTES`` of text, or one longer
 document), written once, compressed, to the shared folder. Operators that compare
-all documents with all others ask in two steps, so that neither texts nor hot keys
+all documents with all others ask in steps, so that neither texts nor hot keys
 gather in one task:
 
 1. each chunk sends its *distinct* keys (already combined in the chunk), dealt to
    buckets by their leading bits;
-2. a bucket answers each chunk's entries with a number.
+2. where a table needs more buckets than a chunk should send to, cells of some chunks each
+   combine equal keys once more and deal on by the next bits, level by level;
+3. a bucket answers each sender's entries with a number, and answers go back the same way.
 
-A key that every document holds costs one entry per chunk. Chunk ids are made when
+A key that every document holds costs one entry per chunk on the first level, one per
+cell on the next. Chunk ids are made when
 the chunks are written, so a task that runs again sees the same ones.
 """
 
@@ -125,42 +128,173 @@ def unpack_arrays(blob: bytes) -> dict[str, np.ndarray]:
     return out
 
 
+@dataclass(frozen=True)
+class Question:
+    """What is answered to entries, and how equal ones become one on the way to their bucket.
+
+    ``answer(columns, source)`` sees all entries of a bucket with the number of the
+    sender each came from and returns one number for each. Entries equal in ``same``
+    (``key`` first) are one entry from then on: the smallest by ``rank`` (ties: the first
+    sender) stands for them, with the columns that ``total(columns, starts)`` gives of all of
+    them. Its answer is theirs too, or ``others(columns, standing, answers)`` makes theirs.
+    """
+
+    answer: Callable[[dict[str, np.ndarray], np.ndarray], np.ndarray]
+    same: tuple[str, ...] = ("key",)
+    rank: tuple[str, ...] = ()
+    total: Callable[[dict[str, np.ndarray], np.ndarray], dict[str, np.ndarray]] | None = None
+    others: Callable[[dict[str, np.ndarray], dict[str, np.ndarray], np.ndarray], np.ndarray] | None = None
+
+
+def refused(columns: dict[str, np.ndarray], standing: dict[str, np.ndarray], answers: np.ndarray) -> np.ndarray:
+    """``others`` where only the first of equal entries is chosen."""
+    return np.zeros_like(answers)
+
+
+def later(columns: dict[str, np.ndarray], standing: dict[str, np.ndarray], answers: np.ndarray) -> np.ndarray:
+    """``others`` where a smaller document with an equal entry is a yes."""
+    return np.maximum(answers, columns["id"] > standing["id"])
+
+
+class Gathered:
+    """Entries of several senders, the distinct ones among them, and the way back."""
+
+    def __init__(self, question: Question, blobs: list[bytes]):
+        parts = [unpack_arrays(b) for b in blobs]
+        self.question = question
+        self.sizes = np.array([len(p["key"]) for p in parts])
+        self.columns = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
+        # the sort is stable: of entries alike in all of these the first sender's comes first
+        order = np.lexsort([self.columns[c] for c in (*question.same, *question.rank)][::-1])
+        ordered = {k: v[order] for k, v in self.columns.items()}
+        first = starts_of(*(ordered[c] for c in question.same))
+        self.stands = order[first]
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        self.distinct = {k: v[first] for k, v in ordered.items()}
+        if question.total:
+            self.distinct |= question.total(ordered, first)
+
+    def back(self, answers: np.ndarray) -> list[np.ndarray]:
+        """From the answers to the distinct entries to those of each sender."""
+        out = answers[self.place]
+        if self.question.others:
+            rest = np.ones(len(out), bool)
+            rest[self.stands] = False
+            standing = {k: v[self.place[rest]] for k, v in self.distinct.items()}
+            out[rest] = self.question.others({k: v[rest] for k, v in self.columns.items()}, standing, out[rest])
+        return np.split(out, np.cumsum(self.sizes)[:-1])
+
+
+#: A sender deals its entries to at most 2 to this power places at a time.
+STEP_BITS = 6
+SENT, REPLIES = "bucket int, chunk string, entries binary", "bucket int, chunk string, reply binary"
+CELLS = "chunk string, sources array<string>, entries array<binary>, bucket int"
+
+
 def ask(
     chunks: DataFrame,
     name: str,
     emit: Callable[[Any, dict[str, np.ndarray]], dict[str, np.ndarray]],
-    answer: Callable[[dict[str, np.ndarray], np.ndarray], np.ndarray],
+    question: Question,
     buckets: int,
     read: Callable[[pa.RecordBatch, int], Any] = read_chunk,
 ) -> DataFrame:
     """``chunks`` with a column ``name``: the answers to their entries, in the order of their keys.
 
     ``emit(chunk, earlier answers by name)`` gives columns sorted by ``key`` (uint64,
-    spread over all 64 bits); ``answer(columns, source)`` sees all entries of a bucket
-    with the number of the chunk each came from and returns one number for each. ``read``
-    makes the chunk of a row; columns from the fifth on are earlier answers.
+    spread over all 64 bits). ``read`` makes the chunk of a row; columns from the fifth on
+    are earlier answers.
+
+    A chunk never sends to all buckets of a large table: entries go by the first bits of
+    their keys to cells of about as many chunks as there are places, equal ones become one
+    there, and the cells deal on by the next bits. So rows are (chunks x places x levels), which
+    grows with the table, and a key of all chunks arrives as few entries.
     """
     bits = max(1, (buckets - 1).bit_length())
-    edges = (np.arange(1, 1 << bits, dtype=np.uint64)) << np.uint64(64 - bits)
+    step = -(-bits // -(-bits // STEP_BITS))
+    senders = 1 if bits <= step else chunks.select("chunk").count()
+    sent = send(chunks, lambda batch, i: (emit(read(batch, i), answers_of(batch, i)), 0), 0, step)
+    by_chunk = _by_chunk(_answered(sent, question, step, bits, step, senders), name)
+    return chunks.join(by_chunk, "chunk", "left")
+
 
-    def send(batches):
+def send(chunks: DataFrame, entries: Callable, used: int, step: int) -> DataFrame:
+    """Rows (bucket, chunk, entries): ``entries(batch, row)`` are columns and the ``used`` bits all their keys begin with."""
+
+    def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                columns = emit(read(batch, i), answers_of(batch, i))
+                columns, prefix = entries(batch, i)
+                places = (np.uint64(prefix) << np.uint64(step)) + np.arange(1 << step, dtype=np.uint64)
+                edges = places[1:] << np.uint64(64 - used - step)
                 cuts = [0, *np.searchsorted(columns["key"], edges).tolist(), len(columns["key"])]
-                full = [b for b in range(1 << bits) if cuts[b + 1] > cuts[b]]
+                full = [b for b in range(1 << step) if cuts[b + 1] > cuts[b]]
                 if not full:
                     continue
                 blobs = [pack_arrays({k: v[cuts[b] : cuts[b + 1]] for k, v in columns.items()}) for b in full]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(full, pa.int32()),
+                        pa.array(places[full].astype(np.int32)),
                         pa.array([batch.column("chunk")[i].as_py()] * len(full), pa.string()),
                         pa.array(blobs, pa.binary()),
                     ],
                     names=["bucket", "chunk", "entries"],
                 )
 
+    return map_arrow(chunks, run, SENT)
+
+
+def _answered(sent: DataFrame, question: Question, used: int, bits: int, step: int, senders: int) -> DataFrame:
+    """Rows (bucket, chunk, reply) for entries dealt by their first ``used`` of ``bits`` bits."""
+    if used >= bits:
+        return sent.groupBy("bucket").applyInArrow(_reply(question), REPLIES)
+    cells = gather(sent, step, senders)
+    step = min(step, bits - used)
+
+    def distinct(batch, i):
+        return Gathered(question, batch.column("entries")[i].as_py()).distinct, batch.column("bucket")[i].as_py()
+
+    onward = send(cells, distinct, used, step)
+    answers = _answered(onward, question, used + step, bits, step, -(-senders >> step))
+
+    def back(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = Gathered(question, batch.column("entries")[i].as_py()).back(answers_of(batch, i)["reply"])
+                sources = batch.column("sources")[i].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([batch.column("bucket")[i].as_py()] * len(sources), pa.int32()),
+                        pa.array(sources, pa.string()),
+                        pa.array(_zipped(found), pa.binary()),
+                    ],
+                    names=["bucket", "chunk", "reply"],
+                )
+
+    return map_arrow(cells.join(_by_chunk(answers, "reply"), "chunk"), back, REPLIES)
+
+
+def gather(sent: DataFrame, step: int, senders: int) -> DataFrame:
+    """Cells, as chunks that can ask: what about 2 to the power ``step`` senders have for one bucket."""
+    group = F.pmod(F.xxhash64("chunk"), F.lit(max(1, senders >> step)))
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk")
+        bucket, group = key[0].as_py(), key[1].as_py()
+        return pa.table(
+            {
+                "chunk": pa.array([f"{bucket}.{group}"]),
+                "sources": pa.array([table.column("chunk").to_pylist()], pa.list_(pa.string())),
+                "entries": pa.array([table.column("entries").to_pylist()], pa.list_(pa.binary())),
+                "bucket": pa.array([bucket], pa.int32()),
+            }
+        )
+
+    return stored(sent.groupBy("bucket", group.alias("group")).applyInArrow(run, CELLS), "cells")
+
+
+def _reply(question: Question) -> Callable[[pa.Table], pa.Table]:
     def reply(table: pa.Table) -> pa.Table:
         # a fixed order, so that a task that runs again answers alike
         table = table.sort_by("chunk")
@@ -168,18 +302,23 @@ def ask(
         sizes = np.array([len(b["key"]) for b in blobs])
         columns = {k: np.concatenate([b[k] for b in blobs]) for k in blobs[0]}
         del blobs
-        answers = answer(columns, np.repeat(np.arange(len(sizes)), sizes))
-        zipped, kind = zstandard.ZstdCompressor(level=1), answers.dtype.str.encode() + b"\n"
-        parts = [zipped.compress(kind + a.tobytes()) for a in np.split(answers, np.cumsum(sizes)[:-1])]
+        answers = question.answer(columns, np.repeat(np.arange(len(sizes)), sizes))
+        parts = _zipped(np.split(answers, np.cumsum(sizes)[:-1]))
         return pa.table(
             {"bucket": table.column("bucket"), "chunk": table.column("chunk"), "reply": pa.array(parts, pa.binary())}
         )
 
-    sent = map_arrow(chunks, send, "bucket int, chunk string, entries binary")
-    replies = sent.groupBy("bucket").applyInArrow(reply, "bucket int, chunk string, reply binary")
+    return reply
+
+
+def _zipped(answers: list[np.ndarray]) -> list[bytes]:
+    zipped = zstandard.ZstdCompressor(level=1)
+    return [zipped.compress(a.dtype.str.encode() + b"\n" + a.tobytes()) for a in answers]
+
+
+def _by_chunk(replies: DataFrame, name: str) -> DataFrame:
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("bucket", "reply"))), lambda r: r["reply"])
-    by_chunk = stored(replies.groupBy("chunk").agg(in_order.alias(name)), "replies")
-    return chunks.join(by_chunk, "chunk", "left")
+    return stored(replies.groupBy("chunk").agg(in_order.alias(name)), "replies")
 
 
 def answers_of(batch: pa.RecordBatch, i: int) -> dict[str, np.ndarray]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayline.llm.blocks import LOWER, SPACED, free_name, map_arrow, mix, shares, stored, windows_of, words_of
-from assayline.llm.chunks import Chunk, answers_of, ask, bucket_count, pack_chunks, read_chunk, starts_of
+from assayline.llm.chunks import Chunk, Question, answers_of, ask, bucket_count, pack_chunks, read_chunk, refused, starts_of
 from assayline.llm.components import components
 
 #: Words of a shingle. Two sets link when 5 * shared >= 4 * union.
@@ -128,6 +128,11 @@ class Questions:
         columns = {"key": key[first], "n": np.minimum(sizes, 255).astype(np.uint8)}
         return columns, rows, np.repeat(np.arange(len(first)), sizes)
 
+    @staticmethod
+    def added(columns: dict[str, np.ndarray], first: np.ndarray) -> dict[str, np.ndarray]:
+        """Frequencies of keys that several senders have, 255 for more."""
+        return {"n": np.minimum(np.add.reduceat(columns["n"].astype(np.int64), first), 255).astype(np.uint8)}
+
     @staticmethod
     def counted(columns: dict[str, np.ndarray], source: np.ndarray) -> np.ndarray:
         """Document frequency, 255 for more."""
@@ -464,8 +469,9 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, task_tokens: int) -> Da
     buckets = bucket_count(docs)
     questions = Questions(min(64, (shares(docs, 1, 1) << 22).bit_length() + 10))
     chunks = pack_chunks(docs, id_col, text_col)
-    chunks = ask(chunks, "class", Questions.sets, Questions.smallest, buckets)
-    chunks = ask(chunks, "df", questions.frequencies, Questions.counted, buckets)
+    smallest = Question(Questions.smallest, ("key", "check"), ("id",), others=refused)
+    chunks = ask(chunks, "class", Questions.sets, smallest, buckets)
+    chunks = ask(chunks, "df", questions.frequencies, Question(Questions.counted, total=Questions.added), buckets)
 
     def describe(batches):
         for batch in batches:
@@ -489,7 +495,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, task_tokens: int) -> Da
     described = stored(map_arrow(chunks, describe, "doc_id long, n_shingles long, digest binary, " + PARTNERS), "sets")
     rows = described.where("chunk IS NULL").select("doc_id", "n_shingles", "digest")
     partners = described.where("chunk IS NOT NULL AND size(ids) > 0").select("chunk", "ids", "sizes", "data")
-    asked = ask(partners, "least", _first_shingles, _smallest_id, buckets, _read_partners)
+    asked = ask(partners, "least", _first_shingles, Question(_smallest_id, rank=("id",)), buckets, _read_partners)
 
     def ties(batches):
         for batch in batches:

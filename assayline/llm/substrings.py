@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayline.llm.blocks import map_arrow
-from assayline.llm.chunks import Chunk, answers_of, ask, bucket_count, pack_chunks, read_chunk
+from assayline.llm.chunks import Chunk, Question, answers_of, ask, bucket_count, pack_chunks, read_chunk, refused
 
 #: Units with fewer words are never removed: short ones recur in unrelated documents.
 MIN_WORDS = 6
@@ -118,7 +118,8 @@ def repeated_units(
                 yield pa.RecordBatch.from_pylist(rows, schema=_MARKS)
 
     chunks = pack_chunks(docs, id_col, text_col)
-    asked = ask(chunks, "first", emit, _earliest, bucket_count(docs))
+    earliest = Question(_earliest, ("key", "check"), ("id", "start"), others=refused)
+    asked = ask(chunks, "first", emit, earliest, bucket_count(docs))
     return map_arrow(asked, mark, MARK_TYPE)
 
 

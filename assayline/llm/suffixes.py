@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayline.llm.blocks import BYTE_VALUES, map_arrow, mix, powers, shares
-from assayline.llm.chunks import Chunk, answers_of, ask, bucket_count, pack_chunks, read_chunk, starts_of
+from assayline.llm.chunks import Chunk, Question, answers_of, ask, bucket_count, later, pack_chunks, read_chunk, starts_of
 
 #: Bytes of the shortest string that is removed, and of the strings whose hashes file it.
 LEAST, GRAM = 50, 24
@@ -182,6 +182,12 @@ class Questions:
         out[order] = np.repeat(yes, sizes)
         return out
 
+    @staticmethod
+    def of_two(columns: dict[str, np.ndarray], first: np.ndarray) -> dict[str, np.ndarray]:
+        """``many`` of keys that several senders have become one."""
+        sizes = np.diff(np.append(first, len(columns["key"])))
+        return {"many": np.maximum(np.maximum.reduceat(columns["many"], first), sizes > 1)}
+
     # 1: hashes in two documents
     def hashes(self, chunk: Chunk, _=None) -> dict[str, np.ndarray]:
         runs = runs_of(chunk)
@@ -301,11 +307,14 @@ def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     buckets = bucket_count(docs)
     questions = Questions(min(64, (shares(docs, 1, 1) << 22).bit_length() + 10))
+    shared = Question(Questions.shared, total=Questions.of_two)
+    compared = Question(Questions.compared, ("key", "check"), ("id",), others=later)
+    factors = Question(Questions.factors, ("key", *(f"w{i}" for i in range(WORDS))), ("id",), others=later)
     chunks = pack_chunks(docs, id_col, text_col)
-    chunks = ask(chunks, "shared", questions.hashes, questions.shared, buckets)
-    chunks = ask(chunks, "compared", questions.contents, questions.compared, buckets)
-    chunks = ask(chunks, "windows", questions.windows, questions.shared, buckets)
-    chunks = ask(chunks, "factors", questions.suffixes, questions.factors, buckets)
+    chunks = ask(chunks, "shared", questions.hashes, shared, buckets)
+    chunks = ask(chunks, "compared", questions.contents, compared, buckets)
+    chunks = ask(chunks, "windows", questions.windows, shared, buckets)
+    chunks = ask(chunks, "factors", questions.suffixes, factors, buckets)
 
     def cut(batches):
         for batch in batches:
