@@ -13,7 +13,9 @@ from __future__ import annotations
 import json
 import mmap
 import os
+import re
 import tempfile
+import uuid
 from collections import Counter
 from functools import lru_cache
 
@@ -28,6 +30,19 @@ from assayline.llm.blocks import map_arrow, slices, stored
 
 #: Fixed: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Fixed: letters and digits of later Unicode versions, which are neither in the encodings to be matched.
+LATE = """
+    0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959
+    10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3
+    16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6
+    1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4
+    1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+"""
+_LATE = "".join("-".join(chr(int(end, 16)) for end in r.split("-")) for r in LATE.split())
+#: The same pattern without them, for the few texts that have any.
+LATE_PATTERN = "(?V1)" + PATTERN.replace(r"[^\s\p{L}\p{N}]", rf"[[^\s\p{{L}}\p{{N}}]{_LATE}]").replace(
+    r" ?\p{L}", rf" ?[\p{{L}}--[{_LATE}]]"
+).replace(r" ?\p{N}", rf" ?[\p{{N}}--[{_LATE}]]")
 #: Words compiled into the lexicon at most: the most frequent of all documents.
 LEXICON_WORDS = 150_000
 #: Distinct pieces between spaces that a task counts before it passes the counts on.
@@ -322,7 +337,8 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.split = regex.compile(PATTERN).findall
+        self.split_early, self.split_late = regex.compile(PATTERN).findall, regex.compile(LATE_PATTERN).findall
+        self.late = re.compile(f"[{_LATE}]").search
         self.pieces: dict[str, bytes] = {}
         self.merged: dict[bytes, bytes] = {}
         table = vocabulary.bytes_of
@@ -332,6 +348,11 @@ class Codec:
         self.pieces.clear()
         self.merged.clear()
 
+    def split(self, string: str) -> list[str]:
+        """Words of the pattern."""
+        late = not string.isascii() and self.late(string)
+        return self.split_late(string) if late else self.split_early(string)
+
     def _ids(self, strings: list[str]) -> list[bytes]:
         """Ids of whole strings: words from the lexicon, else merged."""
         # letters after a space are one word of the pattern
@@ -440,12 +461,11 @@ def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
     return pack(compile_lexicon({w.as_py(): i.as_py() for w, i in zip(words, top.column("ids"))}))
 
 
-_CODECS: dict[tuple, Codec] = {}
+_CODECS: dict[str, Codec] = {}
 
 
-def _codec(vocabulary, lexicon) -> Codec:
-    """One codec for each worker process and pair of broadcasts."""
-    key = (id(vocabulary), id(lexicon))
+def _codec(key: str, vocabulary, lexicon) -> Codec:
+    """One codec for each worker process and call of ``encode``, told by its ``key``."""
     if key not in _CODECS:
         _CODECS.clear()
         _CODECS[key] = Codec(vocabulary.value, Lexicon.mapped(lexicon.value))
@@ -466,13 +486,13 @@ def encode(
     context = docs.sparkSession.sparkContext
     vocabulary = Vocabulary(path)
     packed = train_lexicon(docs, vocabulary, text_col) if lexicon is None else lexicon
-    shared, mapped = context.broadcast(vocabulary), context.broadcast(packed)
+    shared, mapped, key = context.broadcast(vocabulary), context.broadcast(packed), uuid.uuid4().hex
     names = [c for c in docs.columns if c not in ("token_ids", decoded)]
     made = "token_ids binary" + (f", {decoded} string" if decoded else "")
     schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL(made).fields)
 
     def run(batches):
-        codec = _codec(shared, mapped)
+        codec = _codec(key, shared, mapped)
         for batch in batches:
             for part in slices(batch, text_col):
                 ids = codec.encode([t or "" for t in part.column(text_col).to_pylist()])

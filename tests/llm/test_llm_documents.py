@@ -516,6 +516,30 @@ def test_codec_fuzz():
         assert np.frombuffer(ids, "<u4").tolist() == encoding.ids
 
 
+def test_codec_all_code_points():
+    """Letter, digit and space classes are the library's for every code point."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, vocabulary = Tokenizer.from_file(path), tokens.Vocabulary(path)
+    codec = tokens.Codec(vocabulary, tokens.Lexicon.mapped(tokens.pack(tokens.compile_lexicon({}))))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 50_000):
+        text = "".join(f"a{c}! {c}1{c}" for c in points[at : at + 50_000])
+        expected, end = [to for _, (_, to) in library.pre_tokenizer.pre_tokenize_str(text)], 0
+        for word, to in zip(codec.split(text), expected, strict=True):
+            end += len(word)
+            assert end == to
+        # text without a late code point takes the plain pattern
+        plain = "".join(c for c in text if not codec.late(c))
+        assert codec.split(plain) == codec.split_late(plain)
+    late = [c for c in points if codec.late(c)][::40]
+    texts = [f"x{c}'s {c}{c} 7{c}" for c in late]
+    for ids, encoding in zip(codec.encode(texts), library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(ids, "<u4").tolist() == encoding.ids
+
+
 def test_transducer_is_minimal_and_exact():
     words = {w.encode(): np.array([i, i + 1], '<u4').tobytes() for i, w in enumerate(["tap", "taps", "top", "tops", "stop", "stops", ""])}
     arrays = tokens.compile_lexicon(words)
