@@ -195,6 +195,8 @@ PAIRS_PER_TASK = 20_000_000
 MOST_CELLS = 250_000  # a cell has at least this fraction of all pairs, so no more grams than this need a grid
 PLACED_UP_TO = 100  # pieces of longer texts are filed by a run of places, or shorter texts would have too many
 RUN = 32  # places of such a run
+PAIRS_PER_TEXT = 2_000  # a block with no more pairs a text is compared whole: a text's index rows cost as much
+TEXTS_PER_SHAPE = 4  # texts that share a shape, on average, where shapes are compared first
 
 
 def _edits(length: str, percent: int) -> str:
@@ -347,19 +349,13 @@ def _grid_sizes(left: DataFrame, right: DataFrame, keys: list[str], pairs_per_ta
     return heavy.select(*keys, F.ceil(F.sqrt(F.col("load") / cell)).cast("long").alias("side")) if heavy.head(1) else None
 
 
-def _gram_join(titles: DataFrame, names: DataFrame, total_pairs: int, pairs_per_task: int) -> DataFrame:
-    """Join index rows on their key, hot keys spread over a square grid of cells.
+def _grid_join(titles: DataFrame, names: DataFrame, hot: DataFrame | None, parts: int) -> DataFrame:
+    """Join on ``key``, hot keys (key, side) spread over a square grid of cells.
 
     A title goes to one grid row and all its columns, a name to one grid column
-    and all its rows, so every pair meets in exactly one cell. The number of
-    partitions follows the pairs, not the bytes, which say little about the work.
+    and all its rows, so every pair meets in exactly one cell.
     """
     keys = ["key"]
-    parts = max(titles.sparkSession.sparkContext.defaultParallelism, -(-total_pairs // pairs_per_task))
-    hot = None
-    if total_pairs > pairs_per_task:  # else no gram can be hot
-        titles, names = stored(titles, "title-grams"), stored(names, "name-grams")
-        hot = _grid_sizes(titles, names, keys, pairs_per_task)
     if hot is None:
         return titles.repartition(parts, *keys).join(names.repartition(parts, *keys), keys)
 
@@ -375,34 +371,152 @@ def _gram_join(titles: DataFrame, names: DataFrame, total_pairs: int, pairs_per_
     return laid_out(titles, "gx", "gy", "id").join(laid_out(names, "gy", "gx", "name"), [*keys, "gx", "gy"])
 
 
-def candidates(
+def _parts(df: DataFrame, pairs: int, pairs_per_task: int) -> int:
+    """Partitions of a join: they follow the pairs, not the bytes, which say little about the work."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-pairs // pairs_per_task))
+
+
+def _gram_join(titles: DataFrame, names: DataFrame, total_pairs: int, pairs_per_task: int) -> DataFrame:
+    """Join index rows on their key, see ``_grid_join``."""
+    hot = None
+    if total_pairs > pairs_per_task:  # else no gram can be hot
+        titles, names = stored(titles, "title-grams"), stored(names, "name-grams")
+        hot = _grid_sizes(titles, names, ["key"], pairs_per_task)
+    return _grid_join(titles, names, hot, _parts(titles, total_pairs, pairs_per_task))
+
+
+def _load_join(titles: DataFrame, names: DataFrame, loads: DataFrame, pairs_per_task: int) -> DataFrame:
+    """Join on ``key`` where the pairs of each key are known: ``loads(key, load)``, a stored table."""
+    pairs = loads.agg(F.ifnull(F.sum("load"), F.lit(0.0))).first()[0]
+    cell = max(pairs_per_task, pairs / MOST_CELLS)
+    heavy = loads.where(F.col("load") > cell)
+    hot = heavy.select("key", F.ceil(F.sqrt(F.col("load") / cell)).cast("long").alias("side")) if heavy.head(1) else None
+    return _grid_join(titles, names, hot, _parts(titles, int(pairs), pairs_per_task))
+
+
+_COUNTS, _NEIGHBOURS = ["c1", "c2", "c3"], [f"g{i}" for i in range(_PAIR_WORDS)]
+_MARKS = ["t", "n", "e", "c", *_COUNTS, "g", *_NEIGHBOURS]
+
+
+def _marked(df: DataFrame, number: str, value: Column, name: str, *more: str) -> DataFrame:
+    """Texts with a number, their length, masks and the bits set in them (c, g), as a stored table."""
+    marks = [F.char_length("t").cast("long").alias("n"), _count_masks("t").alias("cs"), _pair_masks("t").alias("gs")]
+    df = stored(df.select(value.alias(number), "block", "t", *more, *marks), name)
+    df = df.select(number, "block", "t", *more, "n", "cs.*", "gs.*")
+    return df.withColumns({m: F.expr(" + ".join(f"bit_count({x})" for x in xs)) for m, xs in (("c", _COUNTS), ("g", _NEIGHBOURS))})
+
+
+def _theirs(names: DataFrame) -> DataFrame:
+    """Names with the columns they share with titles renamed."""
+    return names.drop("block").withColumnsRenamed({c: f"name_{c}" for c in _MARKS})
+
+
+def _allowed(percent: int) -> Column:
+    return F.expr(f"int({_edits('greatest(n, name_n)', percent)})")
+
+
+def _masks_agree(mask: str, words: Sequence[str], an_edit: int) -> Column:
+    """Neither text has more bits to itself than its edits explain; ``e`` has the edits of each length.
+
+    Written by the bits both have, which makes half the code: this runs for every pair.
+    """
+    both = " + ".join(f"bit_count({w} & name_{w})" for w in words)
+    return F.expr(f"{both} >= greatest({mask}, name_{mask}) - {an_edit} * greatest(e, name_e)")
+
+
+def _close_masks() -> Column:
+    """Whether lengths and masks allow the pair."""
+    return _masks_agree("g", _NEIGHBOURS, 2) & F.expr("abs(n - name_n) <= greatest(e, name_e)") & _masks_agree("c", _COUNTS, 1)
+
+
+def _distance(percent: int) -> Column:
+    """Edits between ``t`` and ``name_t``; -1 if there are more than allowed."""
+    return F.call_function("levenshtein", F.col("t"), F.col("name_t"), _allowed(percent))
+
+
+_PAIR = ["block", "id", "t", "n", "name", "name_t", "name_n"]
+
+
+def _whole_blocks(titles: DataFrame, names: DataFrame, blocks: DataFrame, percent: int, pairs_per_task: int) -> DataFrame:
+    """Every pair of a block whose lengths and masks agree: no index, no pair leaves its task."""
+    key, edits = F.xxhash64("block"), F.expr(f"int({_edits('n', percent)})")
+    loads = blocks.groupBy(key.alias("key")).agg(F.sum("load").alias("load"))
+    titles, names = titles.withColumns({"key": key, "e": edits}), names.withColumns({"key": key, "e": edits})
+    return _load_join(titles, _theirs(names), loads, pairs_per_task).where(_close_masks())
+
+
+def _by_shapes(
     titles: DataFrame,
     names: DataFrame,
-    percent: int = FUZZY_PERCENT,
-    pairs_per_task: int = PAIRS_PER_TASK,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    more: Sequence[str],
+    percent: int,
+    pairs_per_task: int,
+    broadcast_bytes: int,
+    pairs_per_text: int,
+) -> DataFrame | None:
+    """Pairs by way of their shapes: texts with every digit read as 0 (None: too many shapes for that).
+
+    Replacing characters by others adds no edits, so texts are never closer than their
+    shapes, which have the same lengths. Model numbers make many texts of few shapes.
+    Titles whose shapes leave them too many names are looked up by pieces instead.
+    """
+
+    def shaped(df: DataFrame) -> DataFrame:
+        df = df.withColumns({"shape": F.translate("t", "123456789", "0" * 9), "e": F.expr(f"int({_edits('n', percent)})")})
+        return df.withColumn("key", F.xxhash64("block", "shape"))
+
+    titles, names = shaped(titles), shaped(names)
+    counted = [
+        stored(df.groupBy("key", "block", F.col("shape").alias("t")).agg(F.count(F.lit(1)).alias(many)), "shapes")
+        for df, many in ((titles, "titles"), (names, "names"))
+    ]
+    sums = [df.agg(F.count(F.lit(1)).alias("a"), F.sum(df.columns[-1]).alias("b")) for df in counted]
+    if any(b < TEXTS_PER_SHAPE * a for a, b in sums[0].unionAll(sums[1]).collect()):
+        return None
+    ours = _marked(counted[0], "id", F.col("key"), "title-shapes", "titles")
+    theirs = _marked(counted[1], "name", F.col("key"), "name-shapes", "names")
+    near = _near(ours, theirs, percent, pairs_per_task, broadcast_bytes, pairs_per_text, ["titles", "names"], False)
+    near = near.where(_distance(percent) >= 0)
+    pairs = stored(near.select(F.col("id").alias("key"), F.col("name").alias("other"), "titles", "names"), "shape-pairs")
+    wide = pairs.groupBy("key").agg(F.sum("names").alias("names")).where(f"names > {4 * pairs_per_text}")
+    wide, apart = stored(wide.select("key"), "wide"), None
+    if wide.head(1):
+        apart = lookup_join(titles, wide, "key", "inner", ["id"], broadcast_bytes=broadcast_bytes).drop("key", "shape", "e")
+        apart = _by_pieces(apart, names.drop("key", "shape", "e"), more, percent, pairs_per_task, broadcast_bytes)
+        pairs = lookup_join(pairs, wide, "key", "left_anti", ["other"], broadcast_bytes=broadcast_bytes)
+    loads = pairs.groupBy(F.col("other").alias("key")).agg(F.sum(F.col("titles").cast("double") * F.col("names")).alias("load"))
+    titles = lookup_join(
+        titles.drop("shape"), pairs.select("key", "other"), "key", "inner", ["id"], broadcast_bytes=broadcast_bytes
+    )
+    titles = titles.drop("key").withColumnRenamed("other", "key")
+    met = _load_join(titles, _theirs(names.drop("shape")), stored(loads, "loads"), pairs_per_task)
+    met = met.where(_close_masks()).select(*_PAIR, *more)
+    return met if apart is None else met.unionByName(apart)
+
+
+def _by_pieces(
+    titles: DataFrame, names: DataFrame, more: Sequence[str], percent: int, pairs_per_task: int, broadcast_bytes: int
 ) -> DataFrame:
-    """Pairs of a title and a name whose distance has to be taken: block, t, n, name_t, name_n, sku, each pair once.
+    """Pairs that share a piece of text at a compatible place, by an index.
 
-    Titles that equal a name are left out. The index holds numbers, places and counts of
-    characters, no texts. Pairs that an index entry brings together are made distinct and
-    only then meet their texts, whose pairs of neighbouring characters are compared first.
+    The index holds numbers, places and counts of characters, no texts. Pairs that an entry
+    brings together are made distinct and only then meet their texts.
     """
-    length, number = F.char_length("t").cast("long"), F.monotonically_increasing_id()
-    sizes = [df.agg(F.count(F.lit(1)).alias("n"), F.ifnull(F.max(length), F.lit(0)).alias("longest")) for df in (titles, names)]
-    (n_titles, longest), (n_names, longest_name) = sizes[0].unionAll(sizes[1]).collect()
-    total_pairs, far = n_titles * n_names, max(longest, longest_name) > PLACED_UP_TO
-    titles = titles.join(names.select("block", "t"), ["block", "t"], "left_anti")
-    marks = [length.alias("n"), _count_masks("t").alias("c"), _pair_masks("t").alias("g")]
-    titles = stored(titles.select(number.alias("id"), "block", "t", *marks), "titles")
-    names = stored(names.select(number.alias("name"), "block", "t", "sku", *marks), "names")
+    sizes = [
+        df.groupBy("block").agg(F.count(F.lit(1)).alias(c), F.max("n").alias(f"n_{c}")) for df, c in ((titles, "a"), (names, "b"))
+    ]
+    load = (F.col("a") * F.col("b")).alias("load")
+    total_pairs, longest = sizes[0].join(sizes[1], "block").agg(
+        F.ifnull(F.sum(load), F.lit(0)), F.ifnull(F.max(F.greatest("n_a", "n_b")), F.lit(0))
+    ).first()
+    far = longest > PLACED_UP_TO
 
     def index(texts: DataFrame, longer: str, shorter: str) -> DataFrame:
-        return _signatures(texts.select("id", "block", "t", "n", "c.*"), percent, longer, shorter, far)
+        return _signatures(texts.select("id", "block", "t", "n", *_COUNTS), percent, longer, shorter, far)
 
     ours = index(names.withColumnRenamed("name", "id"), "name", "title")
     ours = ours.withColumnsRenamed({c: f"name_{c}" for c in [*_KEEP[1:], "p", "i", "role"]} | {"id": "name"})
-    allowed = F.expr(f"int({_edits('greatest(n, name_n)', percent)})")
+    allowed = _allowed(percent)
     # the longer text knows which piece it is; equal lengths meet as a longer title only
     title_longer = F.col("role") == "title"
     in_role = F.when(title_longer, F.col("n") >= F.col("name_n")).otherwise(F.col("n") < F.col("name_n"))
@@ -418,11 +532,70 @@ def candidates(
         & (_surplus("c", "name_c") <= allowed)
         & (_surplus("name_c", "c") <= allowed)
     )
-    theirs = names.select("name", F.col("t").alias("name_t"), F.col("n").alias("name_n"), "sku", F.col("g").alias("name_g"))
-    met = lookup_join(near.select("id", "name").distinct(), theirs, "name", "inner", ["id"], broadcast_bytes=broadcast_bytes)
-    met = lookup_join(met, titles.drop("c"), "id", "inner", ["name"], broadcast_bytes=broadcast_bytes)
-    lost = (_lost_pairs("g.g", "name_g.g") <= 2 * allowed) & (_lost_pairs("name_g.g", "g.g") <= 2 * allowed)
-    return met.where(lost).select("block", "t", "n", "name_t", "name_n", "sku")
+    met = near.select("id", "name").distinct()
+    met = lookup_join(met, _theirs(names.drop("c", *_COUNTS)), "name", "inner", ["id"], broadcast_bytes=broadcast_bytes)
+    met = lookup_join(met, titles.drop("c", *_COUNTS), "id", "inner", ["name"], broadcast_bytes=broadcast_bytes)
+    lost = (_lost_pairs("g", "name_g") <= 2 * allowed) & (_lost_pairs("name_g", "g") <= 2 * allowed)
+    return met.where(lost).select(*_PAIR, *more)
+
+
+def _near(
+    titles: DataFrame,
+    names: DataFrame,
+    percent: int,
+    pairs_per_task: int,
+    broadcast_bytes: int,
+    pairs_per_text: int,
+    more: Sequence[str] = ("sku",),
+    shapes: bool = True,
+) -> DataFrame:
+    """Pairs of marked texts whose distance has to be taken, each once, with the columns ``more`` of either.
+
+    A block is compared whole where that is cheaper than an index of its texts; larger
+    blocks go by shapes, or by pieces where most texts have a shape of their own.
+    """
+    a = titles.groupBy("block").agg(F.count(F.lit(1)).cast("double").alias("a"))
+    b = names.groupBy("block").agg(F.count(F.lit(1)).cast("double").alias("b"))
+    whole = F.expr(f"a * b <= {pairs_per_text} * (a + b)").alias("whole")
+    blocks = stored(a.join(b, "block").select("block", F.expr("a * b").alias("load"), whole), "blocks")
+    kinds = {r["whole"] for r in blocks.select("whole").distinct().collect()}
+    if kinds <= {True}:
+        return _whole_blocks(titles, names, blocks, percent, pairs_per_task).select(*_PAIR, *more)
+    met = None
+    if True in kinds:
+        few, many = blocks.where("whole"), blocks.where("NOT whole").select("block")
+        some = [lookup_join(df, few.select("block"), "block", "inner", [i], broadcast_bytes=broadcast_bytes)
+                for df, i in ((titles, "id"), (names, "name"))]
+        met = _whole_blocks(*some, few, percent, pairs_per_task).select(*_PAIR, *more)
+        titles = stored(lookup_join(titles, many, "block", "inner", ["id"], broadcast_bytes=broadcast_bytes), "titles")
+        names = stored(lookup_join(names, many, "block", "inner", ["name"], broadcast_bytes=broadcast_bytes), "names")
+    far = _by_shapes(titles, names, more, percent, pairs_per_task, broadcast_bytes, pairs_per_text) if shapes else None
+    if far is None:
+        far = _by_pieces(titles, names, more, percent, pairs_per_task, broadcast_bytes)
+    return far if met is None else met.unionByName(far)
+
+
+def _both_marked(titles: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Titles that equal no name, and names, both with numbers and masks."""
+    number = F.monotonically_increasing_id()
+    titles = titles.join(names.select("block", "t"), ["block", "t"], "left_anti")
+    return _marked(titles, "id", number, "titles"), _marked(names, "name", number, "names", "sku")
+
+
+def candidates(
+    titles: DataFrame,
+    names: DataFrame,
+    percent: int = FUZZY_PERCENT,
+    pairs_per_task: int = PAIRS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    pairs_per_text: int = PAIRS_PER_TEXT,
+) -> DataFrame:
+    """Pairs of a title and a name whose distance has to be taken: block, t, n, name_t, name_n, sku, each pair once.
+
+    Titles that equal a name are left out. Pairs of neighbouring characters are compared before the distance.
+    """
+    near = _near(*_both_marked(titles, names), percent, pairs_per_task, broadcast_bytes, pairs_per_text)
+    return near.select("block", "t", "n", "name_t", "name_n", "sku")
 
 
 def best_titles(
@@ -431,6 +604,7 @@ def best_titles(
     percent: int = FUZZY_PERCENT,
     pairs_per_task: int = PAIRS_PER_TASK,
     broadcast_bytes: int = BROADCAST_BYTES,
+    pairs_per_text: int = PAIRS_PER_TEXT,
 ) -> DataFrame:
     """Best catalogue name for each distinct title of a block.
 
@@ -442,8 +616,12 @@ def best_titles(
     boundary is tested in whole numbers: ``100 * edits <= (100 - percent) *
     longest``. Of equally good names the smallest SKU wins.
 
-    Equal texts are settled by an equi-join. For the rest, candidates must
-    share text: cut the longer text into one piece more than the k edits
+    Equal texts are settled by an equi-join. Where blocks are large, titles are
+    first compared at half the difference allowed: one that has a name there has
+    its best name there, and only the others are compared at the full difference.
+
+    Small blocks are compared whole, larger ones by the shapes of their texts or
+    by pieces. Texts of many shapes must share text: cut the longer text into one piece more than the k edits
     allowed, and at least one piece survives unchanged in the other text. Of
     those that survive, one piece ``i`` has at most ``i`` edits before it and at
     most ``k - i`` behind it (walking over the pieces, edits so far minus pieces
@@ -462,14 +640,21 @@ def best_titles(
     )
     if percent == 100:
         return equal
-    met = candidates(titles, names, percent, pairs_per_task, broadcast_bytes)
-    longest = F.greatest("n", "name_n")
-    allowed = F.expr(f"int({_edits('greatest(n, name_n)', percent)})")
-    edits = F.call_function("levenshtein", F.col("t"), F.col("name_t"), allowed)
-    near = met.withColumns({"edits": edits, "longest": longest}).where("edits >= 0")
-    best = F.min(F.struct((F.col("edits") / F.col("longest")).alias("share"), "sku", "edits", "longest")).alias("best")
-    close = near.groupBy("block", "t").agg(best).select("block", "t", "best.sku", "best.edits", "best.longest")
-    return equal.unionByName(close)
+    ours, theirs = _both_marked(titles, names)
+    sizes = [df.groupBy("block").agg(F.count(F.lit(1)).cast("double").alias(c)) for df, c in ((ours, "a"), (theirs, "b"))]
+    pairs, widest = sizes[0].join(sizes[1], "block").agg(F.sum(F.expr("a * b")), F.max(F.expr("a * b / (a + b)"))).first()
+    steps = [percent] if pairs is None or widest <= pairs_per_text else sorted({(100 + percent) // 2, percent}, reverse=True)
+    best = equal
+    for step in steps:
+        near = _near(ours, theirs, step, pairs_per_task, broadcast_bytes, pairs_per_text)
+        close = near.withColumns({"edits": _distance(step), "longest": F.greatest("n", "name_n")}).where("edits >= 0")
+        first = F.min(F.struct((F.col("edits") / F.col("longest")).alias("share"), "sku", "edits", "longest")).alias("best")
+        close = close.groupBy("id", "block", "t").agg(first).select("id", "block", "t", "best.sku", "best.edits", "best.longest")
+        if step != percent:
+            close = stored(close, "close")
+            ours = stored(lookup_join(ours, close.select("id"), "id", "left_anti", ["id"], broadcast_bytes=broadcast_bytes), "titles")
+        best = best.unionByName(close.drop("id"))
+    return best
 
 
 def fuzzy_candidates(

@@ -162,6 +162,71 @@ def test_hot_grams_are_laid_out_on_a_grid(spark):
     assert {(r.block, r.t): (r.sku, r.edits, r.longest) for r in got} == brute_force(rows_a, rows_b, 70)
 
 
+def model_titles(count, seed):
+    """Few words and model numbers: many texts of one shape, some a few edits from a name, some of no name."""
+    rng = random.Random(seed)
+    words = ["blue ring", "blue rod", "old anvil", "hot plate"]
+    names = sorted({f"{rng.choice(words)} m{rng.randrange(100, 1000)}x{rng.randrange(10, 100)}" for _ in range(count)})
+    titles = set()
+    for n in names:
+        kind, at = rng.randrange(5), rng.randrange(len(n))
+        titles.add([n[:at] + n[at + 1 :], n + " new", n[3:], n[::-1], n[:-3] + "777"][kind].strip())
+    return sorted(titles), names
+
+
+@pytest.mark.parametrize(
+    "way, percent",
+    [("whole", 70), ("shapes", 70), ("shapes", 90), ("few names a title", 70), ("pieces", 60), ("mixed blocks", 70)],
+)
+def test_every_way_finds_the_same(spark, monkeypatch, way, percent):
+    titles, names = model_titles(60, 4)
+    titles = [(1, t) for t in titles] + ([(2, t) for t in titles[:9]] if way == "mixed blocks" else [])
+    names = [(i, n, f"S{k}") for i in {b for b, _ in titles} for k, n in enumerate(names[: 99 if i == 1 else 7])]
+    monkeypatch.setattr(matching, "TEXTS_PER_SHAPE", 10**9 if way == "pieces" else 1)
+    per_text = {"whole": 10**6, "shapes": 20, "few names a title": 1, "pieces": 0, "mixed blocks": 5}[way]
+    a = literal_table(spark, titles, "block int, t string")
+    b = literal_table(spark, names, "block int, t string, sku string")
+    want = brute_force(titles, names, percent)
+    got = matching.best_titles(a, b, percent, 100, 1 << 26 if way == "whole" else 0, per_text).collect()
+    assert {(r.block, r.t): (r.sku, r.edits, r.longest) for r in got} == want
+    assert len(got) == len(want) > 10
+    pairs = matching.candidates(a, b, percent, 100, pairs_per_text=per_text)
+    assert pairs.count() == pairs.select("block", "t", "name_t").distinct().count()
+
+
+def test_pieces_of_short_and_long_texts(spark):
+    """The index alone, which blocks as small as these do not need: one cell a key, a grid, texts beyond placed pieces."""
+    rng = random.Random(5)
+    texts = random_texts(120, 1)
+    short = [texts[::2], texts[1::2]]
+    seeds = ["".join(rng.choices("abcd ", k=k)).strip() + "x" for k in range(70, 170, 8)]
+    long = [sorted({s[: len(s) // 2] + rng.choice("abé") + s[len(s) // 2 + cut :] for s in seeds for cut in (1, 9, 30)}), sorted(seeds)]
+    for (titles, names), pairs_per_task in ((short, 10**9), (short, 3), (long, 10**9)):
+        titles, names = [(1, t) for t in titles], [(1, n, f"S{i}") for i, n in enumerate(names)]
+        a = literal_table(spark, titles, "block int, t string")
+        b = literal_table(spark, names, "block int, t string, sku string")
+        got = matching.best_titles(a, b, 70, pairs_per_task, pairs_per_text=0).collect()
+        assert {(r.block, r.t): (r.sku, r.edits, r.longest) for r in got} == brute_force(titles, names, 70)
+        assert len(got) > 10
+
+
+def test_model_numbers_make_no_index(spark, monkeypatch):
+    """What is written for titles with model numbers stays near their own count, however many pairs they have."""
+    titles, names = model_titles(400, 6)
+    written, stored = [], matching.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(matching, "stored", counted)
+    a = literal_table(spark, [(1, t) for t in titles], "block int, t string")
+    b = literal_table(spark, [(1, n, n) for n in names], "block int, t string, sku string")
+    assert matching.best_titles(a, b, 70, 1000).count() > 200
+    assert sum(written) < 10 * (len(titles) + len(names))
+
+
 def test_percent_bounds(spark):
     a = literal_table(spark, [(1, "x")], "block int, t string")
     b = literal_table(spark, [(1, "x", "s")], "block int, t string, sku string")
