@@ -32,6 +32,8 @@ LABELS = ("none", *KINDS)
 TRAIN_DOCS, TRAIN_TOKENS = 4_000, 200
 #: The belief from which a token is a find of its own, and the change of a message that still counts.
 SURE, STILL = 0.8, 1e-6
+#: Variables from which a graph is closed (a document is never cut), and messages made at a time: memory, not results.
+GRAPH_VARIABLES, ROUND_MESSAGES = 1 << 15, 1 << 15
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -188,6 +190,15 @@ class Graph:
             out[i, row] = 1
         return out
 
+    def weighed(self, weights: np.ndarray) -> np.ndarray:
+        """``matrix() @ weights`` without the matrix."""
+        parts = []
+        for at in range(0, len(self.rows), ROUND_MESSAGES):
+            rows = self.rows[at : at + ROUND_MESSAGES]
+            first = np.cumsum([0, *map(len, rows[:-1])])
+            parts.append(np.add.reduceat(weights[[i for row in rows for i in row]], first))
+        return np.concatenate(parts)
+
 
 def _pairs(links: list) -> np.ndarray:
     return np.array(links, np.int64).reshape(-1, 2)
@@ -262,7 +273,7 @@ class SkipChain:
         n = len(graph.rows)
         if not n:
             return np.zeros((0, len(LABELS)))
-        own = graph.matrix() @ self.unary
+        own = graph.weighed(self.unary)
         seen = np.array(graph.seen)
         if use_evidence:
             # a link to evidence always carries the same message
@@ -284,12 +295,15 @@ class SkipChain:
         bound, pace = np.tile(100 + 4 * longest, 2), np.tile(np.where(loops, 0.5, 1.0)[:, None], (2, 1))
         total, active, done = own.copy(), np.arange(2 * m), 0
         while len(active):
-            # only messages whose grounds have changed are made again
-            out = total[source[active]] - sent[back[active]]
-            out = out[:, :, None] + tables[kind[active]]
-            top = out.max(1)
-            out = top + np.log(np.exp(out - top[:, None, :]).sum(1))
-            step = pace[active] * (out - out.max(1, keepdims=True) - sent[active])
+            # only messages whose grounds have changed are made again; a round is made in parts and sent as a whole
+            step = np.empty((len(active), len(LABELS)))
+            for at in range(0, len(active), ROUND_MESSAGES):
+                now = active[at : at + ROUND_MESSAGES]
+                out = total[source[now]] - sent[back[now]]
+                out = out[:, :, None] + tables[kind[now]]
+                top = out.max(1)
+                out = top + np.log(np.exp(out - top[:, None, :]).sum(1))
+                step[at : at + ROUND_MESSAGES] = pace[now] * (out - out.max(1, keepdims=True) - sent[now])
             sent[active] += step
             np.add.at(total, target[active], step)
             moved = active[np.abs(step).max(1) > STILL]
@@ -302,11 +316,20 @@ class SkipChain:
 
 def find_spans(texts: list[str], field: SkipChain) -> list[tuple[list, list]]:
     """For each text its base spans and all spans (with the field's own finds), as (start, kind, end)."""
+    out: list[tuple[list, list]] = []
     graph, places, based = Graph.empty(), [], []
     for text in texts:
         base = base_spans(text)
         based.append(base)
         places.append(graph.add(text, base))
+        if len(graph.rows) >= GRAPH_VARIABLES:
+            out += _spans_of(graph, places, based, field)
+            graph, places, based = Graph.empty(), [], []
+    return out + _spans_of(graph, places, based, field)
+
+
+def _spans_of(graph: Graph, places: list, based: list, field: SkipChain) -> list[tuple[list, list]]:
+    """The same for the texts of one graph, from their variables and base spans."""
     belief = field.beliefs(graph)
     best = belief.argmax(1) if len(belief) else np.zeros(0, np.int64)
     linked = {b for _, b in graph.chain}

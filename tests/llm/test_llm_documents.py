@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import llm_rows
@@ -336,6 +337,26 @@ def test_beliefs_are_exact_on_a_chain():
         assert np.abs(field.beliefs(graph) - exact).max() < 1e-3
 
 
+def test_pii_memory_follows_parts_of_a_slice(monkeypatch):
+    rng = np.random.default_rng(3)
+    field = pii.SkipChain(rng.normal(0, 1, (pii.N_FEATURES, 5)), np.zeros((5, 5)), np.zeros((5, 5)))
+    texts = [" ".join(map(str, rng.integers(0, 10, 1000))) for _ in range(150)]
+    tracemalloc.start()
+    pii.find_spans(texts, field)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 120 << 20, f"{most >> 20} MB for 300 kB of one-digit words"
+
+    words = ["1", "22", "+4912345678", "a.b@c.de", "a.b@x.yz", "10.0.0.1", "123456", "foo", "4111111111111111"]
+    texts = [" ".join(rng.choice(words, n)) for n in (90, 0, 40, 3, 70)]
+    field = pii.SkipChain(*(rng.normal(0, 1, s) for s in ((pii.N_FEATURES, 5), (5, 5), (5, 5))))
+    whole = pii.find_spans(texts, field)
+    monkeypatch.setattr(pii, "GRAPH_VARIABLES", 50)
+    monkeypatch.setattr(pii, "ROUND_MESSAGES", 7)
+    assert pii.find_spans(texts, field) == whole == [found for t in texts for found in pii.find_spans([t], field)]
+    assert any(spans != base for base, spans in whole)
+
+
 def test_redact(docs, empty):
     out = pii.redact_all(docs)
     assert out.schema == docs.schema and out.count() == docs.count()
