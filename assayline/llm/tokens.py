@@ -100,15 +100,16 @@ class Vocabulary:
                 ranks[i - 1] = get((parts[i - 1], parts[i]), none)
         return parts
 
-    def pair_table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted pairs (first id * 2**32 + second id), the rank of each, and the joined id by rank."""
+    def pair_table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted pairs (first id * 2**32 + second id), the rank of each, the joined id by rank, and the rank by two bytes."""
         if not hasattr(self, "_table"):
             key = np.array([a << 32 | b for a, b in self.ranks], np.int64)
-            rank = np.array(list(self.ranks.values()), np.int64)
-            joined = np.zeros(len(rank), np.int64)
+            rank = np.array(list(self.ranks.values()), np.int32)
+            joined = np.zeros(len(rank), np.int32)
             joined[rank] = [self.joined[p] for p in self.ranks]
             order = np.argsort(key)
-            self._table = key[order], rank[order], joined
+            of_bytes = [[self.ranks.get((a, b), len(rank)) for b in self.single] for a in self.single]
+            self._table = key[order], rank[order], joined, np.array(of_bytes, np.int32)
         return self._table
 
     def merge_many(self, words: list[bytes]) -> list[bytes]:
@@ -124,50 +125,55 @@ class Vocabulary:
                 out[i] = np.array(self._merge_long(word), "<u4").tobytes()
             else:
                 by_length.setdefault((len(word) + 3) // 4, []).append(i)
-        keys, ranks, joined = self.pair_table()
+        keys, ranks, joined, of_bytes = self.pair_table()
         none = len(ranks)
-        single = np.array(self.single, np.int64)
+        single = np.array(self.single, np.int32)
 
         def rank_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-            pair = left << 32 | right
+            pair = left.astype(np.int64) << 32 | right
             at = np.minimum(np.searchsorted(keys, pair), none - 1)
-            return np.where((keys[at] == pair) & (left >= 0) & (right >= 0), ranks[at], none)
-
-        for places in by_length.values():
-            width = max(len(words[i]) for i in places)
-            n = len(places)
-            sizes = np.array([len(words[i]) for i in places])
-            raw = np.zeros((n, width), np.uint8)
+            return np.where(keys[at] == pair, ranks[at], none)
+
+        def close(table: np.ndarray, gap: np.ndarray) -> np.ndarray:
+            """A table without one place of each row."""
+            kept = np.ones(table.shape, bool)
+            kept[np.arange(len(gap)), gap] = False
+            return table[kept].reshape(len(gap), -1) if len(gap) else table[:, 1:]
+
+        for group in by_length.values():
+            sizes = np.array([len(words[i]) for i in group])
+            width = int(sizes.max())
+            raw = np.zeros((len(group), width), np.uint8)
             inside = np.arange(width) < sizes[:, None]
-            raw[inside] = np.frombuffer(b"".join([words[i] for i in places]), np.uint8)
-            parts = np.where(inside, single[raw], -1)
-            order = np.full((n, width), none)
-            if width > 1 and none:
-                order[:, :-1] = rank_of(parts[:, :-1], parts[:, 1:])
-            live = np.arange(n)
-            while len(live):
-                best = order[live].argmin(1)
-                rank = order[live, best]
-                live, best, rank = live[rank < none], best[rank < none], rank[rank < none]
-                if not len(live):
-                    break
-                # close the gap that the second part leaves
-                shift = np.arange(width) + (np.arange(width) > best[:, None])
-                padded = np.pad(parts[live], ((0, 0), (0, 1)), constant_values=-1)
-                parts[live] = np.take_along_axis(padded, shift, 1)
-                parts[live, best] = joined[rank]
-                padded = np.pad(order[live], ((0, 0), (0, 1)), constant_values=none)
-                order[live] = np.take_along_axis(padded, shift, 1)
-                after = np.where(best + 1 < width, parts[live, np.minimum(best + 1, width - 1)], -1)
-                order[live, best] = rank_of(parts[live, best], after)
-                left = best > 0
-                rows, at = live[left], best[left] - 1
-                order[rows, at] = rank_of(parts[rows, at], parts[rows, at + 1])
-            kept = parts >= 0
-            flat = parts[kept].astype("<u4").tobytes()
-            ends = (4 * np.cumsum(kept.sum(1))).tolist()
-            for i, a, b in zip(places, [0, *ends], ends):
-                out[i] = flat[a:b]
+            raw[inside] = np.frombuffer(b"".join([words[i] for i in group]), np.uint8)
+            # all rows lose one part a round; -1 fills the ends
+            places, parts = np.array(group), np.where(inside, single[raw], -1)
+            order = np.where(inside[:, 1:], of_bytes[raw[:, :-1], raw[:, 1:]], none)
+            while len(places):
+                if order.shape[1]:
+                    best = order.argmin(1)
+                    rank = order[np.arange(len(best)), best]
+                    joins = rank < none
+                else:
+                    joins = np.zeros(len(places), bool)
+                if not joins.all():
+                    ready = parts[~joins]
+                    inside = ready >= 0
+                    flat = ready[inside].astype("<u4").tobytes()
+                    ends = (4 * np.cumsum(inside.sum(1))).tolist()
+                    for i, a, b in zip(places[~joins].tolist(), [0, *ends], ends):
+                        out[i] = flat[a:b]
+                    places, parts, order = places[joins], parts[joins], order[joins]
+                    if not len(places):
+                        break
+                    best, rank = best[joins], rank[joins]
+                row = np.arange(len(places))
+                parts[row, best] = joined[rank]
+                parts, order = close(parts, best + 1), close(order, best)
+                for side in (best, best - 1):
+                    there = (side >= 0) & (side < order.shape[1])
+                    rows, at = row[there], side[there]
+                    order[rows, at] = rank_of(parts[rows, at], parts[rows, at + 1])
         return out
 
     def _merge_long(self, word: bytes) -> list[int]:
@@ -327,7 +333,41 @@ class Lexicon:
         return self.arrays["ids"][first[place] : first[place + 1]].tobytes()
 
 
-class Codec:
+class Splitter:
+    """Cuts texts, and pieces of them, into words of the pattern."""
+
+    def __init__(self):
+        self.split_early, self.split_late = regex.compile(PATTERN).findall, regex.compile(LATE_PATTERN).findall
+        self.late = re.compile(f"[{_LATE}]").search
+
+    def split(self, string: str) -> list[str]:
+        """Words of the pattern."""
+        late = not string.isascii() and self.late(string)
+        return self.split_late(string) if late else self.split_early(string)
+
+    def cut(self, pieces: list[str]) -> list[list[str]]:
+        """Words of the pattern of each piece; a piece is a space and characters without one.
+
+        A space before a character begins a new word, so pieces are cut together and told apart by it.
+        """
+        joined = "".join(pieces)
+        if not joined.isascii() and self.late(joined):
+            return [self.split(p) for p in pieces]
+        rows: list[list[str]] = []
+        if all([p[1:2].strip() for p in pieces]):
+            for word in self.split_early(joined):
+                if word[0] == " ":
+                    rows.append([word])
+                else:
+                    rows[-1].append(word)
+            return rows
+        # white space after the space
+        odd = {p: self.split_early(p) for p in pieces if not p[1:2].strip()}
+        rest = iter(self.cut([p for p in pieces if p not in odd]))
+        return [odd[p] if p in odd else next(rest) for p in pieces]
+
+
+class Codec(Splitter):
     """Encodes and decodes texts with a vocabulary and a lexicon of frequent words.
 
     A single space before a character always begins a new word of the pattern, so a
@@ -336,9 +376,8 @@ class Codec:
     """
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
+        super().__init__()
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.split_early, self.split_late = regex.compile(PATTERN).findall, regex.compile(LATE_PATTERN).findall
-        self.late = re.compile(f"[{_LATE}]").search
         self.pieces: dict[str, bytes] = {}
         self.merged: dict[bytes, bytes] = {}
         table = vocabulary.bytes_of
@@ -348,25 +387,39 @@ class Codec:
         self.pieces.clear()
         self.merged.clear()
 
-    def split(self, string: str) -> list[str]:
-        """Words of the pattern."""
-        late = not string.isascii() and self.late(string)
-        return self.split_late(string) if late else self.split_early(string)
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words of the pattern: from the lexicon, else merged."""
+        raw = list(map(str.encode, words))
+        ids = self.lexicon.ids_of(self.lexicon.find(raw))
+        rare = [i for i, known in enumerate(ids) if known is None]
+        if len(self.merged) > KEEP_PIECES:
+            self.merged.clear()
+        merged = self.merged
+        new = [raw[i] for i in rare if raw[i] not in merged]
+        merged.update(zip(new, self.vocabulary.merge_many(new)))
+        for i in rare:
+            ids[i] = merged[raw[i]]
+        return ids
 
     def _ids(self, strings: list[str]) -> list[bytes]:
-        """Ids of whole strings: words from the lexicon, else merged."""
-        # letters after a space are one word of the pattern
-        rows = [(s,) if s[1:].isalpha() and s[0] == " " else self.split(s) for s in strings]
+        """Ids of whole strings."""
+        rows = [self.split(s) for s in strings]
         words = list({w for row in rows for w in row})
-        raw = [w.encode() for w in words]
-        if len(self.merged) > KEEP_PIECES:
-            self.merged.clear()
-        known = dict(zip(words, self.lexicon.ids_of(self.lexicon.find(raw))))
-        rare = [(w, data) for w, data in zip(words, raw) if known[w] is None]
-        new = [data for _, data in rare if data not in self.merged]
-        self.merged.update(zip(new, self.vocabulary.merge_many(new)))
-        known.update((w, self.merged[data]) for w, data in rare)
-        return [known[row[0]] if len(row) == 1 else b"".join([known[w] for w in row]) for row in rows]
+        known = dict(zip(words, self._word_ids(words)))
+        return [b"".join([known[w] for w in row]) for row in rows]
+
+    def _learn(self, new: set[str]) -> None:
+        """Keep the ids of pieces, given without their space."""
+        # letters after a space are one word of the pattern
+        plain = [w for w in new if w.isalpha()]
+        mixed = list(new.difference(plain))
+        spaced = [f" {w}" for w in plain]
+        rows = self.cut([f" {w}" for w in mixed])
+        words = spaced + list({w for row in rows for w in row}.difference(spaced))
+        ids = self._word_ids(words)
+        self.pieces.update(zip(plain, ids))
+        known = dict(zip(words, ids))
+        self.pieces.update(zip(mixed, [b"".join([known[w] for w in row]) for row in rows]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers; special tokens' strings become their ids."""
@@ -389,19 +442,16 @@ class Codec:
         if len(self.pieces) > KEEP_PIECES:
             self.pieces.clear()
         known = self.pieces
-        new = list({w for steps in plan for step in steps if type(step) is tuple for w in step[1]} - known.keys())
-        known.update(zip(new, self._ids([f" {w}" for w in new])))
-        heads = dict(zip(whole, self._ids(whole)))
+        self._learn(set().union(*[step[1] for steps in plan for step in steps if type(step) is tuple]).difference(known))
+        heads, ids_of = dict(zip(whole, self._ids(whole))), known.__getitem__
         return [
-            b"".join(
-                [step if type(step) is bytes else heads[step[0]] + b"".join([known[w] for w in step[1]]) for step in steps]
-            )
+            b"".join([step if type(step) is bytes else heads[step[0]] + b"".join(map(ids_of, step[1])) for step in steps])
             for steps in plan
         ]
 
     def decode(self, ids: bytes) -> str:
         table = self.table
-        return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
 def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", most: int = LEXICON_WORDS) -> bytes:
@@ -412,17 +462,16 @@ def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
     """
 
     def count(batches):
-        split = regex.compile(PATTERN).findall
+        splitter = Splitter()
         pieces: Counter = Counter()
 
         def flush():
-            totals: Counter = Counter()
-            for piece, n in pieces.items():
-                if piece.isalpha():  # one word of the pattern
-                    totals[f" {piece}"] += n
-                else:
-                    for word in split(f" {piece}"):
-                        totals[word] += n
+            # letters are one word of the pattern
+            totals = Counter({f" {piece}": n for piece, n in pieces.items() if piece.isalpha()})
+            mixed = {f" {piece}": n for piece, n in pieces.items() if not piece.isalpha()}
+            for row, n in zip(splitter.cut(list(mixed)), mixed.values()):
+                for word in row:
+                    totals[word] += n
             pieces.clear()
             words, counts = zip(*totals.items()) if totals else ((), ())
             return pa.RecordBatch.from_arrays(

@@ -537,6 +537,25 @@ def test_codec_fuzz():
         assert np.frombuffer(ids, "<u4").tolist() == encoding.ids
 
 
+def test_codec_cuts_pieces_together():
+    """The pattern runs over the new pieces of a batch at once, and gives each piece the words that it has alone."""
+    import public_tokenizers
+
+    rng = random.Random(7)
+    vocabulary = tokens.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    codec = tokens.Codec(vocabulary, tokens.Lexicon.mapped(tokens.pack(tokens.compile_lexicon({}))))
+    calls, plain = [], codec.split_early
+    codec.split_early = lambda s: calls.append(s) or plain(s)
+    codec.encode([" ".join(f"word{i}.\nNext," for i in range(at, at + 200)) for at in range(0, 2000, 200)])
+    assert len(calls) < 30, f"{len(calls)} calls for 2,000 pieces"
+
+    parts = ["a", "the", ".", ",", "\n", "\t", "\xa0", "\u3000", "'s", "'", "1", "\x1c", "\x00", "é", "漢", "²", "\n\n"]
+    for late in ("", "\u1c89\u088f"):
+        pieces = [" " + "".join(rng.choice(parts) for _ in range(rng.randint(0, 4))) for _ in range(3000)] + [f" x{late}", " "]
+        assert codec.cut(pieces) == [codec.split(p) for p in pieces]
+    assert codec.cut([]) == []
+
+
 def test_codec_all_code_points():
     """Letter, digit and space classes are the library's for every code point."""
     import public_tokenizers
