@@ -9,7 +9,8 @@ output of ``plans.products.build_products``). Listing frames carry
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from assayline.functions.keys import surrogate_key
 from assayline.functions.words import sorted_words
 from assayline.operators.joins import BROADCAST_BYTES, lookup_join
 from assayline.registry import FUZZY_MOST, FUZZY_PERCENT
-from assayline.sources.scratch import stored
+from assayline.sources.scratch import kept, scratch_tables, stored
 
 EXACT, UNKNOWN, FUZZY = "EXACT_SKU", "SKU_NOT_IN_CATALOGUE", "FUZZY"
 
@@ -197,6 +198,10 @@ PLACED_UP_TO = 100  # pieces of longer texts are filed by a run of places, or sh
 RUN = 32  # places of such a run
 PAIRS_PER_TEXT = 2_000  # a block with no more pairs a text is compared whole: a text's index rows cost as much
 TEXTS_PER_SHAPE = 4  # texts that share a shape, on average, where shapes are compared first
+NAMES_AT_A_TIME = 200_000  # names of large blocks that are broadcast at once
+ROWS_AT_A_TIME = 20_000_000  # index rows that are on disk at once
+PAIRS_PER_ROW = 100  # pairs whose masks are compared in the time that an index row takes
+SHORTEST_PIECE = 6  # shorter pieces are in a great part of all texts
 
 
 def _edits(length: str, percent: int) -> str:
@@ -398,6 +403,9 @@ _COUNTS, _NEIGHBOURS = ["c1", "c2", "c3"], [f"g{i}" for i in range(_PAIR_WORDS)]
 _MARKS = ["t", "n", "e", "c", *_COUNTS, "g", *_NEIGHBOURS]
 
 
+Round = Callable[[], DataFrame]  # the pairs of one round of a comparison; what it needs is made when it is called
+
+
 def _marked(df: DataFrame, number: str, value: Column, name: str, *more: str) -> DataFrame:
     """Texts with a number, their length, masks and the bits set in them (c, g), as a stored table."""
     marks = [F.char_length("t").cast("long").alias("n"), _count_masks("t").alias("cs"), _pair_masks("t").alias("gs")]
@@ -445,62 +453,92 @@ def _whole_blocks(titles: DataFrame, names: DataFrame, blocks: DataFrame, percen
     return _load_join(titles, _theirs(names), loads, pairs_per_task).where(_close_masks())
 
 
+def _compared(titles: DataFrame, names: DataFrame, key: str, percent: int) -> DataFrame:
+    """Pairs of one key whose lengths and masks agree: the names are broadcast, the titles stay where they are."""
+    edits = F.expr(f"int({_edits('n', percent)})")
+    theirs = _theirs(names.withColumns({"e": edits, "__at": F.col(key)})).drop("key")
+    return titles.withColumn("e", edits).join(F.broadcast(theirs), F.col(key) == F.col("__at")).where(_close_masks())
+
+
+def _part(df: DataFrame, number: str, part: int, parts: int) -> DataFrame:
+    return df.where(F.pmod(F.xxhash64(number), F.lit(parts)) == part) if parts > 1 else df
+
+
+def _by_names(titles: DataFrame, names: DataFrame, more: Sequence[str], percent: int) -> list[Round]:
+    """Every pair of a block whose lengths and masks agree, so many names at a time; nothing is written for a pair."""
+    rounds = -(-names.count() // NAMES_AT_A_TIME)
+
+    def pairs(r: int) -> DataFrame:
+        return _compared(titles, _part(names, "name", r, rounds), "block", percent).select(*_PAIR, *more)
+
+    return [partial(pairs, r) for r in range(rounds)]
+
+
 def _by_shapes(
-    titles: DataFrame,
-    names: DataFrame,
-    more: Sequence[str],
-    percent: int,
-    pairs_per_task: int,
-    broadcast_bytes: int,
-    pairs_per_text: int,
-) -> DataFrame | None:
+    titles: DataFrame, names: DataFrame, more: Sequence[str], percent: int, pairs_per_task: int, broadcast_bytes: int
+) -> list[Round] | None:
     """Pairs by way of their shapes: texts with every digit read as 0 (None: too many shapes for that).
 
     Replacing characters by others adds no edits, so texts are never closer than their
     shapes, which have the same lengths. Model numbers make many texts of few shapes.
-    Titles whose shapes leave them too many names are looked up by pieces instead.
+    A round takes the names of some shapes: title shapes are compared with those, and
+    titles with the names of the shapes near theirs, which are broadcast.
     """
 
     def shaped(df: DataFrame) -> DataFrame:
-        df = df.withColumns({"shape": F.translate("t", "123456789", "0" * 9), "e": F.expr(f"int({_edits('n', percent)})")})
-        return df.withColumn("key", F.xxhash64("block", "shape"))
+        shape = F.translate("t", "123456789", "0" * 9)
+        return df.withColumns({"shape": shape, "key": F.xxhash64("block", shape)})
 
     titles, names = shaped(titles), shaped(names)
     counted = [
         stored(df.groupBy("key", "block", F.col("shape").alias("t")).agg(F.count(F.lit(1)).alias(many)), "shapes")
         for df, many in ((titles, "titles"), (names, "names"))
     ]
-    sums = [df.agg(F.count(F.lit(1)).alias("a"), F.sum(df.columns[-1]).alias("b")) for df in counted]
-    if any(b < TEXTS_PER_SHAPE * a for a, b in sums[0].unionAll(sums[1]).collect()):
+    sums = [df.agg(F.count(F.lit(1)).alias("a"), F.sum(df.columns[-1]).alias("b")).first() for df in counted]
+    if any(a and b < TEXTS_PER_SHAPE * a for a, b in sums):
         return None
-    ours = _marked(counted[0], "id", F.col("key"), "title-shapes", "titles")
-    theirs = _marked(counted[1], "name", F.col("key"), "name-shapes", "names")
-    near = _near(ours, theirs, percent, pairs_per_task, broadcast_bytes, pairs_per_text, ["titles", "names"], False)
-    near = near.where(_distance(percent) >= 0)
-    pairs = stored(near.select(F.col("id").alias("key"), F.col("name").alias("other"), "titles", "names"), "shape-pairs")
-    wide = pairs.groupBy("key").agg(F.sum("names").alias("names")).where(f"names > {4 * pairs_per_text}")
-    wide, apart = stored(wide.select("key"), "wide"), None
-    if wide.head(1):
-        apart = lookup_join(titles, wide, "key", "inner", ["id"], broadcast_bytes=broadcast_bytes).drop("key", "shape", "e")
-        apart = _by_pieces(apart, names.drop("key", "shape", "e"), more, percent, pairs_per_task, broadcast_bytes)
-        pairs = lookup_join(pairs, wide, "key", "left_anti", ["other"], broadcast_bytes=broadcast_bytes)
-    loads = pairs.groupBy(F.col("other").alias("key")).agg(F.sum(F.col("titles").cast("double") * F.col("names")).alias("load"))
-    titles = lookup_join(
-        titles.drop("shape"), pairs.select("key", "other"), "key", "inner", ["id"], broadcast_bytes=broadcast_bytes
-    )
-    titles = titles.drop("key").withColumnRenamed("other", "key")
-    met = _load_join(titles, _theirs(names.drop("shape")), stored(loads, "loads"), pairs_per_task)
-    met = met.where(_close_masks()).select(*_PAIR, *more)
-    return met if apart is None else met.unionByName(apart)
+    ours = _marked(counted[0], "id", F.col("key"), "title-shapes")
+    theirs = _marked(counted[1], "name", F.col("key"), "name-shapes")
+    rounds = -(-(sums[1]["b"] or 0) // NAMES_AT_A_TIME)
+    cut = F.pmod(F.xxhash64("key"), F.lit(rounds)).alias("round")
+    sizes = counted[1].groupBy(cut).agg(F.sum("names").alias("names")).collect() if rounds else []
+    titles, names = titles.drop("shape"), names.drop("shape")
+    tasks = 4 * _parts(ours, 0, pairs_per_task)
+
+    def pairs(r: int, part: int, parts: int) -> DataFrame:
+        near = _compared(ours.repartition(tasks, "id"), _part(theirs, "name", r, rounds), "block", percent)
+        near = near.where(_distance(percent) >= 0).select(F.col("id").alias("key"), F.col("name").alias("near"))
+        met = lookup_join(titles, stored(near, "shape-pairs"), "key", "inner", ["id"], broadcast_bytes=broadcast_bytes)
+        met = met.drop("key").withColumnRenamed("near", "key")
+        here = _part(_part(names, "key", r, rounds), "name", part, parts)  # several parts: one shape has that many names
+        return _compared(met, here, "key", percent).select(*_PAIR, *more)
+
+    parts = {row["round"]: -(-row["names"] // (2 * NAMES_AT_A_TIME)) for row in sizes}
+    return [partial(pairs, r, p, n) for r, n in sorted(parts.items()) for p in range(n)]
+
+
+def _index_rows(texts: DataFrame, percent: int, far: bool) -> int:
+    """Rows that the texts have in an index: they follow from the length of a text alone."""
+    none = F.lit(0).cast("long")
+    lengths = texts.groupBy("n").agg(F.count(F.lit(1)).alias("c1"))
+    one = lengths.select(F.col("n").alias("id"), F.lit("").alias("block"), F.expr("repeat('x', int(n))").alias("t"), "n", "c1", none.alias("c2"), none.alias("c3"))
+    return _signatures(one, percent, "title", "name", far).agg(F.ifnull(F.sum("c1"), none)).first()[0]
 
 
 def _by_pieces(
-    titles: DataFrame, names: DataFrame, more: Sequence[str], percent: int, pairs_per_task: int, broadcast_bytes: int
-) -> DataFrame:
-    """Pairs that share a piece of text at a compatible place, by an index.
+    titles: DataFrame,
+    names: DataFrame,
+    more: Sequence[str],
+    percent: int,
+    pairs_per_task: int,
+    broadcast_bytes: int,
+    pairs_per_text: int,
+) -> list[Round] | None:
+    """Pairs that share a piece of text at a compatible place, by an index (None: comparing every pair costs less).
 
     The index holds numbers, places and counts of characters, no texts. Pairs that an entry
-    brings together are made distinct and only then meet their texts.
+    brings together are made distinct and only then meet their texts. A round has the
+    entries of some keys, so that what is on disk at a time does not follow the texts.
     """
     sizes = [
         df.groupBy("block").agg(F.count(F.lit(1)).alias(c), F.max("n").alias(f"n_{c}")) for df, c in ((titles, "a"), (names, "b"))
@@ -510,75 +548,88 @@ def _by_pieces(
         F.ifnull(F.sum(load), F.lit(0)), F.ifnull(F.max(F.greatest("n_a", "n_b")), F.lit(0))
     ).first()
     far = longest > PLACED_UP_TO
+    if pairs_per_text and (100 - percent) * SHORTEST_PIECE > 100:
+        return None
+    rows = _index_rows(titles.select("n").unionAll(names.select("n")), percent, far)
+    rounds = max(1, -(-rows // ROWS_AT_A_TIME))
+    if pairs_per_text and total_pairs <= rows * PAIRS_PER_ROW * (1 + rounds / 10):  # each round makes all rows, which is a tenth of their cost
+        return None
 
-    def index(texts: DataFrame, longer: str, shorter: str) -> DataFrame:
-        return _signatures(texts.select("id", "block", "t", "n", *_COUNTS), percent, longer, shorter, far)
-
-    ours = index(names.withColumnRenamed("name", "id"), "name", "title")
-    ours = ours.withColumnsRenamed({c: f"name_{c}" for c in [*_KEEP[1:], "p", "i", "role"]} | {"id": "name"})
-    allowed = _allowed(percent)
-    # the longer text knows which piece it is; equal lengths meet as a longer title only
-    title_longer = F.col("role") == "title"
-    in_role = F.when(title_longer, F.col("n") >= F.col("name_n")).otherwise(F.col("n") < F.col("name_n"))
-    piece = F.when(title_longer, F.col("i")).otherwise(F.col("name_i"))
-    moved = F.col("p") - F.col("name_p")
-    behind = F.col("n") - F.col("name_n") - moved
-    near = _gram_join(index(titles, "title", "name"), ours, total_pairs, pairs_per_task).where(
-        (F.col("role") == F.col("name_role"))
-        & in_role
-        & (F.abs(F.col("n") - F.col("name_n")) <= allowed)
-        & (F.abs(moved) <= piece)
-        & (F.abs(behind) <= allowed - piece)
-        & (_surplus("c", "name_c") <= allowed)
-        & (_surplus("name_c", "c") <= allowed)
-    )
-    met = near.select("id", "name").distinct()
-    met = lookup_join(met, _theirs(names.drop("c", *_COUNTS)), "name", "inner", ["id"], broadcast_bytes=broadcast_bytes)
-    met = lookup_join(met, titles.drop("c", *_COUNTS), "id", "inner", ["name"], broadcast_bytes=broadcast_bytes)
-    lost = (_lost_pairs("g", "name_g") <= 2 * allowed) & (_lost_pairs("name_g", "g") <= 2 * allowed)
-    return met.where(lost).select(*_PAIR, *more)
+    def index(texts: DataFrame, longer: str, shorter: str, r: int) -> DataFrame:
+        rows = _signatures(texts.select("id", "block", "t", "n", *_COUNTS), percent, longer, shorter, far)
+        return rows.where(F.pmod("key", F.lit(rounds)) == r) if rounds > 1 else rows
+
+    def pairs(r: int) -> DataFrame:
+        ours = index(names.withColumnRenamed("name", "id"), "name", "title", r)
+        ours = ours.withColumnsRenamed({c: f"name_{c}" for c in [*_KEEP[1:], "p", "i", "role"]} | {"id": "name"})
+        allowed = _allowed(percent)
+        # the longer text knows which piece it is; equal lengths meet as a longer title only
+        title_longer = F.col("role") == "title"
+        in_role = F.when(title_longer, F.col("n") >= F.col("name_n")).otherwise(F.col("n") < F.col("name_n"))
+        piece = F.when(title_longer, F.col("i")).otherwise(F.col("name_i"))
+        moved = F.col("p") - F.col("name_p")
+        behind = F.col("n") - F.col("name_n") - moved
+        near = _gram_join(index(titles, "title", "name", r), ours, total_pairs, pairs_per_task).where(
+            (F.col("role") == F.col("name_role"))
+            & in_role
+            & (F.abs(F.col("n") - F.col("name_n")) <= allowed)
+            & (F.abs(moved) <= piece)
+            & (F.abs(behind) <= allowed - piece)
+            & (_surplus("c", "name_c") <= allowed)
+            & (_surplus("name_c", "c") <= allowed)
+        )
+        met = near.select("id", "name").distinct()
+        met = lookup_join(met, _theirs(names.drop("c", *_COUNTS)), "name", "inner", ["id"], broadcast_bytes=broadcast_bytes)
+        met = lookup_join(met, titles.drop("c", *_COUNTS), "id", "inner", ["name"], broadcast_bytes=broadcast_bytes)
+        lost = (_lost_pairs("g", "name_g") <= 2 * allowed) & (_lost_pairs("name_g", "g") <= 2 * allowed)
+        return met.where(lost).select(*_PAIR, *more)
+
+    return [partial(pairs, r) for r in range(rounds)]
 
 
 def _near(
-    titles: DataFrame,
-    names: DataFrame,
-    percent: int,
-    pairs_per_task: int,
-    broadcast_bytes: int,
-    pairs_per_text: int,
-    more: Sequence[str] = ("sku",),
-    shapes: bool = True,
-) -> DataFrame:
-    """Pairs of marked texts whose distance has to be taken, each once, with the columns ``more`` of either.
+    titles: DataFrame, names: DataFrame, percent: int, pairs_per_task: int, broadcast_bytes: int, pairs_per_text: int
+) -> list[Round]:
+    """Pairs of marked texts whose distance has to be taken, in rounds that are to be run one by one.
 
     A block is compared whole where that is cheaper than an index of its texts; larger
-    blocks go by shapes, or by pieces where most texts have a shape of their own.
+    blocks go by shapes. Where most texts have a shape of their own, they go by pieces if
+    those are long enough to bring few texts together, else they are compared whole as well.
     """
+    more = ["sku"]
     a = titles.groupBy("block").agg(F.count(F.lit(1)).cast("double").alias("a"))
     b = names.groupBy("block").agg(F.count(F.lit(1)).cast("double").alias("b"))
     whole = F.expr(f"a * b <= {pairs_per_text} * (a + b)").alias("whole")
     blocks = stored(a.join(b, "block").select("block", F.expr("a * b").alias("load"), whole), "blocks")
     kinds = {r["whole"] for r in blocks.select("whole").distinct().collect()}
-    if kinds <= {True}:
+
+    def small(titles: DataFrame, names: DataFrame, blocks: DataFrame) -> DataFrame:
         return _whole_blocks(titles, names, blocks, percent, pairs_per_task).select(*_PAIR, *more)
-    met = None
+
+    if kinds <= {True}:
+        return [partial(small, titles, names, blocks)]
+    rounds = []
     if True in kinds:
         few, many = blocks.where("whole"), blocks.where("NOT whole").select("block")
         some = [lookup_join(df, few.select("block"), "block", "inner", [i], broadcast_bytes=broadcast_bytes)
                 for df, i in ((titles, "id"), (names, "name"))]
-        met = _whole_blocks(*some, few, percent, pairs_per_task).select(*_PAIR, *more)
-        titles = stored(lookup_join(titles, many, "block", "inner", ["id"], broadcast_bytes=broadcast_bytes), "titles")
+        rounds.append(partial(small, *some, few))
+        titles = _dealt(lookup_join(titles, many, "block", "inner", ["id"], broadcast_bytes=broadcast_bytes), "titles")
         names = stored(lookup_join(names, many, "block", "inner", ["name"], broadcast_bytes=broadcast_bytes), "names")
-    far = _by_shapes(titles, names, more, percent, pairs_per_task, broadcast_bytes, pairs_per_text) if shapes else None
+    far = _by_shapes(titles, names, more, percent, pairs_per_task, broadcast_bytes)
     if far is None:
-        far = _by_pieces(titles, names, more, percent, pairs_per_task, broadcast_bytes)
-    return far if met is None else met.unionByName(far)
+        far = _by_pieces(titles, names, more, percent, pairs_per_task, broadcast_bytes, pairs_per_text)
+    return rounds + (_by_names(titles, names, more, percent) if far is None else far)
+
+
+def _dealt(titles: DataFrame, name: str) -> DataFrame:
+    """A stored table whose files keep all cores busy: rounds read it as it lies."""
+    return stored(titles.repartition(2 * titles.sparkSession.sparkContext.defaultParallelism, "id"), name)
 
 
 def _both_marked(titles: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Titles that equal no name, and names, both with numbers and masks."""
+    """Titles and names, both with numbers and masks."""
     number = F.monotonically_increasing_id()
-    titles = titles.join(names.select("block", "t"), ["block", "t"], "left_anti")
     return _marked(titles, "id", number, "titles"), _marked(names, "name", number, "names", "sku")
 
 
@@ -594,8 +645,10 @@ def candidates(
 
     Titles that equal a name are left out. Pairs of neighbouring characters are compared before the distance.
     """
-    near = _near(*_both_marked(titles, names), percent, pairs_per_task, broadcast_bytes, pairs_per_text)
-    return near.select("block", "t", "n", "name_t", "name_n", "sku")
+    titles = titles.join(names.select("block", "t"), ["block", "t"], "left_anti")
+    rounds = _near(*_both_marked(titles, names), percent, pairs_per_task, broadcast_bytes, pairs_per_text)
+    near = [pairs().select("block", "t", "n", "name_t", "name_n", "sku") for pairs in rounds]
+    return near[0] if len(near) == 1 else reduce(DataFrame.unionAll, near).dropDuplicates(["block", "t", "name_t"])
 
 
 def best_titles(
@@ -620,9 +673,9 @@ def best_titles(
     first compared at half the difference allowed: one that has a name there has
     its best name there, and only the others are compared at the full difference.
 
-    Small blocks are compared whole, larger ones by the shapes of their texts or
-    by pieces. Texts of many shapes must share text: cut the longer text into one piece more than the k edits
-    allowed, and at least one piece survives unchanged in the other text. Of
+    Small blocks are compared whole, larger ones by the shapes of their texts, by
+    pieces, or whole by so many names at a time, in rounds that leave nothing but
+    the best names on disk. By pieces: cut the longer text into one piece more than the k edits allowed, and at least one piece survives unchanged in the other text. Of
     those that survive, one piece ``i`` has at most ``i`` edits before it and at
     most ``k - i`` behind it (walking over the pieces, edits so far minus pieces
     so far starts at 0, ends below ``edits - k``, and falls by one only at an
@@ -635,28 +688,43 @@ def best_titles(
     """
     if not 0 < percent <= 100:
         raise ValueError(f"percent must be in 1..100, not {percent}")
-    equal = titles.join(names, ["block", "t"]).select(
+    known = titles.join(names.withColumn("equal", F.lit(True)), ["block", "t"], "left")
+    if percent < 100:
+        known = stored(known, "known")
+    equal = known.where("equal").select(
         "block", "t", "sku", F.lit(0).alias("edits"), F.char_length("t").cast("long").alias("longest")
     )
     if percent == 100:
         return equal
-    ours, theirs = _both_marked(titles, names)
+    ours, theirs = _both_marked(known.where("equal IS NULL"), names)
     sizes = [df.groupBy("block").agg(F.count(F.lit(1)).cast("double").alias(c)) for df, c in ((ours, "a"), (theirs, "b"))]
     pairs, widest = sizes[0].join(sizes[1], "block").agg(F.sum(F.expr("a * b")), F.max(F.expr("a * b / (a + b)"))).first()
-    steps = [percent] if pairs is None or widest <= pairs_per_text else sorted({(100 + percent) // 2, percent}, reverse=True)
+    few, spark = pairs is None or widest <= pairs_per_text, titles.sparkSession
     best = equal
-    for step in steps:
-        near = _near(ours, theirs, step, pairs_per_task, broadcast_bytes, pairs_per_text)
-        close = near.withColumns({"edits": _distance(step), "longest": F.greatest("n", "name_n")}).where("edits >= 0")
-        first = F.min(F.struct((F.col("edits") / F.col("longest")).alias("share"), "sku", "edits", "longest")).alias("best")
-        close = close.groupBy("id", "block", "t").agg(first).select("id", "block", "t", "best.sku", "best.edits", "best.longest")
+    for step in [percent] if few else sorted({(100 + percent) // 2, percent}, reverse=True):
+        with scratch_tables(spark):
+            rounds = []
+            for pairs in _near(ours, theirs, step, pairs_per_task, broadcast_bytes, pairs_per_text):
+                with scratch_tables(spark):
+                    rounds.append(kept(_closest(pairs(), step), "close"))
+            if not rounds:
+                continue
+            first = F.min("best").alias("best")
+            close = rounds[0] if len(rounds) == 1 else reduce(DataFrame.unionAll, rounds).groupBy("id", "block", "t").agg(first)
+            close = kept(close.select("id", "block", "t", "best.sku", "best.edits", "best.longest"), "close")
         if step != percent:
-            close = stored(close, "close")
-            ours = stored(lookup_join(ours, close.select("id"), "id", "left_anti", ["id"], broadcast_bytes=broadcast_bytes), "titles")
+            ours = _dealt(lookup_join(ours, close.select("id"), "id", "left_anti", ["id"], broadcast_bytes=broadcast_bytes), "titles")
         best = best.unionByName(close.drop("id"))
     return best
 
 
+def _closest(pairs: DataFrame, percent: int) -> DataFrame:
+    """The best name of each title among these pairs."""
+    close = pairs.withColumns({"edits": _distance(percent), "longest": F.greatest("n", "name_n")}).where("edits >= 0")
+    first = F.min(F.struct((F.col("edits") / F.col("longest")).alias("share"), "sku", "edits", "longest")).alias("best")
+    return close.groupBy("id", "block", "t").agg(first)
+
+
 def fuzzy_candidates(
     catalogue: DataFrame,
     listings: DataFrame,
@@ -686,8 +754,9 @@ def fuzzy_candidates(
         .where("t != '' AND block IS NOT NULL")
         .distinct()
     )
-    best = best_titles(stored(titles, "titles"), stored(names, "names"), percent, pairs_per_task, broadcast_bytes)
-    return stored(best, "best")
+    with scratch_tables(catalogue.sparkSession):
+        best = best_titles(stored(titles, "titles"), stored(names, "names"), percent, pairs_per_task, broadcast_bytes)
+        return kept(best, "best")
 
 
 def fuzzy_match(

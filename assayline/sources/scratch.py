@@ -29,11 +29,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{warehouse}/_scratch"
 
 
-def new_scratch(spark: SparkSession, name: str) -> str:
-    """A new path; inside ``scratch_tables`` it is deleted at the end."""
+def new_scratch(spark: SparkSession, name: str, outer: bool = False) -> str:
+    """A new path; inside ``scratch_tables`` it is deleted at the end.
+
+    ``outer``: it outlives the innermost block and goes with the one around it.
+    """
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if _OPEN:
-        _OPEN[-1].append(path)
+    if len(_OPEN) > outer:
+        _OPEN[-1 - outer].append(path)
     return path
 
 
@@ -59,7 +62,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage of a result that is used several times: losing an executor
     later costs a re-read, not a re-computation.
     """
-    spark = df.sparkSession
-    path = new_scratch(spark, name)
+    return _stored(df, new_scratch(df.sparkSession, name))
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, but deleted with the ``scratch_tables`` around the innermost ones, not with those."""
+    return _stored(df, new_scratch(df.sparkSession, name, outer=True))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -16,6 +17,7 @@ from assayline.plans.product_master import (
 )
 from assayline.registry import QUALITY_COLUMNS
 from assayline.sources.literals import literal_table
+from assayline.sources.scratch import scratch_dir
 
 
 def levenshtein(a, b):
@@ -227,6 +229,55 @@ def test_model_numbers_make_no_index(spark, monkeypatch):
     assert sum(written) < 10 * (len(titles) + len(names))
 
 
+def test_titles_near_many_names_make_no_index(spark, monkeypatch):
+    """Nor is one made where the shapes leave a title many names: those are compared so many at a time."""
+    titles, names = model_titles(400, 6)
+    written = []
+    for write in ("stored", "kept"):
+
+        def counted(df, name, write=getattr(matching, write, matching.stored)):
+            out = write(df, name)
+            written.append(out.count())
+            return out
+
+        monkeypatch.setattr(matching, write, counted, raising=False)
+    monkeypatch.setattr(matching, "NAMES_AT_A_TIME", 200, raising=False)
+    titles, names = [(1, t) for t in titles], [(1, n, n) for n in names]
+    a = literal_table(spark, titles, "block int, t string")
+    b = literal_table(spark, names, "block int, t string, sku string")
+    got = matching.best_titles(a, b, 70, 1000, pairs_per_text=20).collect()
+    assert {(r.block, r.t): (r.sku, r.edits, r.longest) for r in got} == brute_force(titles, names, 70)
+    assert sum(written) < 15 * (len(titles) + len(names))
+
+
+@pytest.mark.parametrize("way, percent", [("shapes", 70), ("names", 70), ("pieces", 88)])
+def test_rounds_find_the_same(spark, monkeypatch, way, percent):
+    titles, names = model_titles(40, 4)
+    titles, names = [(1, t) for t in titles], [(1, n, f"S{i}") for i, n in enumerate(names)]
+    monkeypatch.setattr(matching, "TEXTS_PER_SHAPE", 1 if way == "shapes" else 10**9)
+    monkeypatch.setattr(matching, "NAMES_AT_A_TIME", 6 if way == "shapes" else 15)
+    monkeypatch.setattr(matching, "ROWS_AT_A_TIME", 500)
+    monkeypatch.setattr(matching, "PAIRS_PER_ROW", 0.01 if way == "pieces" else 10**9)
+    a = literal_table(spark, titles, "block int, t string")
+    b = literal_table(spark, names, "block int, t string, sku string")
+    rounds = []
+    near = matching._near
+    monkeypatch.setattr(matching, "_near", lambda *args: rounds.append(near(*args)) or rounds[-1])
+    got = matching.best_titles(a, b, percent, pairs_per_text=5).collect()
+    assert {(r.block, r.t): (r.sku, r.edits, r.longest) for r in got} == brute_force(titles, names, percent)
+    assert max(len(r) for r in rounds) > 1 and len(got) > 5
+
+
+def test_only_the_best_names_stay_on_disk(shop, spark):
+    catalogue, listings = shop
+    folder = scratch_dir(spark)
+    before = set(os.listdir(folder))
+    best = matching.fuzzy_candidates(catalogue, listings, "category_id")
+    assert best.count() > 0
+    (left,) = set(os.listdir(folder)) - before
+    assert left.startswith("best-")
+
+
 def test_percent_bounds(spark):
     a = literal_table(spark, [(1, "x")], "block int, t string")
     b = literal_table(spark, [(1, "x", "s")], "block int, t string, sku string")
